@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -48,6 +49,8 @@ def shared_dir(spark: SparkSession) -> str:
     if path is None and current is not None:
         return current
     if path is None:  # a single machine, as in tests
+        if not re.match(r"local($|\[)", spark.sparkContext.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         path = tempfile.mkdtemp(prefix="residua-")
     if current is None:
         spark.sparkContext.setCheckpointDir(path)
