@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from residua.llm import packing, quality, toxicity
+from residua.llm import chat, html_extract, packing, quality, toxicity
 from residua.session import table
 
 TOKENIZER = "byte_bpe_50k.json"
@@ -17,6 +17,10 @@ def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op3_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_extract.extract_pages(table(spark, sf_dir, "pages"))
+
+
 def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -25,11 +29,17 @@ def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"), public_tokenizers.path(TOKENIZER))
 
 
+def op9_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chat.digests(chat.with_probe(table(spark, sf_dir, "conversations")))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_quality": op1_quality,
+        "op3_html_extraction": op3_html_extraction,
         "op4_toxicity": op4_toxicity,
         "op7_packing": op7_packing,
+        "op9_chat_format": op9_chat_format,
     }
 
 
