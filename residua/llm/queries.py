@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from residua.llm import chat, html_extract, packing, quality, toxicity
+from residua.llm import chat, html_extract, license_scan, packing, quality, toxicity
 from residua.session import table
 
 TOKENIZER = "byte_bpe_50k.json"
@@ -29,6 +29,10 @@ def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"), public_tokenizers.path(TOKENIZER))
 
 
+def op8_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan.scan(table(spark, sf_dir, "documents"))
+
+
 def op9_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.digests(chat.with_probe(table(spark, sf_dir, "conversations")))
 
@@ -39,9 +43,12 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op3_html_extraction": op3_html_extraction,
         "op4_toxicity": op4_toxicity,
         "op7_packing": op7_packing,
+        "op8_license_scan": op8_license_scan,
         "op9_chat_format": op9_chat_format,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {
+        "op8_license_scan": license_scan.oracle_sql(),
+    }
