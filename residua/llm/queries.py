@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from residua.llm import chat, html_extract, license_scan, packing, quality, toxicity
+from residua.llm import chat, html_extract, license_scan, ngram_rules, packing, quality, toxicity
 from residua.session import table
 
 TOKENIZER = "byte_bpe_50k.json"
@@ -25,6 +25,10 @@ def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op5_ngram_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_rules.apply_rules(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"), public_tokenizers.path(TOKENIZER))
 
@@ -42,6 +46,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op1_quality": op1_quality,
         "op3_html_extraction": op3_html_extraction,
         "op4_toxicity": op4_toxicity,
+        "op5_ngram_rules": op5_ngram_rules,
         "op7_packing": op7_packing,
         "op8_license_scan": op8_license_scan,
         "op9_chat_format": op9_chat_format,
