@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from residua.llm import chat, html_extract, license_scan, ngram_rules, packing, quality, toxicity
+from residua.llm import chat, html_extract, license_scan, near_dup, ngram_rules, packing, quality, toxicity
 from residua.session import table
 
 TOKENIZER = "byte_bpe_50k.json"
@@ -41,6 +41,10 @@ def op9_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.digests(chat.with_probe(table(spark, sf_dir, "conversations")))
 
 
+def op10_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dup.near_duplicates(table(spark, sf_dir, "documents"), words=3, percent=85)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_quality": op1_quality,
@@ -50,10 +54,12 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op7_packing": op7_packing,
         "op8_license_scan": op8_license_scan,
         "op9_chat_format": op9_chat_format,
+        "op10_near_duplicates": op10_near_duplicates,
     }
 
 
 def oracle_sql() -> dict[str, str]:
     return {
         "op8_license_scan": license_scan.oracle_sql(),
+        "op10_near_duplicates": near_dup.oracle_sql(words=3, percent=85),
     }
