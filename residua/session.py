@@ -8,8 +8,8 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-#: Rows in one Arrow batch: long texts must not add up to more than a worker can hold.
-ARROW_ROWS = 1000
+#: Rows and bytes in one Arrow batch: long texts must not add up to more than a worker can hold.
+ARROW_ROWS, ARROW_BYTES = 1000, 16 << 20
 
 
 def build_session(cpus: int | str = "*", shuffle_partitions: int = 8, **conf: str) -> SparkSession:
@@ -35,11 +35,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{str(sf_dir).rstrip('/')}/{name}.parquet")
 
 
-def bound_arrow_batches(spark: SparkSession, rows: int = ARROW_ROWS) -> None:
-    """Lower the rows of an Arrow batch to at most this many."""
+def bound_arrow_batches(spark: SparkSession, rows: int = ARROW_ROWS, size: int = ARROW_BYTES) -> None:
+    """Lower the rows and bytes of an Arrow batch to at most this many."""
     key = "spark.sql.execution.arrow.maxRecordsPerBatch"
     if int(spark.conf.get(key, "10000")) > rows:
         spark.conf.set(key, str(rows))
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(size))
 
 
 def shared_dir(spark: SparkSession) -> str:
