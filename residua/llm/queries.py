@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from residua.llm import chat, html_extract, license_scan, near_dup, ngram_rules, packing, quality, toxicity
+from residua.llm import chat, html_extract, kdtree, license_scan, near_dup, ngram_rules, packing, quality, toxicity
 from residua.session import table
 
 TOKENIZER = "byte_bpe_50k.json"
@@ -29,6 +29,10 @@ def op5_ngram_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_rules.apply_rules(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op6_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return kdtree.top_k(table(spark, sf_dir, "embeddings"))
+
+
 def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"), public_tokenizers.path(TOKENIZER))
 
@@ -51,6 +55,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op3_html_extraction": op3_html_extraction,
         "op4_toxicity": op4_toxicity,
         "op5_ngram_rules": op5_ngram_rules,
+        "op6_exact_top_k": op6_exact_top_k,
         "op7_packing": op7_packing,
         "op8_license_scan": op8_license_scan,
         "op9_chat_format": op9_chat_format,
@@ -60,6 +65,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 def oracle_sql() -> dict[str, str]:
     return {
+        "op6_exact_top_k": kdtree.oracle_sql(),
         "op8_license_scan": license_scan.oracle_sql(),
         "op10_near_duplicates": near_dup.oracle_sql(words=3, percent=85),
     }
