@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from residua.llm import chat, html_extract, kdtree, license_scan, near_dup, ngram_rules, packing, quality, toxicity
+from residua.llm import chat, html_extract, kdtree, license_scan, mixing, near_dup, ngram_rules, packing, quality, toxicity
 from residua.session import table
 
 TOKENIZER = "byte_bpe_50k.json"
@@ -17,6 +17,10 @@ def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op2_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix(table(spark, sf_dir, "documents"))
+
+
 def op3_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_extract.extract_pages(table(spark, sf_dir, "pages"))
 
@@ -52,6 +56,7 @@ def op10_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_quality": op1_quality,
+        "op2_source_mixing": op2_source_mixing,
         "op3_html_extraction": op3_html_extraction,
         "op4_toxicity": op4_toxicity,
         "op5_ngram_rules": op5_ngram_rules,
@@ -65,6 +70,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 def oracle_sql() -> dict[str, str]:
     return {
+        "op2_source_mixing": mixing.oracle_sql(),
         "op6_exact_top_k": kdtree.oracle_sql(),
         "op8_license_scan": license_scan.oracle_sql(),
         "op10_near_duplicates": near_dup.oracle_sql(words=3, percent=85),
