@@ -2,16 +2,15 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
-from pyspark.sql import DataFrame, SparkSession
+from residua.plans import numeric, relational, sequences  # noqa: F401  (they register themselves)
+from residua.plans.registry import ENTRIES, Query
 
 FLAGSHIP = "seq_dedup"
 
 
-def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {}
+def queries() -> dict[str, Query]:
+    return {name: e.run for name, e in ENTRIES.items()}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {name: e.sql for name, e in ENTRIES.items() if e.sql}
