@@ -245,7 +245,8 @@ def _links(docs: DataFrame, members: DataFrame, words: int, percent: int) -> Dat
         F.greatest(F.ceil(F.col("docs") / BLOCK_DOCS), F.ceil(F.col("shingles") / BLOCK_SHINGLES)).cast("int").alias("blocks"),
     )
     placed = members.join(cells, "cell").select(F.col("node").alias("doc_id"), "code", "cell", "blocks")
-    texts = docs.select("doc_id", "text").join(placed, "doc_id")
+    # Never a broadcast: members grow with the table, and small tables should run like large ones.
+    texts = docs.select("doc_id", "text").join(placed.hint("merge"), "doc_id")
     own = F.pmod(F.xxhash64("doc_id"), F.col("blocks").cast("long")).cast("int")
     sets = texts.withColumn("own", own)
 
