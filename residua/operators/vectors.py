@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from residua.functions import columns as C
+from residua.session import shuffle_partitions
 
 
 def long_form(states: DataFrame, keys: list[str], state: str = "state") -> DataFrame:
@@ -73,7 +74,8 @@ def reconstruct(chunks: DataFrame, keys: list[str], kind: str = "triangular") ->
     chunks: keys, start, length (of the whole), states (array of arrays). Overlaps are averaged with
     taper weights; a position that no window covers raises when read. A single window stays as it is.
     """
-    rows = chunks.withColumn("w", C.taper(F.size("states"), kind)).withColumn("single", (F.col("start") == 0) & (F.size("states") == F.col("length")))
+    rows = chunks.repartition(shuffle_partitions(chunks.sparkSession), *keys)  # once, as windows; the sums by position then stay where they are
+    rows = rows.withColumn("w", C.taper(F.size("states"), kind)).withColumn("single", (F.col("start") == 0) & (F.size("states") == F.col("length")))
     each = rows.select(*keys, "length", "start", "single", F.posexplode(F.arrays_zip("states", "w")).alias("i", "x"))
     w = F.when(F.col("single"), F.lit(1.0)).otherwise(F.col("x.w"))
     each = each.select(*keys, "length", (F.col("start") + F.col("i")).alias("pos"), w.alias("w"), F.col("x.states").alias("state"))

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from residua.functions import columns as C
 from residua.operators import batching, checks, metrics
 from residua.plans.registry import query
-from residua.session import table
+from residua.session import shuffle_partitions, table
 
 BINS = [(0, 512), (513, 1022), (1023, 1500), (1501, 2000), (2001, 3000), (3001, 5000), (5001, 1_000_000_000)]
 LABELS = ["0-512", "513-1022", "1023-1500", "1501-2000", "2001-3000", "3001-5000", ">5000"]
@@ -73,7 +73,8 @@ def seq_taper_coverage(spark, sf_dir):
     """Sum of triangular window weights at every position of every text."""
     from residua.operators.vectors import windows
 
-    docs = table(spark, sf_dir, "documents").filter("n_chars > 0").select("doc_id", "n_chars")
+    # Dealt by document while rows are small: positions then add up where they are made.
+    docs = table(spark, sf_dir, "documents").filter("n_chars > 0").select("doc_id", "n_chars").repartition(shuffle_partitions(spark), "doc_id")
     cut = windows(docs, "n_chars", WINDOW, OVERLAP)
     each = cut.select("doc_id", "start", F.posexplode(C.taper(F.col("size"), "triangular")).alias("i", "w"))
     at = each.groupBy("doc_id", (F.col("start") + F.col("i")).alias("pos")).agg(F.sum("w").alias("w"))

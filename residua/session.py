@@ -43,6 +43,11 @@ def bound_arrow_batches(spark: SparkSession, rows: int = ARROW_ROWS, size: int =
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(size))
 
 
+def shuffle_partitions(spark: SparkSession) -> int:
+    """The session's number of shuffle partitions; given to repartition(), it isn't lowered for small rows that grow later."""
+    return int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder that the driver and every executor see: spark.checkpoint.dir, or one of our own where it is unset."""
     path = spark.conf.get("spark.checkpoint.dir", None)
