@@ -8,13 +8,22 @@ from pyspark.sql import functions as F
 from residua.session import staged, unstage
 
 
+def _with_least(rows: DataFrame, least: DataFrame) -> DataFrame:
+    """rows (u, v) with m of least (u, m).
+
+    A node with very many neighbours is one key. Joining on a second column as well deals both sides out
+    anew after the aggregation, so that such a key's rows can be split among tasks at run time.
+    """
+    return rows.withColumn("again", -F.col("u")).join(least.withColumn("again", -F.col("u")), ["u", "again"]).drop("again")
+
+
 def _large_star(edges: DataFrame) -> DataFrame:
     """Connect every larger neighbour of a node with the smallest of the node and its neighbours."""
     both = edges.select(F.col("a").alias("u"), F.col("b").alias("v")).unionByName(
         edges.select(F.col("b").alias("u"), F.col("a").alias("v"))
     )
     least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-    moved = both.filter(F.col("v") > F.col("u")).join(least, "u")
+    moved = _with_least(both.filter(F.col("v") > F.col("u")), least)
     return moved.select(F.col("v").alias("a"), F.col("m").alias("b")).distinct()
 
 
@@ -22,7 +31,7 @@ def _small_star(edges: DataFrame) -> DataFrame:
     """Connect a node and its smaller neighbours with the smallest of them."""
     down = edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v"))
     least = down.groupBy("u").agg(F.min("v").alias("m"))
-    moved = down.join(least, "u").select(F.col("v").alias("a"), F.col("m").alias("b"))
+    moved = _with_least(down, least).select(F.col("v").alias("a"), F.col("m").alias("b"))
     moved = moved.filter(F.col("a") != F.col("b"))
     return moved.unionByName(least.select(F.col("u").alias("a"), F.col("m").alias("b"))).distinct()
 
