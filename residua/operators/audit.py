@@ -29,7 +29,8 @@ def integrity(final_map: DataFrame, final: DataFrame, relations: DataFrame) -> D
         F.count_if(F.col("protein_length") != F.length("amino_acid_sequence")).alias("length_mismatches"),
     )
     unresolved = final_map.agg(F.count_if((F.col("eligibility") == "primary") & (F.coalesce("resolved_symbol", F.lit("")) == "")).alias("primary_without_symbol"))
-    return own.join(F.broadcast(gaps)).join(F.broadcast(unresolved))  # one row each
+    one = [df.withColumn("_one", F.lit(1)) for df in (own, gaps, unresolved)]
+    return one[0].join(one[1], "_one").join(one[2], "_one").drop("_one")
 
 
 def isoforms_per_gene(vocabulary: DataFrame, relations: DataFrame) -> DataFrame:

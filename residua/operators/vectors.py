@@ -152,8 +152,13 @@ def pairwise_cosine(vectors: DataFrame, key: str, column: str, most: int = 2000)
     return left.join(small, F.col("a") < F.col("b")).select("a", "b", C.cosine(F.col("x"), F.col("y")).alias("cosine"))
 
 
-def medoid(vectors: DataFrame, group: str, key: str, column: str) -> DataFrame:
-    """The member nearest to the others of its group, by summed distance; ties to the smaller key."""
+def medoid(vectors: DataFrame, group: str, key: str, column: str, most: int = 1000) -> DataFrame:
+    """The member nearest to the others of its group, by summed distance; ties to the smaller key.
+
+    Raises for a group of more than `most`: distances grow with its square.
+    """
+    if not vectors.groupBy(group).count().filter(F.col("count") > most).isEmpty():
+        raise ValueError(f"a group of more than {most} vectors")
     left = vectors.select(group, F.col(key).alias("a"), F.col(column).alias("x"))
     right = vectors.select(group, F.col(key).alias("b"), F.col(column).alias("y"))
     sums = left.join(right, group).groupBy(group, "a").agg(F.sum(C.l2_distance(F.col("x"), F.col("y"))).alias("s"))

@@ -76,8 +76,8 @@ FROM j GROUP BY user_id""")
 def vec_weight_agreement(spark, sf_dir):
     """Each user's shares of event types against those of all users."""
     w = table(spark, sf_dir, "events").groupBy("user_id", "event_type").agg((F.sum(F.abs("value")) + 1).alias("s"))
-    kinds = w.groupBy("event_type").agg(F.sum("s").alias("s")).agg(F.array_sort(F.collect_list(F.struct("event_type", "s"))).alias("all"))
-    users = w.groupBy("user_id").agg(F.map_from_entries(F.collect_list(F.struct("event_type", "s"))).alias("m")).join(F.broadcast(kinds))
+    kinds = w.groupBy("event_type").agg(F.sum("s").alias("s")).agg(F.array_sort(F.collect_list(F.struct("event_type", "s"))).alias("all"), F.lit(1).alias("one"))
+    users = w.groupBy("user_id").agg(F.map_from_entries(F.collect_list(F.struct("event_type", "s"))).alias("m"), F.lit(1).alias("one")).join(F.broadcast(kinds), "one")
 
     def shares(values):
         total = F.aggregate(values, F.lit(0.0), lambda a, x: a + x)

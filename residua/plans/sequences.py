@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from residua.functions import columns as C
@@ -39,10 +39,9 @@ FROM (VALUES {_BIN_ROWS}) b(k, label) LEFT JOIN documents d ON {_BIN_CASE} = b.k
 def seq_length_bins(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").select(C.length_bin(F.col("n_chars")).alias("bin"))
     counts = docs.groupBy("bin").agg(F.count(F.lit(1)).alias("n"))
-    total = counts.agg(F.sum("n").alias("total"))
+    counts = counts.withColumn("total", F.sum("n").over(Window.partitionBy(F.lit(0))))  # a row a bin
     rows = spark.range(len(BINS)).select(F.col("id").cast("int").alias("bin")).join(counts.filter(F.col("bin").isNotNull()), "bin", "left").fillna(0, ["n"])
-    # One row of totals against seven bins.
-    rows = rows.join(F.broadcast(total))
+    rows = rows.withColumn("total", F.max("total").over(Window.partitionBy(F.lit(0))))
     return rows.select("bin", C.bin_label(F.col("bin")).alias("label"), "n", (F.col("n") * 100.0 / F.col("total")).alias("percent"))
 
 
