@@ -33,7 +33,7 @@ MINIMA = 125
 #: Classes of a band bucket that are paired directly; larger buckets become one cell.
 PAIRED = 16
 #: Documents and shingles of a block, about; cells of more are compared block by block.
-BLOCK_DOCS, BLOCK_SHINGLES = 400, 400_000
+BLOCK_DOCS, BLOCK_SHINGLES = 128, 400_000
 
 _BASE, _MIX = np.uint64(0x100000001B3), np.uint64(0x9E3779B97F4A7C15)
 _SLICE = 1 << 20
