@@ -66,14 +66,17 @@ _COMMA = re.compile(r"[,،、，]")
 
 
 class Node:
-    """An element: its tag, its attributes' source, its children (elements and strings), its parent."""
+    """An element: its tag, its attributes' source, its children (elements and strings), its parent.
 
-    __slots__ = ("children", "links", "parent", "points", "raw", "size", "tag")
+    size, commas, links (text inside links) and main (holds an article) count everything below it.
+    """
+
+    __slots__ = ("children", "commas", "links", "main", "parent", "points", "raw", "size", "tag")
 
     def __init__(self, tag: str, raw: str, parent: Node | None):
         self.tag, self.raw, self.parent = tag, raw, parent
         self.children: list[Node | str] = []
-        self.points, self.size, self.links = 0.0, 0, 0
+        self.points, self.size, self.links, self.commas, self.main = 0.0, 0, 0, 0, False
 
 
 def _tag_end(html: str, at: int) -> int:
@@ -92,7 +95,7 @@ def _tag_end(html: str, at: int) -> int:
 def parse(html: str) -> Node:
     """The element tree of a page; open and misnested elements are closed as browsers would, roughly."""
     root = Node("#root", "", None)
-    open_: list[Node] = [root]
+    open_ = _Open([root])
     at, n = 0, len(html)
     while at < n:
         mark = html.find("<", at)
@@ -124,10 +127,11 @@ def parse(html: str) -> Node:
         if end < 0:
             break  # the page ends within a tag
         if after == "/":
-            for k in range(len(open_) - 1, 0, -1):
-                if open_[k].tag == tag:
-                    del open_[k:]
-                    break
+            if open_.count_of.get(tag):
+                k = len(open_) - 1
+                while open_[k].tag != tag:
+                    k -= 1
+                open_.close(k)
             at = end + 1
             continue
         _close_implied(open_, tag)
@@ -143,28 +147,47 @@ def parse(html: str) -> Node:
             end = html.find(">", stop.end())
             at = n if end < 0 else end + 1
         elif tag not in VOID and not node.raw.endswith("/"):
-            open_.append(node)
+            open_.push(node)
         elif tag not in VOID and tag in BLOCK:
-            open_.append(node)  # browsers ignore the slash
+            open_.push(node)  # browsers ignore the slash
     return root
 
 
-def _close_implied(open_: list[Node], tag: str) -> None:
+class _Open(list):
+    """The open elements, and how many there are of each tag."""
+
+    def __init__(self, nodes: list[Node]):
+        super().__init__(nodes)
+        self.count_of: dict[str, int] = {}
+
+    def push(self, node: Node) -> None:
+        self.append(node)
+        self.count_of[node.tag] = self.count_of.get(node.tag, 0) + 1
+
+    def close(self, k: int) -> None:
+        for node in self[k:]:
+            self.count_of[node.tag] -= 1
+        del self[k:]
+
+
+def _close_implied(open_: _Open, tag: str) -> None:
     """End what the start tag ends: an open paragraph, or the item, cell or row before."""
-    if tag in BLOCK:
+    if tag in BLOCK and open_.count_of.get("p"):
         for k in range(len(open_) - 1, 0, -1):
             if open_[k].tag == "p":
-                del open_[k:]
+                open_.close(k)
                 break
             if open_[k].tag in BLOCK:
                 break
     if tag in ENDS:
         ended, within = ENDS[tag]
+        if not any(open_.count_of.get(x) for x in ended):
+            return None
         for k in range(len(open_) - 1, 0, -1):
             if open_[k].tag in within:
                 break
             if open_[k].tag in ended:
-                del open_[k:]
+                open_.close(k)
                 if tag != "tr":
                     break
                 return _close_implied(open_, tag)
@@ -195,18 +218,6 @@ def _unwanted(node: Node, wraps: bool) -> bool:
     return False
 
 
-def _holds(node: Node, tags: tuple[str, ...]) -> bool:
-    rest = [node]
-    while rest:
-        x = rest.pop()
-        for c in x.children:
-            if isinstance(c, Node):
-                if c.tag in tags:
-                    return True
-                rest.append(c)
-    return False
-
-
 def prune(root: Node) -> list[Node]:
     """Cut what is unwanted; the elements that stay, parents before children."""
     everything, rest = [], [root]
@@ -216,6 +227,7 @@ def prune(root: Node) -> list[Node]:
         rest.extend(c for c in node.children if isinstance(c, Node) and c.tag not in DROPPED)
     for node in reversed(everything):
         node.size = sum(c.size if isinstance(c, Node) else len(c) for c in node.children)
+        node.main = any(isinstance(c, Node) and (c.main or c.tag in ("article", "main")) for c in node.children)
     kept, rest = [], [root]
     while rest:
         node = rest.pop()
@@ -223,7 +235,7 @@ def prune(root: Node) -> list[Node]:
         children = []
         for c in node.children:
             if isinstance(c, Node):
-                if _unwanted(c, 2 * c.size > root.size) and (c.tag in DROPPED or not _holds(c, ("article", "main"))):
+                if _unwanted(c, 2 * c.size > root.size) and (c.tag in DROPPED or not c.main):
                     continue
                 rest.append(c)
             children.append(c)
@@ -239,9 +251,11 @@ def article(root: Node) -> list[Node]:
         if node.parent is not None:
             in_link[id(node)] = in_link[id(node.parent)] or node.tag == "a"
     for node in reversed(nodes):
-        own = sum(len(" ".join(c.split())) for c in node.children if isinstance(c, str))
+        texts = [c for c in node.children if isinstance(c, str)]
+        own = sum(len(" ".join(c.split())) for c in texts)
         inner = [c for c in node.children if isinstance(c, Node)]
         node.size = own + sum(c.size for c in inner)
+        node.commas = sum(len(_COMMA.findall(c)) for c in texts) + sum(c.commas for c in inner)
         node.links = (own if in_link[id(node)] else 0) + sum(c.links for c in inner)
     for node in nodes:
         direct = "".join(c for c in node.children if isinstance(c, str))
@@ -249,7 +263,7 @@ def article(root: Node) -> list[Node]:
             continue
         if not node.size:
             continue
-        points = (1 + len(_COMMA.findall(_inner(node))) + min(node.size / 100, 3)) * (1 - node.links / node.size)
+        points = (1 + node.commas + min(node.size / 100, 3)) * (1 - node.links / node.size)
         level, up = 0, node if node.tag in CONTAINERS and node.tag not in PARAGRAPHS else node.parent
         while up is not None and level < 5:
             up.points += points / (1 if level == 0 else 2 if level == 1 else 3 * level)

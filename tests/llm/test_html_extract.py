@@ -45,6 +45,9 @@ def test_odd_pages():
     assert extract("plain words") == "plain words"
     deep = "<div>" * 20_000 + f"<p>{PROSE}</p>"
     assert extract(deep) == PROSE
+    nested = "<div>some text, of a nested kind" * 20_000
+    assert extract(nested).count("nested") == 20_000
+    assert extract("<b>" * 20_000 + "</i></p>" * 20_000 + PROSE) == PROSE
     assert len(extract(f"<article><p>{PROSE * 20_000}</p></article>")) == len(PROSE) * 20_000
 
 
