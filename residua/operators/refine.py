@@ -8,6 +8,20 @@ from pyspark.sql import functions as F
 from residua.functions import columns as C
 
 
+# The states of a name and the reason given for each when it has no primary sequence.
+CODING, PSEUDOGENE, NONCODING = "resolved_protein_coding", "resolved_pseudogene", "resolved_non_protein_coding"
+NO_TRANSLATION, AMBIGUOUS, UNRESOLVED = "resolved_no_valid_translation", "ambiguous_but_explained", "unresolved_but_explained"
+AVAILABLE = "primary ESM sequence available"
+REASONS = {
+    AMBIGUOUS: "multiple exact HGNC candidates; no deterministic choice",
+    UNRESOLVED: "no exact approved/alias/history/stable-ID evidence",
+    PSEUDOGENE: "resolved pseudogene; no primary protein representation",
+    NONCODING: "resolved non-protein-coding locus",
+}
+OTHERWISE = "resolved but no valid primary translation"
+SELECTED = "selected_primary_reference_or_MANe_patch"
+
+
 def classify(mapping: DataFrame, resolution: DataFrame, sequences: DataFrame) -> DataFrame:
     """mapping with resolved symbol, locus and stop classes, policy, primary gene, eligibility and reason.
 
@@ -101,7 +115,7 @@ def final_mapping(refined: DataFrame, final: DataFrame) -> DataFrame:
         }
     ).drop("_known")
     rows = rows.withColumn("selected_for_primary_esm", (F.col("eligibility") == "primary") & F.col("sequence_hash_in_final"))
-    reason = F.when(F.col("selected_for_primary_esm"), "selected_primary_reference_or_MANe_patch").otherwise(F.col("final_esm_reason"))
+    reason = F.when(F.col("selected_for_primary_esm"), SELECTED).otherwise(F.col("final_esm_reason"))
     return rows.withColumn("final_selection_reason", reason)
 
 
@@ -131,25 +145,21 @@ def final_summary(vocabulary: DataFrame, targets: DataFrame, resolution: DataFra
     rows = rows.fillna(0, counts).fillna(False, ["coding", "pseudo", "MANE_available", "primary_esm_available", "is_perturbation_target"])
     rows = rows.fillna("", ["h_symbol", "locus_type", "locus_group", "method"])
     kind = F.lower("locus_type")
-    state = (
-        F.when(F.col("rows") > 0, F.when(F.col("coding"), "resolved_protein_coding").when(F.col("pseudo"), "resolved_pseudogene").otherwise("resolved_non_protein_coding"))
-        .when(F.col("method") == "ambiguous_hgnc_token", "ambiguous_but_explained")
-        .when(F.col("method") == "unresolved", "unresolved_but_explained")
-        .when(kind.contains("pseudogene") | F.col("h_symbol").endswith("P"), "resolved_pseudogene")
-        .when(F.lower("locus_group").contains("non-coding") | F.col("locus_type").contains("RNA"), "resolved_non_protein_coding")
-        .otherwise("resolved_no_valid_translation")
+    pseudo_record = kind.contains("pseudogene") | F.col("h_symbol").endswith("P")
+    rna_record = F.lower("locus_group").contains("non-coding") | F.col("locus_type").contains("RNA")
+    without_rows = (
+        F.when(F.col("method") == "ambiguous_hgnc_token", AMBIGUOUS)
+        .when(F.col("method") == "unresolved", UNRESOLVED)
+        .when(pseudo_record, PSEUDOGENE)
+        .when(rna_record, NONCODING)
+        .otherwise(NO_TRANSLATION)
     )
-    rows = rows.withColumn("gene_resolution_status", state)
+    with_rows = F.when(F.col("coding"), CODING).when(F.col("pseudo"), PSEUDOGENE).otherwise(NONCODING)
+    rows = rows.withColumn("gene_resolution_status", F.when(F.col("rows") > 0, with_rows).otherwise(without_rows))
     s = F.col("gene_resolution_status")
-    reason = (
-        F.when(F.col("primary_esm_available"), "primary ESM sequence available")
-        .when(s == "ambiguous_but_explained", "multiple exact HGNC candidates; no deterministic choice")
-        .when(s == "unresolved_but_explained", "no exact approved/alias/history/stable-ID evidence")
-        .when(s == "resolved_pseudogene", "resolved pseudogene; no primary protein representation")
-        .when(s == "resolved_non_protein_coding", "resolved non-protein-coding locus")
-        .otherwise("resolved but no valid primary translation")
-    )
-    review = s.isin("ambiguous_but_explained", "unresolved_but_explained")
+    given = F.create_map(*[F.lit(x) for pair in REASONS.items() for x in pair])
+    reason = F.when(F.col("primary_esm_available"), AVAILABLE).otherwise(F.coalesce(F.try_element_at(given, s), F.lit(OTHERWISE)))
+    review = s.isin(AMBIGUOUS, UNRESOLVED)
     return rows.select(
         "vcc_gene_name",
         F.col("resolved_symbol").alias("resolved_gene_symbol"),
@@ -161,7 +171,7 @@ def final_summary(vocabulary: DataFrame, targets: DataFrame, resolution: DataFra
         *counts[1:],
         "MANE_available",
         "primary_esm_available",
-        F.when(s == "ambiguous_but_explained", "ambiguous").otherwise("not_ambiguous").alias("ambiguity_status"),
+        F.when(s == AMBIGUOUS, "ambiguous").otherwise("not_ambiguous").alias("ambiguity_status"),
         review.alias("review_required"),
         reason.alias("final_reason"),
     )
