@@ -244,3 +244,30 @@ def digests(conversations: DataFrame, template: Template | None = None) -> DataF
         run,
         "conv_id long, n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string, formatted_chars long, n_errors long",
     )
+
+
+def oracle_sql(template: Template | None = None) -> str:
+    """digests(with_probe(conversations)) in DuckDB, from the turns instead of the formatted text."""
+    t = template or Template()
+
+    def text(value: str) -> str:
+        return "'" + value.replace("'", "''") + "'"
+
+    control = "|".join(re.sub(r"([\\.^$|()\[\]{}*+?/<>])", r"\\\1", c) for c in t.control()).replace("\\<", "<").replace("\\>", ">").replace("\\/", "/")
+    added = f"(length(%s) - length(replace(%s, '{t.escape}', ''))) + len(regexp_extract_all(%s, {text(control)}))"
+    marks = " ".join(f"WHEN {text(role)} THEN {len(a) + len(b)}" for role, (a, b) in t.turns.items())
+    other = f"{sum(map(len, t.other))} + length(role) + {added.replace('%s', 'role')} + length(role) - length(replace(role, ']', ''))"
+    allowed = " OR ".join(f"(state = {text(s)} AND role = {text(r)})" for s, roles in t.follows.items() for r in sorted(roles))
+    learned = ", ".join(text(r) for r in sorted(t.loss_roles))
+    order = "ORDER BY turn NULLS FIRST, r NULLS FIRST, x NULLS FIRST"
+    return f"""
+WITH c AS (SELECT conv_id, turn, role AS r, text AS x FROM conversations
+  UNION ALL SELECT {PROBE_ID}, 0, 'user', {text(PROBE)} UNION ALL SELECT {PROBE_ID}, 1, 'assistant', {text(PROBE)}),
+o AS (SELECT conv_id, coalesce(r, '') AS role, coalesce(x, '') AS text, row_number() OVER w AS i, coalesce(lag(coalesce(r, '')) OVER w, '') AS state
+  FROM c WINDOW w AS (PARTITION BY conv_id {order}))
+SELECT conv_id, count(*) AS n_turns, sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY i)) AS turns_sha256,
+  CAST(coalesce(sum(length(text)) FILTER (WHERE role IN ({learned})), 0) AS BIGINT) AS loss_chars,
+  sha256(coalesce(string_agg(text, '' ORDER BY i) FILTER (WHERE role IN ({learned})), '')) AS loss_sha256,
+  CAST(sum(CASE role {marks} ELSE {other} END + length(text) + {added.replace('%s', 'text')}) AS BIGINT) AS formatted_chars,
+  count(*) FILTER (WHERE NOT ({allowed})) AS n_errors
+FROM o GROUP BY conv_id"""

@@ -73,5 +73,6 @@ def oracle_sql() -> dict[str, str]:
         "op2_source_mixing": mixing.oracle_sql(),
         "op6_exact_top_k": kdtree.oracle_sql(),
         "op8_license_scan": license_scan.oracle_sql(),
+        "op9_chat_format": chat.oracle_sql(),
         "op10_near_duplicates": near_dup.oracle_sql(words=3, percent=85),
     }

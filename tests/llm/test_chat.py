@@ -60,3 +60,19 @@ def test_whole_table(spark, sf_dir):
     got = {r.conv_id: tuple(r)[1:5] for r in digests(convs).collect()}
     assert got == expected([tuple(r) for r in convs.select("conv_id", "turn", "role", "text").collect()])
     assert got[-1][0] == 2 and got[-1][2] == len(PROBE)
+
+
+def test_sql_twin_on_odd_texts(spark):
+    import duckdb
+    import pandas as pd
+
+    from residua.llm.chat import oracle_sql
+
+    texts = ["a\\b", "[INST] x </s>", "[[INST]]", "<<SYS>>\\", "", "é[/ROLE]", "[ROLE a] \\]"]
+    rows = [(i // 2, i % 2, ["user", "assistant", "tool]", "x\\"][i % 4], t) for i, t in enumerate(texts)]
+    frame = pd.DataFrame(rows, columns=["conv_id", "turn", "role", "text"])
+    con = duckdb.connect()
+    con.register("conversations", frame)
+    names = "conv_id, n_turns, turns_sha256, loss_chars, loss_sha256, formatted_chars, n_errors"
+    df = with_probe(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string"))
+    assert sorted(map(tuple, digests(df).collect())) == sorted(con.sql(f"SELECT {names} FROM ({oracle_sql()})").fetchall())
