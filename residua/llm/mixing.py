@@ -17,10 +17,14 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from residua.session import shuffle_partitions
+
 #: Characters of a block.
 BLOCK_CHARS = 1 << 16
 #: Slots of a period, about: weights are rounded to shares of it, one share at least.
 PERIOD = 1000
+#: Characters of a file that in_order writes, at most, on average.
+FILE_CHARS = 1 << 27
 #: Sources at most; group smaller ones before mixing.
 MAX_SOURCES = 256
 #: Documents of a chunk, about.
@@ -92,13 +96,14 @@ def _shares(sizes: DataFrame, weights: dict[str, float] | None) -> DataFrame:
     return sizes.withColumn("share", F.coalesce(given[F.col("source")], F.lit(1)))
 
 
-def schedule(rows: DataFrame, weights: dict[str, float] | None = None, block_chars: int = BLOCK_CHARS) -> DataFrame:
-    """Give each of rows (source, mass, digest, and whatever else) its block, start and slot.
+def schedule(rows: DataFrame, weights: dict[str, float] | None = None, block_chars: int = BLOCK_CHARS) -> tuple[DataFrame, int]:
+    """Give each of rows (source, mass, digest, and whatever else) its block, start and slot; also their mass.
 
     Sources without a weight get one share of a period. Raises for more than MAX_SOURCES sources.
     """
     sizes = rows.groupBy("source").agg(F.count(F.lit(1)).alias("docs"), F.sum("mass").alias("mass"))
-    if len(sizes.limit(MAX_SOURCES + 1).collect()) > MAX_SOURCES:
+    known = sizes.limit(MAX_SOURCES + 1).collect()
+    if len(known) > MAX_SOURCES:
         raise ValueError(f"more than {MAX_SOURCES} sources; group them first")
     blocks = F.expr(f"(mass + {block_chars - 1}) div {block_chars}")
     plan = F.broadcast(_plan(_shares(sizes.withColumn("blocks", blocks), weights)))
@@ -122,7 +127,8 @@ def schedule(rows: DataFrame, weights: dict[str, float] | None = None, block_cha
         plan, F.col("source").eqNullSafe(F.col("_source")) & (F.col("block") >= F.col("first")) & (F.col("block") < F.col("last"))
     )
     slot = F.expr("at + ((block - first) div share) * period + get(places, int((block - first) % share))")
-    return placed.withColumn("slot", slot).drop("_source", "first", "last", "at", "share", "period", "places")
+    placed = placed.withColumn("slot", slot).drop("_source", "first", "last", "at", "share", "period", "places")
+    return placed, sum(r.mass for r in known)
 
 
 def _measured(docs: DataFrame, *more: Column) -> DataFrame:
@@ -141,15 +147,15 @@ def mix(docs: DataFrame, weights: dict[str, float] | None = None, block_chars: i
     Null texts are empty; a null source is a source of its own; null and repeated doc_ids are placed row
     by row; an empty table gives no rows; other columns are ignored.
     """
-    rows = schedule(_measured(docs, F.col("doc_id").cast("long").alias("doc_id")), weights, block_chars)
+    rows, _ = schedule(_measured(docs, F.col("doc_id").cast("long").alias("doc_id")), weights, block_chars)
     return rows.select("doc_id", "source", "block", "start", "slot")
 
 
 def in_order(docs: DataFrame, weights: dict[str, float] | None = None, block_chars: int = BLOCK_CHARS) -> DataFrame:
     """All rows and columns of docs, sorted into the order of the mixture, as files keep it when written."""
     whole = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")
-    rows = schedule(_measured(docs, whole), weights, block_chars)
-    parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    rows, mass = schedule(_measured(docs, whole), weights, block_chars)
+    parts = max(shuffle_partitions(docs.sparkSession), -(-mass // FILE_CHARS))
     return rows.repartitionByRange(parts, "slot", "start").sortWithinPartitions("slot", "start").select("row.*")
 
 
