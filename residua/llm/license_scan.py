@@ -6,8 +6,8 @@ the file and place in a template give a relative position, and a template is a c
 different words agree on one. A candidate counts if most of the template's words stand at that position
 and the file holds its mandatory key phrases.
 
-A document that holds none of the rare licence words can't have a candidate, and its words are never
-laid out one by one.
+No word is too common for the index: the ones looked up are the rarest there are, however many documents
+hold them. A document without any key phrase can't have a label, and its words are never laid out one by one.
 """
 
 from __future__ import annotations
@@ -60,7 +60,7 @@ TEMPLATES: list[tuple[str, str, tuple[str, ...]]] = [
 ]
 #: Rarest licence words of a file that are looked up, and how many of them must agree on a position.
 ANCHORS, AGREE = 12, 2
-#: A licence word is rare if at most this share of the documents holds it.
+#: Only oracle_sql() leaves out licence words that more than this share of the documents holds.
 RARE_SHARE = 0.1
 #: Share of a template's words that must stand where the template has them.
 MATCHED = 0.7
@@ -87,15 +87,14 @@ def _vocabulary() -> list[str]:
 
 
 def rarity(docs: DataFrame) -> dict[str, float]:
-    """ln((N + 1) / (n + 1)) of every rare licence word, over all N documents; at most the vocabulary."""
+    """ln((N + 1) / (n + 1)) of every licence word found, over all N documents; at most the vocabulary."""
     vocabulary = F.array(*[F.lit(w) for w in _vocabulary()])
     words = docs.select(F.array_intersect(F.split(normal(F.col("text")), " "), vocabulary).alias("words"))
     # An extra null a row counts the documents in the same pass.
     each = words.select(F.explode(F.concat(F.col("words"), F.array(F.lit(None).cast("string")))).alias("word"))
     counted = {r.word: r.n for r in each.groupBy("word").agg(F.count(F.lit(1)).alias("n")).collect()}
     total = counted.pop(None, 0)
-    rare = {w: n for w, n in counted.items() if n <= max(RARE_SHARE * total, 20)}
-    return {w: math.log((total + 1) / (n + 1)) for w, n in sorted(rare.items())}
+    return {w: math.log((total + 1) / (n + 1)) for w, n in sorted(counted.items())}
 
 
 def _text(value: str) -> str:
@@ -226,7 +225,8 @@ def _matches(idf: str, index: str) -> Column:
         return f"element_at(transform(array({value}), {name} -> {body}), 1)"
 
     body = let("words", words, let("anchors", anchors, let("votes", votes, let("needed", needed, let("agreed", agreed, let("judged", judged, let("kept", kept, said)))))))
-    return F.expr(f"if(size(held) = 0, {nothing}, {body})")
+    keyed = " or ".join(f"contains(norm, {_text(f' {k} ')})" for k in sorted({k for _, _, keys in TEMPLATES for k in keys}))
+    return F.expr(f"if({keyed}, {body}, {nothing})")
 
 
 def _templates_values() -> str:

@@ -49,3 +49,10 @@ def test_same_as_rows_of_words(spark):
 @pytest.mark.parametrize("rows", [[], [(1, None)], [(1, "plain words")]])
 def test_small_tables(spark, rows):
     assert run(spark, rows) == brute(rows)
+
+
+def test_a_common_notice_is_found(spark):
+    notice = "This work is licensed under the GNU General Public License, version 3."
+    rows = [(i, f"text {i} " + (notice if i % 3 == 0 else "of its own")) for i in range(90)]
+    got = run(spark, rows)
+    assert {r[0] for r in got if r[6] == "gpl-3"} == {i for i in range(90) if i % 3 == 0}
