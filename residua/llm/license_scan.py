@@ -1,13 +1,14 @@
 """License scans: a positional index of rare licence words, in DataFrame operations only.
 
 The words of a few licence notices, with their positions, are the index. A word's rarity is measured
-over all documents. For each file the rarest licence words that it holds are looked up; each place in
-the file and place in a template give a relative position, and a template is a candidate where several
-different words agree on one. A candidate counts if most of the template's words stand at that position
-and the file holds its mandatory key phrases.
-
-No word is too common for the index: the ones looked up are the rarest there are, however many documents
-hold them. A document without any key phrase can't have a label, and its words are never laid out one by one.
+over all documents. The rarest words of each template are looked up; each place in the file and place in
+the template give a relative position, and a template is a candidate where several different words agree
+on one. A candidate counts if most of the template's words stand at that position and the file holds its
+mandatory key phrases. Of each template so many words are looked up that no placement that counts can
+lack the agreement.
+
+No word is too common for the index: the ones looked up are the rarest of their template, however many
+documents hold them. A document without any key phrase can't have a label, and its words are never laid out one by one.
 """
 
 from __future__ import annotations
@@ -58,15 +59,15 @@ TEMPLATES: list[tuple[str, str, tuple[str, ...]]] = [
     ),
     ("unlicense", "this is free and unencumbered software released into the public domain", ("free and unencumbered software",)),
 ]
-#: Rarest licence words of a file that are looked up, and how many of them must agree on a position.
+#: How many different words must agree on a position. Only oracle_sql() looks up no more than ANCHORS words a file.
 ANCHORS, AGREE = 12, 2
 #: Only oracle_sql() leaves out licence words that more than this share of the documents holds.
 RARE_SHARE = 0.1
 #: Share of a template's words that must stand where the template has them.
 MATCHED = 0.7
 
-#: How a vote is packed: words before a text's start, positions, and anchors that it has room for.
-_SHIFT, _TEMPLATE, _ANCHOR = 1024, 1 << 32, 64
+#: How a vote is packed: words before a text's start, positions, and licence words that it has room for.
+_SHIFT, _TEMPLATE, _ANCHOR = 1024, 1 << 32, 512
 
 _WORD_GAPS = "[\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+"
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -101,15 +102,29 @@ def _text(value: str) -> str:
     return "'" + value.replace("'", "''") + "'"
 
 
-def _index_sql(rare: dict[str, float]) -> str:
-    """map(word -> array of (template, position)) for the rare words, as a SQL literal."""
-    places: dict[str, list[tuple[int, int]]] = {}
-    for k, (_, words, _) in enumerate(TEMPLATES):
+def _anchors(rare: dict[str, float]) -> list[list[str]]:
+    """The rarest words of each template: AGREE more than a placement that counts may have out of place."""
+    found = []
+    for _, text, _ in TEMPLATES:
+        words = text.split()
+        least = next(k for k in range(len(words) + 1) if k / len(words) >= MATCHED)
+        rarest = sorted(set(words), key=lambda w: (-rare.get(w, math.inf), w))
+        found.append(rarest[: len(words) - least + AGREE])
+    return found
+
+
+def _index_sql(rare: dict[str, float]) -> str | None:
+    """map(word -> array of (template, position, number of the word)) for the anchors found, as a SQL literal."""
+    places: dict[str, list[tuple[int, int, int]]] = {}
+    numbers = {w: k for k, w in enumerate(_vocabulary())}
+    for k, (anchors, (_, words, _)) in enumerate(zip(_anchors(rare), TEMPLATES, strict=True)):
         for at, word in enumerate(words.split()):
-            if word in rare:
-                places.setdefault(word, []).append((k, at))
+            if word in anchors and word in rare:
+                places.setdefault(word, []).append((k, at, numbers[word]))
+    if not places:
+        return None
     entries = ", ".join(
-        f"{_text(w)}, array({', '.join(f'named_struct({_text("t")}, {t}, {_text("p")}, {p})' for t, p in found)})"
+        f"{_text(w)}, array({', '.join(f'named_struct({_text("t")}, {t}, {_text("p")}, {p}, {_text("a")}, {a})' for t, p, a in found)})"
         for w, found in sorted(places.items())
     )
     return f"map({entries})"
@@ -130,11 +145,8 @@ def scan(docs: DataFrame) -> DataFrame:
     text = normal(F.col("text"))
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text.alias("norm"))
     rows = _base(rows)
-    if rare:
-        idf = "map(" + ", ".join(f"{_text(w)}, {x!r}D" for w, x in rare.items()) + ")"
-        rare_words = F.array(*[F.lit(w) for w in rare])
-        rows = rows.withColumn("held", F.array_intersect(F.split("norm", " "), rare_words))
-        rows = rows.withColumn("found", _matches(idf, _index_sql(rare)))
+    if index := _index_sql(rare):
+        rows = rows.withColumn("found", _matches(index))
     else:
         rows = rows.withColumn("found", F.expr("cast(array() as array<struct<label:string,share:double>>)"))
     own = F.transform("found", lambda x: x["label"])
@@ -187,14 +199,11 @@ def _base(rows: DataFrame) -> DataFrame:
     )
 
 
-def _matches(idf: str, index: str) -> Column:
-    """The method's labels of a row with `norm` and `held`, as an array of (label, share)."""
+def _matches(index: str) -> Column:
+    """The method's labels of a row with `norm`, as an array of (label, share)."""
     nothing = "cast(array() as array<struct<label:string,share:double>>)"
-    # The file's words, numbered from 0; its rarest licence words; where they stand.
+    # The file's words, numbered from 0.
     words = "filter(split(norm, ' '), w -> w <> '')"
-    anchors = (
-        f"slice(transform(array_sort(transform(held, w -> struct(-element_at({idf}, w) as r, w as w))), x -> x.w), 1, {ANCHORS})"
-    )
     templates = "array(" + ", ".join(
         f"named_struct('label', {_text(label)}, 'words', split({_text(text)}, ' '), 'keys', array({', '.join(_text(f' {k} ') for k in keys)}))"
         for label, text, keys in TEMPLATES
@@ -202,12 +211,11 @@ def _matches(idf: str, index: str) -> Column:
     # Every place of an anchor against every place of its word in a template, as one number: template and
     # relative position, then the anchor. Sorted, the anchors that agree on a position stand side by side.
     votes = f"""array_sort(array_distinct(flatten(transform(
-        filter(transform(words, (w, i) -> struct(w, i)), x -> array_contains(anchors, x.w)),
+        filter(transform(words, (w, i) -> struct(w, i)), x -> map_contains_key({index}, x.w)),
         x -> transform(element_at({index}, x.w), y ->
-            ((y.t * {_TEMPLATE}L) + x.i - y.p + {_SHIFT}) * {_ANCHOR} + array_position(anchors, x.w))))))"""
-    needed = f"transform({templates}, t -> least({AGREE}, size(array_intersect(t.words, anchors))))"
+            ((y.t * {_TEMPLATE}L) + x.i - y.p + {_SHIFT}) * {_ANCHOR} + y.a)))))"""
     agreed = f"""transform(array_distinct(transform(filter(votes, (v, i) ->
-            get(votes, i + get(needed, int(v div {_ANCHOR} div {_TEMPLATE}L)) - 1) div {_ANCHOR} = v div {_ANCHOR}),
+            get(votes, i + {AGREE - 1}) div {_ANCHOR} = v div {_ANCHOR}),
         v -> v div {_ANCHOR})),
         c -> named_struct('t', int(c div {_TEMPLATE}L), 'at', int(c % {_TEMPLATE}L) - {_SHIFT}))"""
     judged = f"""transform(agreed, c -> named_struct(
@@ -224,7 +232,7 @@ def _matches(idf: str, index: str) -> Column:
         """body with name bound to value, evaluated once."""
         return f"element_at(transform(array({value}), {name} -> {body}), 1)"
 
-    body = let("words", words, let("anchors", anchors, let("votes", votes, let("needed", needed, let("agreed", agreed, let("judged", judged, let("kept", kept, said)))))))
+    body = let("words", words, let("votes", votes, let("agreed", agreed, let("judged", judged, let("kept", kept, said)))))
     keyed = " or ".join(f"contains(norm, {_text(f' {k} ')})" for k in sorted({k for _, _, keys in TEMPLATES for k in keys}))
     return F.expr(f"if({keyed}, {body}, {nothing})")
 
