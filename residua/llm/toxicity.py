@@ -27,6 +27,8 @@ from residua.session import bound_arrow_batches
 FOLDS, KEPT_BACK, THRESHOLD = 3, 1, 0.7
 #: Terms of the lexicon at most, and what a word needs to become one.
 MAX_TERMS, MIN_DOCS, MIN_RATIO, MIN_LETTERS = 500, 3, 30.0, 3
+#: Documents are near copies if their sets of words have at least this Jaccard similarity.
+NEAR_COPY = 0.8
 #: Terms of at least so many letters are also found with one edit.
 FUZZY_LETTERS = 5
 #: Words on either side of a hit that make its context.
@@ -197,24 +199,46 @@ def _inside_quotes(before: str, after: str) -> bool:
     return not any(q in before[opened + 1 :] for q in "”»›")
 
 
+def near_copies(sets: list[frozenset[str]], least: float = NEAR_COPY) -> list[list[frozenset[str]]]:
+    """Group sets by the first member of a group, to which all others have a Jaccard similarity of at least `least`.
+
+    Exact: two sets so alike share one of their rarest words, as the rest of a set is too small to hold all
+    that they must have in common.
+    """
+    held = Counter(w for words in sets for w in words)
+    groups: list[list[frozenset[str]]] = []
+    firsts: dict[str, list[int]] = {}
+    for words in sets:
+        rarest = sorted(words, key=lambda w: (held[w], w))[: len(words) - math.ceil(least * len(words)) + 1]
+        for k in sorted({k for w in rarest for k in firsts.get(w, ())}):
+            first = groups[k][0]
+            if len(first & words) >= least * len(first | words):
+                groups[k].append(words)
+                break
+        else:
+            for w in rarest:
+                firsts.setdefault(w, []).append(len(groups))
+            groups.append([words])
+    return groups
+
+
 def learn_lexicon(rows: list[tuple[str, int]]) -> list[str]:
     """Words that toxic documents use far more often, by smoothed ratio of document counts.
 
-    Documents that share their smallest word hash count once, so near copies can't make a lexicon.
+    Near copies count once, with all their words, so they can't make a lexicon.
     """
-    groups: tuple[dict, dict] = ({}, {})
+    sets: tuple[list, list] = ([], [])
     for text, label in rows:
-        words = {w for w in WORD.findall(text.lower()) if len(w) >= MIN_LETTERS}
-        if words:
-            groups[label].setdefault(min(words, key=lambda w: (hash_of(w), w)), []).append(words)
+        if words := frozenset(w for w in WORD.findall(text.lower()) if len(w) >= MIN_LETTERS):
+            sets[label].append(words)
+    groups = [near_copies(x) for x in sets]
     counts = []
     for label in (1, 0):
         count: Counter[str] = Counter()
-        for same in groups[label].values():
-            count.update(set().union(*same) if label == 0 else same[0])
+        for same in groups[label]:
+            count.update(frozenset().union(*same))
         counts.append(count)
-        if label == 1:
-            keep = {w for w, n in count.items() if n >= MIN_DOCS}
+    keep = {w for w, n in counts[0].items() if n >= MIN_DOCS}
     toxic, other = len(groups[1]), len(groups[0])
     scored = []
     for w in keep:
@@ -224,12 +248,6 @@ def learn_lexicon(rows: list[tuple[str, int]]) -> list[str]:
     return [w for _, w in sorted(scored)[:MAX_TERMS]]
 
 
-def hash_of(word: str) -> int:
-    import zlib
-
-    return zlib.crc32(word.encode("utf-8", "surrogatepass"))
-
-
 def near_words(model: Model, rows: list[tuple[str, int]]) -> frozenset[str]:
     """Words of documents labelled clean that are near a term without being one."""
     automaton = LexiconAutomaton(model.terms)

@@ -80,3 +80,19 @@ def test_held_out_accuracy(spark, module, label, least):
         r.held_out == (zlib.crc32(str(i).encode()) % module.FOLDS == module.KEPT_BACK) for i, r in got.items()
     )
     assert sum(right) / len(right) >= least
+
+
+def test_only_near_copies_count_once():
+    shared = min((f"word{k}" for k in range(5000)), key=lambda w: zlib.crc32(w.encode()))
+    plain = [(f"{shared} " + " ".join(f"plain{k}x{j}" for j in range(20)), 0) for k in range(40)]
+    unlike = [(f"{shared} horrid " + " ".join(f"toxic{k}x{j}" for j in range(20)), 1) for k in range(40)]
+    assert toxicity.learn_lexicon(plain + unlike) == ["horrid"]
+    copies = [(" ".join(f"same{j}" for j in range(40)) + f" copy{k}", 1) for k in range(40)]
+    assert toxicity.learn_lexicon(plain + unlike + copies) == ["horrid"]
+    sets = [frozenset(range(k, k + n)) for k in range(0, 60, 3) for n in (5, 20, 21, 24)]
+    sets = [frozenset(map(str, s)) for s in sets]
+    groups = toxicity.near_copies(sets)
+    firsts = [g[0] for g in groups]
+    assert sum(map(len, groups)) == len(sets)
+    assert all(5 * len(g[0] & s) >= 4 * len(g[0] | s) for g in groups for s in g)
+    assert not any(5 * len(a & b) >= 4 * len(a | b) for a, b in itertools.combinations(firsts, 2))
