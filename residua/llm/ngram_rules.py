@@ -5,8 +5,8 @@ counted, one over trusted documents and one over all documents, each with one ad
 document's score is the mean, over its n-grams, of the log of their ratio; documents below a fixed
 threshold go, as do those that fail the plain rules on length and repetition.
 
-All of it is DataFrame operations. Counts are combined before the shuffle, which so carries a row a
-bucket and task; the ratios, one number a bucket, come back to the driver and go into the plan as an
+All of it is DataFrame operations. The trusted ids are joined without a limit, by shuffle at
+every size. Counts are combined before their shuffle, which so carries a row a bucket and task; the ratios, one number a bucket, come back to the driver and go into the plan as an
 array; scoring shuffles nothing.
 """
 
@@ -19,8 +19,6 @@ from pyspark.sql import functions as F
 
 #: Buckets of the two multinomials.
 BUCKETS = 1 << 14
-#: Trusted documents that the target is counted on, at most. The raw corpus is counted whole.
-TRUSTED_ROWS = 20_000
 #: Documents whose mean log ratio is lower are rejected.
 THRESHOLD = -0.1
 MIN_WORDS, MAX_REPEATED_PERCENT = 50, 50
@@ -41,21 +39,22 @@ def _buckets(words: str, buckets: int) -> Column:
     )
 
 
-def trusted_ids(labels: DataFrame, rows: int = TRUSTED_ROWS) -> DataFrame:
-    """Ids of documents labelled good, at most `rows` of them, those with the smallest hashes."""
+def trusted_ids(labels: DataFrame) -> DataFrame:
+    """Ids of all documents labelled good."""
     good = labels.filter(F.col("quality").cast("int") == 1).select(F.col("doc_id").cast("long").alias("doc_id"))
-    return good.filter(F.col("doc_id").isNotNull()).distinct().orderBy(F.xxhash64("doc_id"), "doc_id").limit(rows)
+    return good.filter(F.col("doc_id").isNotNull()).distinct()
 
 
 def log_ratios(docs: DataFrame, trusted: DataFrame, buckets: int = BUCKETS) -> list[float]:
     """ln(target / raw) of every bucket, counted over the documents with a trusted id and over all.
 
-    trusted must be bounded: its ids are broadcast. Without trusted documents all ratios are 0.
+    trusted may be of any size; its ids are distinct. Without trusted documents all ratios are 0.
     """
-    ids = F.broadcast(trusted.select(F.col("doc_id").alias("_trusted")))
+    ids = trusted.select(F.col("doc_id").alias("_trusted"))
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
-    rows = docs.select(F.col("doc_id").cast("long").alias("_doc"), _words(text).alias("_words"))
-    rows = rows.join(ids, F.col("_doc") == F.col("_trusted"), "left")
+    rows = docs.select(F.col("doc_id").cast("long").alias("_doc"), text.alias("_text"))
+    rows = rows.join(ids.hint("merge"), F.col("_doc") == F.col("_trusted"), "left")
+    rows = rows.select(_words(F.col("_text")).alias("_words"), "_trusted")
     each = rows.select(F.explode(_buckets("_words", buckets)).alias("bucket"), F.col("_trusted").isNotNull().alias("target"))
     counts = each.groupBy("bucket").agg(F.count(F.lit(1)).alias("raw"), F.count_if("target").alias("target"))
     raw, target = [1] * buckets, [1] * buckets
@@ -64,8 +63,6 @@ def log_ratios(docs: DataFrame, trusted: DataFrame, buckets: int = BUCKETS) -> l
         target[r.bucket] += r.target
     if sum(target) == buckets:
         return [0.0] * buckets
-
-
     shift = math.log(sum(raw)) - math.log(sum(target))
     return [math.log(t) - math.log(r) + shift for t, r in zip(target, raw, strict=True)]
 

@@ -74,3 +74,16 @@ def test_odd_rows(spark, n):
     docs = spark.createDataFrame([(i, t, "c", 1) for i, t in rows], "doc_id long, text string, words string, llr int")
     labels = spark.createDataFrame([(3, 1), (4, None), (None, 1), (3, 1)], "doc_id long, quality int")
     assert got(rules.apply_rules(docs, labels).collect()) == brute(rows, {3})
+
+
+def test_all_trusted_documents_count(spark):
+    n = 30_000
+    docs = spark.range(n).selectExpr("id AS doc_id", "concat('word', id % 7) AS text")
+    labels = spark.range(n).selectExpr("id AS doc_id", "int(id % 7 < 6) AS quality")
+    trusted = rules.trusted_ids(labels)
+    assert trusted.count() == sum(k % 7 < 6 for k in range(n))
+    ratios = rules.log_ratios(docs, trusted)
+    raw, target = Counter(k % 7 for k in range(n)), Counter(k % 7 for k in range(n) if k % 7 < 6)
+    shift = math.log(n + rules.BUCKETS) - math.log(sum(target.values()) + rules.BUCKETS)
+    for k in range(7):
+        assert ratios[bucket(f"word{k}")] == pytest.approx(math.log(target[k] + 1) - math.log(raw[k] + 1) + shift)
