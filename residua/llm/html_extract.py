@@ -3,7 +3,8 @@
 A lenient parser builds the element tree. Menus, adverts, forms and the like are cut from it by element,
 role and class. Paragraphs then earn points for length and commas and pass them to their ancestors, with
 less for each level; a container's points are discounted by the share of its text inside links. The best
-container and those of its siblings that score well enough are the article.
+container, or the article or main element that it stands in, is the article, together with those of its
+siblings that score well enough, are prose, or are headings, lists, tables and the like with few links.
 """
 
 from __future__ import annotations
@@ -56,6 +57,9 @@ NEVER_DROPPED = frozenset("html body article main".split())
 BONUS = {"article": 25.0, "main": 15.0, "div": 5.0, "section": 5.0, "pre": 3.0, "blockquote": 3.0, "td": 3.0}
 #: A sibling of the best container is kept with this share of its points, and so many at least.
 SIBLING_SHARE, SIBLING_LEAST = 0.2, 10.0
+#: Siblings that are kept whatever their points, if less than LINKED of their text is inside links.
+SIBLING_TAGS = frozenset("h1 h2 h3 h4 h5 h6 hgroup ul ol dl pre table figure section blockquote".split())
+LINKED = 0.25
 PARAGRAPHS = frozenset("p pre td blockquote li dd figcaption".split())
 CONTAINERS = frozenset("article main section div body td blockquote".split())
 
@@ -244,7 +248,7 @@ def prune(root: Node) -> list[Node]:
 
 
 def article(root: Node) -> list[Node]:
-    """The best container and the siblings that are kept, in page order."""
+    """The best container or the article around it, and the siblings that are kept, in page order."""
     nodes = prune(root)
     in_link = {id(root): False}
     for node in nodes:
@@ -279,6 +283,10 @@ def article(root: Node) -> list[Node]:
             if found := [x for x in nodes if x.tag == tag and x.size and x.links < x.size]:
                 return found[:1]
         return []
+    around = best
+    while around is not None and around.tag not in ("article", "main"):
+        around = around.parent
+    best = around or best
     out = []
     for c in best.parent.children if best.parent is not None else [best]:
         if c is best:
@@ -286,8 +294,9 @@ def article(root: Node) -> list[Node]:
         elif isinstance(c, Node) and c.size and best.tag != "body":
             density = c.links / c.size
             enough = c.tag in CONTAINERS and c.points >= max(SIBLING_LEAST, SIBLING_SHARE * most)
-            prose = c.tag == "p" and ((c.size > 80 and density < 0.25) or (density == 0 and "." in _inner(c)))
-            if enough or prose:
+            prose = c.tag == "p" and ((c.size > 80 and density < LINKED) or (density == 0 and "." in _inner(c)))
+            other = c.tag in SIBLING_TAGS and density < LINKED
+            if enough or prose or other:
                 out.append(c)
     return out
 

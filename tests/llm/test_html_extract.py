@@ -40,6 +40,19 @@ def test_siblings_are_kept():
     assert extract(page(body)) == "\n".join([PROSE] * 4)
 
 
+def test_an_article_is_kept_whole():
+    paragraph = "<p>" + "abcdefghi, " * 4 + "x" * 256 + "</p>"
+    for n in (3, 6, 12):
+        text = extract(page(f"<article><h1>Title</h1><div>{paragraph * n}</div><ul><li>one</li><li>two</li></ul></article>"))
+        assert text.split("\n")[0] == "Title" and text.endswith("\none\ntwo") and len(text.split("\n")) == n + 3
+    short = "A short closing section of some sixty characters, no more."
+    text = extract(page(f"<article><section>{paragraph * 8}</section><section><p>{short}</p></section></article>"))
+    assert text.endswith(short) and len(text.split("\n")) == 9
+    body = f"<div><h1>Title</h1><div>{paragraph * 8}</div><table><tr><td>cell</td></tr></table><ul><li><a href='x'>link</a></li></ul></div>"
+    text = extract(page(body))
+    assert text.startswith("Title\n") and text.endswith("\ncell")
+
+
 def test_odd_pages():
     assert extract(None) == extract("") == extract("<") == extract("<p") == ""
     assert extract("plain words") == "plain words"
