@@ -8,12 +8,15 @@ source has no blocks left, the others share its slots in proportion and a new ph
 document gets a place.
 
 A period is scheduled once for each phase, on a row with one element a source; periods repeat, so a
-document's slot follows from its block number. The running length of a source is summed in chunks and
+document's slot follows from its block number. Of more than MAX_SOURCES sources the same phases are
+computed on the driver, where no more slots are gone through than there are blocks. The running length of a source is summed in chunks and
 then within them, so no source has to pass through one task.
 """
 
 from __future__ import annotations
 
+from heapq import heapify, heappop, heappush
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -25,7 +28,7 @@ BLOCK_CHARS = 1 << 16
 PERIOD = 1000
 #: Characters of a file that in_order writes, at most, on average.
 FILE_CHARS = 1 << 27
-#: Sources at most; group smaller ones before mixing.
+#: Sources at most, unless the caller allows more; and sources that one row of the plan is scheduled for.
 MAX_SOURCES = 256
 #: Documents of a chunk, about.
 CHUNK_DOCS = 512
@@ -82,6 +85,48 @@ def _plan(sources: DataFrame) -> DataFrame:
     return rows.filter(F.col("first") < F.col("last"))
 
 
+_PHASES = "source string, first long, last long, at long, share int, period int, places array<int>"
+
+
+def _phases(sources: list[tuple[str | None, int, int]]) -> list[tuple]:
+    """What _plan gives, for (source, blocks, share) of any number of sources: rows of _PHASES.
+
+    A phase that ends within its period is gone through up to its end only.
+    """
+    sources = sorted(sources, key=lambda x: (x[0] is not None, (x[0] or "").encode("utf-8", "surrogatepass")))
+    live, done, at, out = list(range(len(sources))), [0] * len(sources), 0, []
+    while live:
+        period = sum(sources[i][2] for i in live)
+        ready = [(-(-period // sources[i][2]), i) for i in live]  # due, source
+        heapify(ready)
+        later: list[tuple[int, int]] = []  # release, source
+        places: dict[int, list[int]] = {}
+        end = 0
+        for t in range(period):
+            while later and later[0][0] <= t:
+                i = heappop(later)[1]
+                heappush(ready, (-(-(len(places[i]) + 1) * period // sources[i][2]), i))
+            i = heappop(ready)[1]
+            found = places.setdefault(i, [])
+            found.append(t)
+            if done[i] + len(found) == sources[i][1]:
+                end = t + 1
+                break
+            if len(found) < sources[i][2]:
+                heappush(later, (len(found) * period // sources[i][2], i))
+        if not end:  # all have had their share of the period, which repeats
+            left = {i: sources[i][1] - done[i] - 1 for i in live}
+            end = min(left[i] // sources[i][2] * period + places[i][left[i] % sources[i][2]] for i in live) + 1
+        for i, found in places.items():
+            given = end // period * sources[i][2] + sum(k < end % period for k in found)
+            if given:
+                out.append((sources[i][0], done[i], done[i] + given, at, sources[i][2], period, found))
+                done[i] += given
+        at += end
+        live = [i for i in live if done[i] < sources[i][1]]
+    return out
+
+
 def _shares(sizes: DataFrame, weights: dict[str, float] | None) -> DataFrame:
     """sizes with `share`, a source's slots in a period: by weights, or by the square root of its length."""
     if weights is None:
@@ -96,17 +141,24 @@ def _shares(sizes: DataFrame, weights: dict[str, float] | None) -> DataFrame:
     return sizes.withColumn("share", F.coalesce(given[F.col("source")], F.lit(1)))
 
 
-def schedule(rows: DataFrame, weights: dict[str, float] | None = None, block_chars: int = BLOCK_CHARS) -> tuple[DataFrame, int]:
+def schedule(rows: DataFrame, weights: dict[str, float] | None = None, block_chars: int = BLOCK_CHARS, max_sources: int | None = MAX_SOURCES) -> tuple[DataFrame, int]:
     """Give each of rows (source, mass, digest, and whatever else) its block, start and slot; also their mass.
 
-    Sources without a weight get one share of a period. Raises for more than MAX_SOURCES sources.
+    Sources without a weight get one share of a period. Raises for more than max_sources sources; None allows
+    any number, of which the driver then holds the sizes and the plan.
     """
     sizes = rows.groupBy("source").agg(F.count(F.lit(1)).alias("docs"), F.sum("mass").alias("mass"))
-    known = sizes.limit(MAX_SOURCES + 1).collect()
-    if len(known) > MAX_SOURCES:
-        raise ValueError(f"more than {MAX_SOURCES} sources; group them first")
+    known = sizes.limit(MAX_SOURCES + 1).collect() if max_sources is None else sizes.limit(max_sources + 1).collect()
+    if max_sources is not None and len(known) > max_sources:
+        raise ValueError(f"more than {max_sources} sources; group them first")
     blocks = F.expr(f"(mass + {block_chars - 1}) div {block_chars}")
-    plan = F.broadcast(_plan(_shares(sizes.withColumn("blocks", blocks), weights)))
+    shares = _shares(sizes.withColumn("blocks", blocks), weights)
+    if len(known) > MAX_SOURCES:
+        known = shares.collect()
+        plan = rows.sparkSession.createDataFrame(_phases([(r.source, r.blocks, r.share) for r in known]), _PHASES)
+    else:
+        plan = _plan(shares)
+    plan = F.broadcast(plan)
     # Chunks of the digest's range, as many for a source as its documents need.
     bits = F.greatest(F.lit(0), F.ceil(F.log2(F.col("docs") / CHUNK_DOCS))).cast("int")
     cut = F.broadcast(sizes.select(F.col("source").alias("_source"), bits.alias("bits")))
@@ -137,24 +189,29 @@ def _measured(docs: DataFrame, *more: Column) -> DataFrame:
     return docs.select(*more, source.alias("source"), mass.alias("mass"), _digest(F.col("doc_id"), F.col("text")).alias("digest"))
 
 
-def mix(docs: DataFrame, weights: dict[str, float] | None = None, block_chars: int = BLOCK_CHARS) -> DataFrame:
+def mix(
+    docs: DataFrame, weights: dict[str, float] | None = None, block_chars: int = BLOCK_CHARS, max_sources: int | None = MAX_SOURCES
+) -> DataFrame:
     """The place of every row of docs (doc_id, text, source) in the mixture.
 
     doc_id, source, block (number in its source), start (characters of its source before it), slot; the
     mixture is the order by slot and start. A document counts its characters and one more. Without
-    weights, sources weigh as the square root of their length.
+    weights, sources weigh as the square root of their length. More than max_sources sources raise an error;
+    None allows any number.
 
     Null texts are empty; a null source is a source of its own; null and repeated doc_ids are placed row
     by row; an empty table gives no rows; other columns are ignored.
     """
-    rows, _ = schedule(_measured(docs, F.col("doc_id").cast("long").alias("doc_id")), weights, block_chars)
+    rows, _ = schedule(_measured(docs, F.col("doc_id").cast("long").alias("doc_id")), weights, block_chars, max_sources)
     return rows.select("doc_id", "source", "block", "start", "slot")
 
 
-def in_order(docs: DataFrame, weights: dict[str, float] | None = None, block_chars: int = BLOCK_CHARS) -> DataFrame:
+def in_order(
+    docs: DataFrame, weights: dict[str, float] | None = None, block_chars: int = BLOCK_CHARS, max_sources: int | None = MAX_SOURCES
+) -> DataFrame:
     """All rows and columns of docs, sorted into the order of the mixture, as files keep it when written."""
     whole = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")
-    rows, mass = schedule(_measured(docs, whole), weights, block_chars)
+    rows, mass = schedule(_measured(docs, whole), weights, block_chars, max_sources)
     parts = max(shuffle_partitions(docs.sparkSession), -(-mass // FILE_CHARS))
     return rows.repartitionByRange(parts, "slot", "start").sortWithinPartitions("slot", "start").select("row.*")
 

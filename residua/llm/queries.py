@@ -18,7 +18,7 @@ def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return mixing.mix(table(spark, sf_dir, "documents"))
+    return mixing.mix(table(spark, sf_dir, "documents"), max_sources=None)
 
 
 def op3_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:

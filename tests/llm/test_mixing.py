@@ -1,10 +1,11 @@
 from collections import defaultdict
 
+import corpus_pipeline
 import duckdb
 import pandas as pd
 import pytest
 
-from residua.llm import mixing
+from residua.llm import mixing, queries
 from residua.session import table
 
 NAMES = "doc_id, source, block, start, slot"
@@ -53,3 +54,21 @@ def test_odd_rows(spark):
     many = spark.range(300).selectExpr("id AS doc_id", "'t' AS text", "string(id) AS source")
     with pytest.raises(ValueError):
         mixing.mix(many)
+
+
+def test_any_number_of_sources(spark, tmp_path):
+    rows = [(k, "x" * (k * 37 % 900), f"s{k % 331}" if k % 331 else None) for k in range(1200)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    assert got(mixing.mix(docs, block_chars=400, max_sources=None)) == brute(rows, 400)
+    docs.write.parquet(str(tmp_path / "documents.parquet"))
+    assert queries.op2_source_mixing(spark, str(tmp_path)).count() == len(rows)
+    assert corpus_pipeline.source_mixing(spark, docs, str(tmp_path)).count() == len(rows)
+
+
+def test_phases_are_those_of_the_plan(spark):
+    sources = [(None, 7, 30), ("a", 900, 500), ("b", 1, 1), ("é", 450, 269), ("z", 2000, 200)]
+    frame = spark.createDataFrame(sources, "source string, blocks long, share int")
+    planned = {(r.source, r.first, r["last"], r.at, r.share, r.period): r.places for r in mixing._plan(frame).collect()}
+    found = {x[:6]: x[6] for x in mixing._phases(sources)}
+    assert set(found) == set(planned)
+    assert all(found[k] == planned[k][: len(found[k])] for k in found)
