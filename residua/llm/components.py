@@ -12,9 +12,11 @@ def _with_least(rows: DataFrame, least: DataFrame) -> DataFrame:
     """rows (u, v) with m of least (u, m).
 
     A node with very many neighbours is one key. Joining on a second column as well deals both sides out
-    anew after the aggregation, so that such a key's rows can be split among tasks at run time.
+    anew after the aggregation, so that such a key's rows can be split among tasks at run time. It is a
+    merge join at every size: neither side has a bound, and a small table should run as a large one does.
     """
-    return rows.withColumn("again", -F.col("u")).join(least.withColumn("again", -F.col("u")), ["u", "again"]).drop("again")
+    again = least.withColumn("again", -F.col("u")).hint("merge")
+    return rows.withColumn("again", -F.col("u")).join(again, ["u", "again"]).drop("again")
 
 
 def _large_star(edges: DataFrame) -> DataFrame:
@@ -42,11 +44,12 @@ def _state(edges: DataFrame) -> tuple[int, int]:
 
 
 def connected_components(edges: DataFrame, most_rounds: int = 60) -> DataFrame:
-    """Smallest node of the component of every node that has an edge.
+    """Smallest node of the component of every node that has an edge: node, component, written to the shared folder.
 
     edges has long columns a and b; loops are dropped, repeated edges and either order are fine. Each
-    round is written to the shared folder, so a lost executor costs one round. Returns node, component.
-    Raises if the rounds don't suffice (they grow with the logarithm of the number of nodes).
+    round is written to the shared folder, so a lost executor costs one round. The caller may unstage()
+    the result once it is read. Raises if the rounds don't suffice (they grow with the logarithm of the
+    number of nodes).
     """
     now = staged(edges.filter(F.col("a") != F.col("b")).select("a", "b").distinct(), "edges")
     state = _state(now)
@@ -59,4 +62,6 @@ def connected_components(edges: DataFrame, most_rounds: int = 60) -> DataFrame:
     else:
         raise RuntimeError("components did not settle")
     roots = now.select(F.col("b").alias("node")).distinct().select("node", F.col("node").alias("component"))
-    return now.select(F.col("a").alias("node"), F.col("b").alias("component")).unionByName(roots)
+    found = staged(now.select(F.col("a").alias("node"), F.col("b").alias("component")).unionByName(roots), "components")
+    unstage(now)
+    return found

@@ -6,10 +6,15 @@
 2. Classes that share a band are candidates. A band bucket of a few classes gives its pairs, of which
    those stay whose sizes and signatures allow the similarity; a larger bucket only ties its classes
    to its smallest one.
-3. Components of candidates are cells. Each class sends its full set to its cell once, where all sets are
-   compared exactly. A large cell is cut into blocks and every pair of blocks compared in a task of its
-   own, so no cell has to fit into one task. Only the edges of a spanning forest come out.
-4. Components of the confirmed links are the groups.
+3. Components of candidates are cells. Each class sends its full set to its cell. A cell of one block is
+   compared whole and exactly. A larger one is cut into blocks, and a few of its classes, the pivots, go
+   to every block: within a block all sets are compared exactly, so nearly all that belongs together
+   is tied together over the pivots, and each set is sent about once.
+4. What is left in such a cell are pairs in different components. These are found by their prefixes: of
+   shingles ordered from rare to common, two similar sets must share one among the first few, at places
+   that leave room for the rest. Those pairs are compared on full sets too. So no cell is compared pair
+   by pair, however large, and no link is lost.
+5. Components of the confirmed links are the groups.
 """
 
 from __future__ import annotations
@@ -34,6 +39,10 @@ MINIMA = 125
 PAIRED = 16
 #: Documents and shingles of a block, about; cells of more are compared block by block.
 BLOCK_DOCS, BLOCK_SHINGLES = 128, 400_000
+#: One class of so many blocks' worth is a pivot: about an eighth of a block's classes.
+PIVOT_SHARE = 8
+#: Shingles are ordered by the counts of so many buckets.
+RARITY_BUCKETS = 1 << 16
 
 _BASE, _MIX = np.uint64(0x100000001B3), np.uint64(0x9E3779B97F4A7C15)
 _SLICE = 1 << 20
@@ -181,16 +190,16 @@ def _candidates(classes: DataFrame, percent: int) -> DataFrame:
     """Edges (a, b) that tie together all classes (node, n, bands, sketch) that may be similar."""
     laid = classes.select("node", "n", F.posexplode("bands").alias("band", "key"))
     buckets = laid.groupBy("band", "key").agg(F.min("node").alias("hub"), F.max("node").alias("top"), F.count(F.lit(1)).alias("size"))
-    shared = staged(laid.join(buckets.filter("hub < top").select("band", "key", "hub", "size"), ["band", "key"]), "shared")
+    shared = staged(laid.join(buckets.filter("hub < top").select("band", "key", "hub", "size").hint("merge"), ["band", "key"]), "shared")
     stars = shared.filter((F.col("size") > PAIRED) & (F.col("node") != F.col("hub"))).select(F.col("hub").alias("a"), F.col("node").alias("b"))
     few = shared.filter(F.col("size") <= PAIRED)
     left = few.select("band", "key", F.col("node").alias("a"), F.col("n").alias("n_a"))
     right = few.select("band", "key", F.col("node").alias("b"), F.col("n").alias("n_b"))
-    met = left.join(right, ["band", "key"]).filter(F.col("a") < F.col("b"))
+    met = left.join(right.hint("merge"), ["band", "key"]).filter(F.col("a") < F.col("b"))
     met = met.filter(100 * F.least("n_a", "n_b") >= percent * F.greatest("n_a", "n_b")).select("a", "b").distinct()
     sketches = classes.select("node", "sketch")
-    met = met.join(sketches.select(F.col("node").alias("a"), F.col("sketch").alias("sketch_a")), "a")
-    met = met.join(sketches.select(F.col("node").alias("b"), F.col("sketch").alias("sketch_b")), "b")
+    met = met.join(sketches.select(F.col("node").alias("a"), F.col("sketch").alias("sketch_a")).hint("merge"), "a")
+    met = met.join(sketches.select(F.col("node").alias("b"), F.col("sketch").alias("sketch_b")).hint("merge"), "b")
     edges = staged(_plausible(met, percent).unionByName(stars.distinct()), "candidates")
     unstage(shared)
     return edges
@@ -234,58 +243,63 @@ def similar(sets: list[np.ndarray], percent: int) -> np.ndarray:
     return root
 
 
-def _links(docs: DataFrame, members: DataFrame, words: int, percent: int) -> DataFrame:
-    """Edges (a, b) of a spanning forest of the similar classes within each cell.
+def _placed(docs: DataFrame, members: DataFrame, *more: str) -> DataFrame:
+    """The texts of members (node, code, and more), as (node, code, more, text)."""
+    keyed = members.select(F.col("node").alias("doc_id"), "code", *more)
+    # Never a broadcast: members grow with the table, and small tables should run like large ones.
+    texts = docs.select("doc_id", "text").join(keyed.hint("merge"), "doc_id")
+    return texts.select(F.col("doc_id").alias("node"), "code", *more, "text")
+
+
+def _places(members: DataFrame) -> DataFrame:
+    """members (node, cell, blocks, and more) with `places`, the blocks of the cell that each goes to."""
+    blocks = F.col("blocks").cast("long")
+    own = F.pmod(F.xxhash64("node"), blocks).cast("int")
+    pivot = (F.col("node") == F.col("cell")) | (F.pmod(F.xxhash64("node", F.lit(7)), PIVOT_SHARE * blocks) == 0)
+    everywhere = F.sequence(F.lit(0), F.col("blocks") - 1)
+    return members.withColumn("places", F.when(pivot & (blocks > 1), everywhere).otherwise(F.array(own)))
 
-    members: node, code, n, cell. The code tells the class's text from another under the same id.
+
+def _block_links(docs: DataFrame, members: DataFrame, words: int, percent: int) -> DataFrame:
+    """Edges (a, b) of a spanning forest of the similar classes within each block of each cell.
+
+    members: node, code, n, cell, docs, blocks. The code tells the class's text from another under the same id.
     """
-    cells = members.groupBy("cell").agg(F.count(F.lit(1)).alias("docs"), F.sum("n").alias("shingles"))
-    cells = cells.select(
-        "cell",
-        F.greatest(F.ceil(F.col("docs") / BLOCK_DOCS), F.ceil(F.col("shingles") / BLOCK_SHINGLES)).cast("int").alias("blocks"),
-    )
-    placed = members.join(cells, "cell").select(F.col("node").alias("doc_id"), "code", "cell", "blocks")
-    # Never a broadcast: members grow with the table, and small tables should run like large ones.
-    texts = docs.select("doc_id", "text").join(placed.hint("merge"), "doc_id")
-    own = F.pmod(F.xxhash64("doc_id"), F.col("blocks").cast("long")).cast("int")
-    sets = texts.withColumn("own", own)
+    sets = _placed(docs, _places(members), "cell", "places")
 
     def shingled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             out = []
-            for text, code in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True):
+            for text, code in zip(batch.column(4).to_pylist(), batch.column(1).to_pylist(), strict=True):
                 found = shingle_set(text, words)
                 out.append(found.tobytes() if set_hash(found) == code else None)
-            columns = [batch.column(k) for k in (0, 3, 4, 5)]
-            yield pa.RecordBatch.from_arrays([*columns, pa.array(out, pa.binary())], names=["node", "cell", "blocks", "own", "set"])
+            columns = [batch.column(k) for k in range(4)]
+            yield pa.RecordBatch.from_arrays([*columns, pa.array(out, pa.binary())], names=["node", "code", "cell", "places", "set"])
 
-    sets = sets.select("doc_id", "text", "code", "cell", "blocks", "own").mapInArrow(
-        shingled, "node long, cell long, blocks int, own int, set binary"
-    )
-    # Block o meets every block: as the lower of the two, as the higher, or itself.
-    other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other")
-    dealt = sets.filter(F.col("set").isNotNull()).select("node", "cell", "own", other, "set")
-    dealt = dealt.select("cell", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "node", "set")
-    dealt = dealt.repartition("cell", "i", "j").sortWithinPartitions("cell", "i", "j", "node")
+    sets = sets.mapInArrow(shingled, "node long, code binary, cell long, places array<int>, set binary")
+    dealt = sets.filter(F.col("set").isNotNull()).select("cell", F.explode("places").alias("block"), "node", "code", "set")
+    dealt = dealt.repartition("cell", "block").sortWithinPartitions("cell", "block", "node", "code")
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        key, nodes, held = None, [], []
+        key, nodes, held, last = None, [], [], None
 
         def links() -> Iterator[pa.RecordBatch]:
             if len(nodes) > 1:
                 root = similar(held, percent)
-                away = np.flatnonzero(root != np.arange(len(root)))
                 all_ = np.array(nodes, dtype=np.int64)
+                a, b = all_[root], all_
+                away = np.flatnonzero(a != b)
                 if len(away):
-                    yield pa.RecordBatch.from_arrays([pa.array(all_[root[away]]), pa.array(all_[away])], names=["a", "b"])
+                    yield pa.RecordBatch.from_arrays([pa.array(a[away]), pa.array(b[away])], names=["a", "b"])
 
         for batch in batches:
             columns = [batch.column(k).to_pylist() for k in range(5)]
-            for cell, i, j, node, raw in zip(*columns, strict=True):
-                if (cell, i, j) != key:
+            for cell, block, node, code, raw in zip(*columns, strict=True):
+                if (cell, block) != key:
                     yield from links()
-                    key, nodes, held = (cell, i, j), [], []
-                if not nodes or nodes[-1] != node:  # a repeated row is the same document
+                    key, nodes, held, last = (cell, block), [], [], None
+                if last != (node, code):  # a repeated row is the same document
+                    last = (node, code)
                     nodes.append(node)
                     held.append(np.frombuffer(raw, dtype=np.uint64))
         yield from links()
@@ -293,42 +307,175 @@ def _links(docs: DataFrame, members: DataFrame, words: int, percent: int) -> Dat
     return dealt.mapInArrow(compare, "a long, b long")
 
 
+def prefix_lengths(n: int, percent: int) -> tuple[int, int]:
+    """Of a set of n shingles, how many must be looked up, and how many must be found by larger sets.
+
+    A pair at the threshold shares a shingle among the first so many of the larger and of the smaller set.
+    """
+    looked = n - -(-percent * n // 100) + 1
+    found = n - -(-2 * percent * n // (100 + percent)) + 1
+    return looked, found
+
+
+def _prefix_links(docs: DataFrame, rest: DataFrame, words: int, percent: int) -> DataFrame:
+    """Edges (a, b) of all similar pairs of rest (node, code, n, cell, comp) in one cell but different components."""
+    placed = _placed(docs, rest, "cell", "comp")
+
+    def shingled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            out = []
+            for text, code in zip(batch.column(4).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                found = shingle_set(text, words)
+                out.append(found.tobytes() if set_hash(found) == code else None)
+            columns = [batch.column(k) for k in range(4)]
+            yield pa.RecordBatch.from_arrays([*columns, pa.array(out, pa.binary())], names=["node", "code", "cell", "comp", "set"])
+
+    sets = placed.mapInArrow(shingled, "node long, code binary, cell long, comp long, set binary")
+    sets = staged(sets.filter(F.col("set").isNotNull()).dropDuplicates(["node", "code"]), "sets")
+
+    def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(RARITY_BUCKETS, dtype=np.int64)
+        for batch in batches:
+            for raw in batch.column(0).to_pylist():
+                np.add.at(total, (np.frombuffer(raw, dtype=np.uint64) % np.uint64(RARITY_BUCKETS)).astype(np.int64), 1)
+        some = np.flatnonzero(total)
+        yield pa.RecordBatch.from_arrays([pa.array(some), pa.array(total[some])], names=["bucket", "n"])
+
+    sums = sets.select("set").mapInArrow(counted, "bucket long, n long").groupBy("bucket").agg(F.sum("n").alias("n"))
+    count = np.zeros(RARITY_BUCKETS, dtype=np.int64)
+    for r in sums.collect():  # a row a bucket at most
+        count[r.bucket] = r.n
+
+    def prefixes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for node, cell, comp, raw in zip(*(batch.column(k).to_pylist() for k in range(4)), strict=True):
+                own = np.frombuffer(raw, dtype=np.uint64)
+                n = len(own)
+                looked, found = prefix_lengths(n, percent)
+                first = own[np.lexsort((own, count[(own % np.uint64(RARITY_BUCKETS)).astype(np.int64)]))[:looked]]
+                k = len(first)
+                place = np.arange(k, dtype=np.int64)
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        pa.array(np.full(k, cell, dtype=np.int64)),
+                        pa.array(first.view(np.int64)),
+                        pa.array(np.full(k, node, dtype=np.int64)),
+                        pa.array(np.full(k, comp, dtype=np.int64)),
+                        pa.array(np.full(k, n, dtype=np.int64)),
+                        pa.array(place),
+                        pa.array(place < found),
+                    ],
+                    names=["cell", "x", "node", "comp", "n", "place", "found"],
+                )
+
+    laid = sets.select("node", "cell", "comp", "set").mapInArrow(
+        prefixes, "cell long, x long, node long, comp long, n long, place long, found boolean"
+    )
+    # Only shingles that several components of a cell have can tie them.
+    several = laid.groupBy("cell", "x").agg(F.min("comp").alias("least"), F.max("comp").alias("most")).filter("least < most")
+    laid = laid.join(several.select("cell", "x").hint("merge"), ["cell", "x"], "left_semi")
+    large = laid.select("cell", "x", *[F.col(c).alias(f"{c}_b") for c in ("node", "comp", "n", "place")])
+    small = laid.filter("found").select("cell", "x", *[F.col(c).alias(f"{c}_a") for c in ("node", "comp", "n", "place")])
+    need = F.expr(f"({percent} * (n_a + n_b) + {99 + percent}) div {100 + percent}")
+    room = F.least(F.col("n_a") - F.col("place_a"), F.col("n_b") - F.col("place_b"))
+    pairs = small.join(large.hint("merge"), ["cell", "x"]).filter(
+        (F.col("comp_a") != F.col("comp_b"))
+        & ((F.col("n_a") < F.col("n_b")) | ((F.col("n_a") == F.col("n_b")) & (F.col("node_a") < F.col("node_b"))))
+        & (100 * F.col("n_a") >= percent * F.col("n_b"))
+        & (room >= need)
+    )
+    pairs = pairs.select("node_a", "node_b").distinct()
+    one = pairs.join(sets.select(F.col("node").alias("node_a"), F.col("set").alias("set_a")).hint("merge"), "node_a")
+    two = one.join(sets.select(F.col("node").alias("node_b"), F.col("set").alias("set_b")).hint("merge"), "node_b")
+
+    def confirm(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            good = []
+            for x, y in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True):
+                x, y = np.frombuffer(x, dtype=np.uint64), np.frombuffer(y, dtype=np.uint64)
+                both = len(np.intersect1d(x, y, assume_unique=True))
+                good.append(100 * both >= percent * (len(x) + len(y) - both))
+            yield batch.select([0, 1]).filter(pa.array(good, pa.bool_()))
+
+    links = staged(two.select("node_a", "node_b", "set_a", "set_b").mapInArrow(confirm, "a long, b long"), "closing")
+    unstage(sets)
+    return links
+
+
+def _links(docs: DataFrame, members: DataFrame, words: int, percent: int) -> tuple[DataFrame, list[DataFrame]]:
+    """Edges (a, b) that tie together what similar classes of a cell do, and the staged tables that they are read from.
+
+    members: node, code, n, cell.
+    """
+    cells = members.groupBy("cell").agg(F.count(F.lit(1)).alias("docs"), F.sum("n").alias("shingles"))
+    cells = cells.select(
+        "cell",
+        F.greatest(F.ceil(F.col("docs") / BLOCK_DOCS), F.ceil(F.col("shingles") / BLOCK_SHINGLES)).cast("int").alias("blocks"),
+    )
+    sized = staged(members.join(cells.hint("merge"), "cell"), "sized")
+    links = staged(_block_links(docs, sized, words, percent), "links")
+    cut = sized.filter("blocks > 1")
+    if cut.isEmpty():
+        return links, [sized, links]
+    tied = connected_components(links)
+    known = cut.join(tied.withColumnRenamed("component", "comp").hint("merge"), "node", "left")
+    known = known.select("node", "code", "n", "cell", F.coalesce("comp", "node").alias("comp"))
+    several = known.groupBy("cell").agg(F.min("comp").alias("least"), F.max("comp").alias("most")).filter("least < most")
+    closing = _prefix_links(docs, known.join(several.select("cell").hint("merge"), "cell", "left_semi"), words, percent)
+    return links.unionByName(closing), [sized, links, tied, closing]
+
+
 def near_duplicates(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
-    """Groups of near-duplicate rows of docs (doc_id, text).
+    """Groups of near-duplicate rows of docs (doc_id, text), written to the shared folder.
 
     A document's set holds its distinct shingles of `words` words, A-Z lower-cased; two documents are
     linked if 100 * shared >= percent * union. Returns per row: doc_id, n_shingles, component_id (the
-    smallest doc_id of the group), kept (doc_id = component_id).
+    smallest doc_id of the group), kept (doc_id = component_id). The caller may unstage() the result.
 
     Null and empty texts have empty sets and are linked with nothing. A row with a null doc_id belongs to
     the group of its equals, if any has an id, and is never kept; it links nothing. Repeated rows come
-    out alike; rows that share an id but not a text count as one document. An empty table gives no rows;
-    other columns are ignored.
+    out alike. Rows that share an id but not a text are one document with several texts, which is linked
+    with what any of them is linked with; n_shingles is each row's own. Ties have no say: groups depend on
+    links alone, and within one on the smallest id. Texts of any length are read whole, in slices. An
+    empty table gives no rows; other columns are ignored.
     """
     bound_arrow_batches(docs.sparkSession)
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     prints = staged(_fingerprints(docs, words, percent), "fingerprints")
     classes = prints.filter(F.col("code").isNotNull()).groupBy("code").agg(F.min("doc_id").alias("node"))
     classes = staged(classes.filter(F.col("node").isNotNull()), "classes")
-    chosen = prints.join(classes.select(F.col("code").alias("c"), "node"), (F.col("code") == F.col("c")) & (F.col("doc_id") == F.col("node")))
+    first = classes.select(F.col("code").alias("c"), "node").hint("merge")
+    chosen = prints.join(first, (F.col("code") == F.col("c")) & (F.col("doc_id") == F.col("node")))
     edges = _candidates(chosen.select("node", "n", "bands", "sketch"), percent)
-    cells = staged(connected_components(edges), "cells")
+    cells = connected_components(edges)
     unstage(edges)
     known = chosen.select("node", "code", "n").distinct()
-    members = staged(known.join(cells, "node").select("node", "code", "n", F.col("component").alias("cell")), "members")
-    links = _links(docs, members, words, percent)
-    groups = connected_components(links)
-    named = classes.join(groups, "node", "left").select("code", F.coalesce("component", "node").alias("group"))
-    named = staged(named, "groups")
-    unstage(cells), unstage(members), unstage(classes)
-    rows = prints.select("doc_id", "n", "code").join(named, "code", "left")
+    members = staged(known.join(cells.hint("merge"), "node").select("node", "code", "n", F.col("component").alias("cell")), "members")
+    links, parts = _links(docs, members, words, percent)
+    groups = connected_components(links.unionByName(_same_id(prints, classes)))
+    named = staged(classes.join(groups.hint("merge"), "node", "left").select("code", F.coalesce("component", "node").alias("group")), "groups")
+    rows = prints.select("doc_id", "n", "code").join(named.hint("merge"), "code", "left")
     component = F.when(F.col("n") == 0, F.col("doc_id")).otherwise(F.col("group"))
-    return rows.select(
+    rows = rows.select(
         "doc_id",
         F.col("n").alias("n_shingles"),
         component.alias("component_id"),
         F.coalesce(F.col("doc_id") == component, F.lit(False)).alias("kept"),
     )
+    out = staged(rows, "near_duplicates")
+    for table in (prints, classes, cells, members, *parts, groups, named):
+        unstage(table)
+    return out
+
+
+def _same_id(prints: DataFrame, classes: DataFrame) -> DataFrame:
+    """Edges (a, b) between the classes that rows of one id fall into."""
+    ids = prints.filter(F.col("doc_id").isNotNull() & F.col("code").isNotNull()).select("doc_id", F.xxhash64("code").alias("h"))
+    ids = ids.groupBy("doc_id").agg(F.min("h").alias("low"), F.max("h").alias("high")).filter("low < high")
+    rows = prints.select("doc_id", "code").join(ids.select("doc_id").hint("merge"), "doc_id", "left_semi").distinct()
+    rows = rows.join(classes.hint("merge"), "code").select("doc_id", "node")
+    # A class's node is the smallest id in it, so the id itself stands for the others.
+    return rows.filter(F.col("doc_id") != F.col("node")).select(F.col("doc_id").alias("a"), F.col("node").alias("b"))
 
 
 def oracle_sql(words: int, percent: int) -> str:

@@ -1,13 +1,14 @@
 import random
 import re
 from collections import Counter, defaultdict
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
 
 from residua.llm import near_dup
 from residua.llm.components import connected_components
-from residua.session import table
+from residua.session import shared_dir, table, unstage
 
 LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 
@@ -85,3 +86,56 @@ def test_components_of_a_path_and_loops(spark):
     assert found.pop(501) == 501 and found.pop(502) == 501 and 500 not in found
     assert len(set(found.values())) <= 2
     assert connected_components(edges.limit(0)).count() == 0
+
+
+def test_a_large_cell_is_copied_in_proportion(spark):
+    """Every set goes to one block, but for a share of pivots that doesn't grow with the cell."""
+    for n in (5_000, 50_000):
+        blocks = -(-n // near_dup.BLOCK_DOCS)
+        members = spark.range(n).select(F.col("id").alias("node"), F.lit(0).cast("long").alias("cell"), F.lit(blocks).alias("blocks"))
+        copies = near_dup._places(members).agg(F.sum(F.size("places"))).first()[0]
+        assert n <= copies < 1.5 * n
+
+
+@pytest.mark.parametrize("percent", [80, 85, 100])
+def test_prefixes_meet(percent):
+    """Two sets at the threshold share one of the shingles looked up and found, wherever the others stand."""
+    for small in range(1, 120):
+        for large in range(small, 100 * small // percent + 1):
+            need = -(-percent * (small + large) // (100 + percent))
+            looked, found = near_dup.prefix_lengths(large, percent)[0], near_dup.prefix_lengths(small, percent)[1]
+            assert looked >= large - need + 1 and found >= small - need + 1
+
+
+def test_boilerplate_with_own_words(spark, monkeypatch):
+    """A form that hundreds of unlike documents fill in: one cell, few links, found by their prefixes."""
+    monkeypatch.setattr(near_dup, "BLOCK_DOCS", 16)
+    rng = random.Random(5)
+    form = [f"f{k}" for k in range(100)]
+    rows = []
+    for i in range(260):
+        at = rng.randrange(60)
+        own = [f"o{i // 3}x{k}" for k in range(rng.choice([2, 9, 16]))]
+        rows.append((i * 7 % 260, " ".join(form[:at] + own + form[at:])))
+    want = brute(rows, 3, 85)
+    assert 20 < len({v[1] for v in want.values()}) < 250
+    assert got(near_dup.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), 3, 85)) == want
+
+
+def test_repeated_ids_with_unlike_texts(spark):
+    """One document with several texts, whatever the order of the rows."""
+    a, b, c = (" ".join(f"{x}{k}" for k in range(60)) for x in "abc")
+    rows = [(1, a), (5, a + " end"), (5, b), (6, b + " end"), (7, c), (7, c + " end"), (3, c), (9, "alone now here")]
+    for order in (rows, rows[::-1]):
+        found = near_dup.near_duplicates(spark.createDataFrame(order, "doc_id long, text string"), 3, 85).collect()
+        assert sorted((r.doc_id, r.component_id) for r in found) == [(1, 1), (3, 3), (5, 1), (5, 1), (6, 1), (7, 3), (7, 3), (9, 9)]
+
+
+def test_nothing_staged_stays_but_the_result(spark):
+    """The shared folder holds one table more after a run."""
+    folder = Path(shared_dir(spark).removeprefix("file:"))
+    before = set(folder.iterdir())
+    out = near_dup.near_duplicates(spark.createDataFrame([(1, "a b c d"), (2, "a b c d"), (3, "e f g h")], "doc_id long, text string"), 3, 85)
+    assert len(set(folder.iterdir()) - before) == 1
+    unstage(out)
+    assert set(folder.iterdir()) == before

@@ -1,6 +1,8 @@
 from collections import defaultdict
 
 import corpus_pipeline
+from pyspark.sql import functions as F
+
 from residua.llm import mixing, ngram_rules, quality
 from residua.session import staged, table
 from tests.llm import test_near_dup, test_ngram_rules
@@ -58,3 +60,22 @@ def test_odd_documents(spark, tmp_path):
     for name, stage in corpus_pipeline.STAGES:
         now = staged(stage(spark, now, str(tmp_path)), name)
         assert now.count() == 0
+
+
+def test_clashing_columns(spark, tmp_path):
+    """Columns named as the stages' own, or with a dot, come out of every stage as they went in."""
+    text = " ".join(f"word{k}" for k in range(80))
+    rows = [(1, text), (2, text + " more"), (3, " ".join(f"other{k}" for k in range(80))), (None, "nameless " * 60), (None, "nameless " * 60)]
+    names = "_kept _text _trusted _source row id digest kept a.b score slot start mass".split()
+    schema = "doc_id long, text string, lang string, source string, n_chars long, " + ", ".join(f"`{n}` int" for n in names)
+    docs = spark.createDataFrame([(i, t, "en", "s", 1, *range(len(names))) for i, t in rows], schema)
+    spark.createDataFrame([(3, 1, 0)], "doc_id long, quality int, toxic int").write.parquet(str(tmp_path / "labels.parquet"))
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        out = staged(stage(spark, docs, str(tmp_path)), name)
+        assert out.columns == docs.columns
+        if name == "near_duplicates":
+            assert sorted((r.doc_id for r in out.collect()), key=str) == [1, 3, None]
+        if name == "source_mixing":
+            assert out.count() == len(rows)
+    with_map = docs.withColumn("tags", F.create_map(F.lit("k"), F.col("score")))
+    assert corpus_pipeline.near_duplicates(spark, with_map, str(tmp_path)).count() == 3
