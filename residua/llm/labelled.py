@@ -7,8 +7,8 @@ from pyspark.sql import functions as F
 
 #: Labelled documents of each class that a model is fitted on, at most.
 PER_CLASS = 2000
-#: Characters of text that all of them may have together, at most; the sample is thinned beyond it.
-MAX_CHARS = 60_000_000
+#: Characters that one of them may have, and all of them together; a text that doesn't fit is skipped.
+MAX_TEXT, MAX_CHARS = 1_000_000, 60_000_000
 
 
 def fold(doc_id: Column, folds: int) -> Column:
@@ -28,24 +28,26 @@ def sample(
 
     The ids with the smallest hashes are taken, so the sample is spread over the table and the same in
     every run. The ids joined with the documents are at most 2 * per_class, which bounds the broadcast.
-    Repeated label rows count once (the larger label); null ids, labels and texts are left out.
+    An id counts once, with the larger label and the text that sorts first; null ids, labels and texts are
+    left out, and so are texts over MAX_TEXT and those that the rest of MAX_CHARS has no room for, which
+    says nothing about the texts after them.
     """
     usable = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col(label).cast("int").alias("label"))
     usable = usable.filter((fold(F.col("doc_id"), folds) != kept_back) & F.col("label").isin(0, 1))
     order = [F.xxhash64("doc_id"), F.col("doc_id")]
-    picked = [usable.filter(F.col("label") == k).orderBy(*order).limit(per_class) for k in (0, 1)]
+    picked = [usable.filter(F.col("label") == k).distinct().orderBy(*order).limit(per_class) for k in (0, 1)]
     ids = picked[0].unionByName(picked[1]).groupBy("doc_id").agg(F.max("label").alias("label"))
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     found = (
-        texts.filter(F.col("text").isNotNull())
+        texts.filter(F.length("text") <= MAX_TEXT)
         .join(F.broadcast(ids), "doc_id")
-        .orderBy(F.xxhash64("doc_id"), "doc_id", F.xxhash64("text"))
-        .limit(2 * per_class)
+        .groupBy("doc_id", "label")
+        .agg(F.min("text").alias("text"))
+        .orderBy(*order)
     )
     out, chars = [], 0
     for row in found.toLocalIterator():
-        chars += len(row.text)
-        if chars > MAX_CHARS:
-            break
-        out.append((row.text, row.label))
+        if chars + len(row.text) <= MAX_CHARS:
+            chars += len(row.text)
+            out.append((row.text, row.label))
     return out

@@ -11,6 +11,7 @@ output rows, and gives exactly what the averaged vector gives.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import lru_cache
 
@@ -28,7 +29,7 @@ NGRAMS = 1 << BITS
 #: Buckets: n-grams, then words, then one for a word that repeats the word before it.
 REPEAT = 2 * NGRAMS
 BUCKETS = REPEAT + 1
-#: Longer texts are read in slices of this many characters; no n-gram or word spans two slices.
+#: Longer texts are read in slices of this many characters, so memory doesn't follow a text's length.
 SLICE = 1 << 20
 FOLDS, KEPT_BACK, THRESHOLD = 5, 0, 0.3
 
@@ -45,26 +46,44 @@ def _powers() -> tuple[np.ndarray, np.ndarray]:
     return np.multiply.accumulate(up), np.multiply.accumulate(down)
 
 
-def grams(text: str) -> np.ndarray:
-    """Buckets of all words and n-grams of one slice."""
-    padded = np.frombuffer(f"\n{text}\n".encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
+def grams(text: str) -> Iterator[np.ndarray]:
+    """Buckets of all words and n-grams, slice by slice; what spans two slices is found as if there were none."""
+    whole = f"\n{text}\n"
     up, down = _powers()
-    with np.errstate(over="ignore"):
-        three = (padded[:-2] * _BASE32 + padded[1:-1]) * _BASE32 + padded[2:]
-        four = three[:-1] * _BASE32 + padded[3:]
-        near = [((h * _MIX32) >> np.uint32(32 - BITS)).astype(np.int32) for h in (three, four)]
-        blank = (padded == 32) | ((padded >= 9) & (padded <= 13))
-        edge = np.flatnonzero(blank[1:] != blank[:-1]) + 1
-        begin, end = edge[::2], edge[1::2]
-        sums = np.cumsum(padded * up[: len(padded)], dtype=np.uint64)
-        whole = (sums[end - 1] - sums[begin - 1]) * down[begin]
-        words = ((whole * _MIX) >> np.uint64(64 - BITS)).astype(np.int32) + NGRAMS
-    again = np.full(int((whole[1:] == whole[:-1]).sum()), REPEAT, dtype=np.int32)
-    return np.concatenate([*near, words, again])
-
-
-def _slices(text: str) -> list[str]:
-    return [text[k : k + SLICE] for k in range(0, len(text), SLICE)]
+    open_sum, open_size, before = 0, 0, None  # the word that a slice leaves open, and the last one closed
+    for at in range(0, len(whole), SLICE):
+        letters = np.frombuffer(whole[at : at + SLICE + 3].encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
+        n = min(SLICE, len(whole) - at)
+        with np.errstate(over="ignore"):
+            three = (letters[:-2] * _BASE32 + letters[1:-1]) * _BASE32 + letters[2:]
+            four = three[:-1] * _BASE32 + letters[3:]
+            near = [((h[:n] * _MIX32) >> np.uint32(32 - BITS)).astype(np.int32) for h in (three, four)]
+            own = letters[:n]
+            blank = (own == 32) | ((own >= 9) & (own <= 13))
+            edge = np.flatnonzero(np.diff(blank, prepend=not open_size))
+            sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(own * up[:n], dtype=np.uint64)])
+            first = None
+            if open_size:  # goes on to the first edge
+                end = int(edge[0]) if len(edge) else n
+                open_sum = (open_sum + pow(int(_BASE), open_size, 1 << 64) * int(sums[end])) % (1 << 64)
+                open_size += end
+                if len(edge):
+                    first, open_size = open_sum, 0
+                edge = edge[1:]
+            begin, end = edge[::2], edge[1::2]
+            if len(begin) > len(end):
+                k = int(begin[-1])
+                open_sum, open_size = int((sums[n] - sums[k]) * down[k]), n - k
+                begin = begin[:-1]
+            words = (sums[end] - sums[begin]) * down[begin]
+            if first is not None:
+                words = np.concatenate([np.array([first], dtype=np.uint64), words])
+            buckets = ((words * _MIX) >> np.uint64(64 - BITS)).astype(np.int32) + NGRAMS
+        again = int((words[1:] == words[:-1]).sum())
+        if len(words):
+            again += before is not None and before == words[0]
+            before = words[-1]
+        yield np.concatenate([*near, buckets, np.full(again, REPEAT, dtype=np.int32)])
 
 
 @dataclass(frozen=True)
@@ -77,8 +96,7 @@ class Model:
     def score(self, text: str | None) -> float:
         """The softmax of label 1 for one text; a null or empty text gets the bias alone."""
         total, n = 0.0, 0
-        for part in _slices(text or ""):
-            found = grams(part)
+        for found in grams(text or ""):
             total += float(self.weight[found].sum(dtype=np.float64))
             n += len(found)
         z = self.bias + (total / n if n else 0.0)
@@ -99,17 +117,21 @@ def train(
     rng = np.random.default_rng(seed)
     vectors = rng.uniform(-1 / dim, 1 / dim, (BUCKETS, dim)).astype(np.float32)
     layer, bias = np.zeros((2, dim), dtype=np.float32), np.zeros(2, dtype=np.float32)
-    bags = []
-    for text, label in rows:
-        found = [grams(part) for part in _slices(text)]
-        if found and (n := sum(map(len, found))):
-            bucket, count = np.unique(np.concatenate(found), return_counts=True)
-            bags.append((bucket, (count / n).astype(np.float32), label))
-    epochs = min(60, max(8, steps // max(1, len(bags))))
-    step, steps = 0, epochs * len(bags)
+    # All bags in two arrays, so that the driver gets their memory back.
+    buckets, shares, ends = np.empty(1 << 20, dtype=np.int32), np.empty(1 << 20, dtype=np.float32), [0]
+    for text, _ in rows:
+        found = np.concatenate(list(grams(text)))
+        bucket, count = np.unique(found, return_counts=True)
+        while ends[-1] + len(bucket) > len(buckets):
+            buckets, shares = (np.concatenate([x, np.empty_like(x)]) for x in (buckets, shares))
+        mine = slice(ends[-1], ends[-1] + len(bucket))
+        buckets[mine], shares[mine] = bucket, count / max(1, len(found))
+        ends.append(mine.stop)
+    epochs = min(60, max(8, steps // len(rows)))
+    step, steps = 0, epochs * len(rows)
     for _ in range(epochs):
-        for k in rng.permutation(len(bags)):
-            bucket, share, label = bags[k]
+        for k in rng.permutation(len(rows)):
+            bucket, share, label = buckets[ends[k] : ends[k + 1]], shares[ends[k] : ends[k + 1]], rows[k][1]
             now = rate * (1 - step / steps)
             step += 1
             mean = share @ vectors[bucket]
@@ -142,8 +164,10 @@ def score(text: Column, model: Model) -> Column:
 def classify(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """Score every row of docs (doc_id, text): doc_id, held_out, score, predicted.
 
-    Null and empty texts get the model's bias; a null doc_id is not held out; repeated rows are scored
-    alike; an empty table gives no rows; other columns are ignored.
+    Null and empty texts get the model's score of an empty text; texts of any length are read whole, in
+    slices that leave the n-grams as they are; a null doc_id is not held out; repeated rows are scored
+    alike, and a score that ties with the threshold counts as 1; without labels every score is 0.5; an
+    empty table gives no rows; other columns are ignored.
     """
     bound_arrow_batches(docs.sparkSession)
     model = fit(docs, labels)

@@ -1,10 +1,14 @@
 import itertools
 import pickle
 import zlib
+from collections import Counter
 
+import numpy as np
 import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
 
-from residua.llm import quality, toxicity
+from residua.llm import labelled, quality, toxicity
 from residua.session import table
 
 
@@ -96,3 +100,60 @@ def test_only_near_copies_count_once():
     assert sum(map(len, groups)) == len(sets)
     assert all(5 * len(g[0] & s) >= 4 * len(g[0] | s) for g in groups for s in g)
     assert not any(5 * len(a & b) >= 4 * len(a | b) for a, b in itertools.combinations(firsts, 2))
+
+
+@settings(max_examples=150, deadline=None)
+@given(st.text(alphabet="ab \n\té", max_size=60), st.integers(1, 9))
+def test_slices_leave_features_alone(text, size):
+    whole = sorted(np.concatenate(list(quality.grams(text))).tolist())
+    with pytest.MonkeyPatch.context() as patch:
+        patch.setattr(quality, "SLICE", size)
+        assert sorted(np.concatenate(list(quality.grams(text))).tolist()) == whole
+
+
+def test_features_by_brute_force():
+    """The n-grams and words of a text, hashed one at a time."""
+    text = "one  two two\tthree é"
+    found = Counter(np.concatenate(list(quality.grams(text))).tolist())
+    padded = f"\n{text}\n"
+    words = text.split()
+    assert sum(n for k, n in found.items() if k == quality.REPEAT) == 1
+    assert sum(n for k, n in found.items() if quality.NGRAMS <= k < quality.REPEAT) == len(words)
+    assert sum(n for k, n in found.items() if k < quality.NGRAMS) == 2 * len(padded) - 5
+    want = Counter()
+    for w in words:
+        h = sum(ord(c) * pow(0x100000001B3, j) for j, c in enumerate(w)) % 2**64
+        want[(h * 0x9E3779B97F4A7C15 % 2**64 >> 48) + quality.NGRAMS] += 1
+    for n in (3, 4):
+        for k in range(len(padded) - n + 1):
+            h = 0
+            for c in padded[k : k + n]:
+                h = (h * 0x01000193 + ord(c)) % 2**32
+            want[h * 0x9E3779B1 % 2**32 >> 16] += 1
+    want[quality.REPEAT] = 1
+    assert found == want
+
+
+def test_a_text_too_large_is_skipped_not_the_rest(spark, monkeypatch):
+    docs = spark.createDataFrame([(k, "x" * (900 if k == 7 else 10)) for k in range(40)] + [(3, "second")] * 500, "doc_id long, text string")
+    labels = spark.createDataFrame([(k, k % 2, 0) for k in range(40)], "doc_id long, quality int, toxic int")
+    usable = [k for k in range(40) if zlib.crc32(str(k).encode()) % 5]
+    assert 7 in usable and 3 in usable
+    assert len(labelled.sample(docs, labels, "quality", 5, 0)) == len(usable)
+    monkeypatch.setattr(labelled, "MAX_CHARS", 500)
+    assert len(labelled.sample(docs, labels, "quality", 5, 0)) == len(usable) - 1
+    monkeypatch.setattr(labelled, "MAX_TEXT", 800)
+    found = labelled.sample(docs, labels, "quality", 5, 0)
+    assert len(found) == len(usable) - 1 and {y for _, y in found} == {0, 1}
+
+
+@pytest.mark.parametrize("module,label,other", [(quality, "quality", "toxic"), (toxicity, "toxic", "quality")])
+def test_whole_table_row_by_row(spark, sf_dir, module, label, other):
+    """The query's rows are those of the model applied to each text in plain Python."""
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    model = module.train(labelled.sample(docs, labels, label, module.FOLDS, module.KEPT_BACK))
+    want = {}
+    for r in docs.collect():
+        score = model.score(r.text)
+        want[r.doc_id] = (zlib.crc32(str(r.doc_id).encode()) % module.FOLDS == module.KEPT_BACK, score, int(score >= module.THRESHOLD))
+    assert {r.doc_id: (r.held_out, r.score, r.predicted) for r in module.classify(docs, labels).collect()} == want
