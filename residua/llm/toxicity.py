@@ -13,6 +13,7 @@ from __future__ import annotations
 import math
 import re
 from collections import Counter
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -39,8 +40,11 @@ OPENING, CLOSING = "\"'“„«‘‹", "\"'”“»’›"
 REPORTING = frozenset("said says wrote writes called calls quote quoted reported dit écrit sagte schrieb dijo escribió".split())
 #: A word: letters and digits, with single marks that stand in for letters inside it.
 WORD = re.compile(r"[^\W_]+(?:[*@$][^\W_]+)*")
+#: Characters whose words are held at a time, about.
+SLICE = 1 << 20
 #: Words whose result is kept by a worker, at most.
 KEPT = 200_000
+_BLANK = re.compile(r"\s")
 
 
 class LexiconAutomaton:
@@ -142,25 +146,30 @@ class Model:
         if self._automaton is None:
             self._automaton, self._known = LexiconAutomaton(self.terms), {}
         find, known = self._automaton.find, self._known
-        words = WORD.findall(low := text.lower())
-        if len(known) > KEPT:
-            known.clear()
-        found = []
-        for word in set(words):
-            if word not in known:
-                hit = find(word)
-                known[word] = None if hit and hit[0] and word in self.innocent else hit
-            if known[word] is not None:
-                found.append(word)
-        if not found:
-            return len(words), []
-        found_set, out = set(found), []
-        for k, m in enumerate(WORD.finditer(low)):
-            if m.group() in found_set:
-                before, after = low[max(0, m.start() - 60) : m.start()], low[m.end() : m.end() + 60]
-                quoted = _inside_quotes(before, after) or bool(REPORTING & set(words[max(0, k - WINDOW) : k]))
-                out.append((k, known[m.group()][0], quoted))
-        return len(words), out
+        low, n, out = text.lower(), 0, []
+        last: list[str] = []  # the words before a slice that its first words may follow
+        for start, stop in slices(low):
+            words = WORD.findall(low, start, stop)
+            if len(known) > KEPT:
+                known.clear()
+            found = set()
+            for word in set(words):
+                if word not in known:
+                    hit = find(word)
+                    known[word] = None if hit and hit[0] and word in self.innocent else hit
+                if known[word] is not None:
+                    found.add(word)
+            if found:
+                led = last + words
+                for k, m in enumerate(WORD.finditer(low, start, stop)):
+                    if m.group() in found:
+                        before, after = low[max(0, m.start() - 60) : m.start()], low[m.end() : m.end() + 60]
+                        j = k + len(last)
+                        quoted = _inside_quotes(before, after) or bool(REPORTING & set(led[max(0, j - WINDOW) : j]))
+                        out.append((n + k, known[m.group()][0], quoted))
+            n += len(words)
+            last = (last + words[-WINDOW:])[-WINDOW:]
+        return n, out
 
     def features(self, text: str | None) -> np.ndarray:
         """Exact and near hits outside and inside quotation, hits in company, and hits among all words."""
@@ -191,6 +200,21 @@ class Model:
 _NOTHING = np.array([0.0, 0.0, 0.0, 0.0, 1.0])
 
 
+def slices(text: str) -> Iterator[tuple[int, int]]:
+    """Parts of about SLICE characters that end at white space, so that no word spans two."""
+    at = 0
+    while at < len(text):
+        stop = at + SLICE
+        if stop < len(text):
+            blank = max(text.rfind(" ", at, stop), text.rfind("\n", at, stop))
+            if blank < 0:
+                m = _BLANK.search(text, stop)
+                blank = m.start() if m else len(text)
+            stop = blank + 1
+        yield at, min(stop, len(text))
+        at = stop
+
+
 def _inside_quotes(before: str, after: str) -> bool:
     """Whether a mark of quotation opens within reach before and closes within reach after."""
     opened = max((before.rfind(q) for q in OPENING), default=-1)
@@ -287,9 +311,10 @@ def classify(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -
     """Score every row of docs (doc_id, text): doc_id, held_out, score, predicted.
 
     The model is fitted on a bounded sample of labels.toxic outside the fold that is kept back; see
-    labelled.sample. Null and empty texts have no hit and get the base score; without labels the lexicon
-    is empty and so is every hit list; a null doc_id is not held out; repeated rows are scored alike;
-    other columns are ignored.
+    labelled.sample. Null and empty texts have no hit and get the base score; texts of any length are read
+    whole, their words a slice at a time; without labels the lexicon is empty and so is every hit list; a
+    null doc_id is not held out; repeated rows are scored alike, and a score that ties with the threshold
+    counts as 1; an empty table gives no rows; other columns are ignored.
     """
     bound_arrow_batches(docs.sparkSession)
     model = train(labelled.sample(docs, labels, "toxic", FOLDS, KEPT_BACK))

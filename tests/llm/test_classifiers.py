@@ -157,3 +157,14 @@ def test_whole_table_row_by_row(spark, sf_dir, module, label, other):
         score = model.score(r.text)
         want[r.doc_id] = (zlib.crc32(str(r.doc_id).encode()) % module.FOLDS == module.KEPT_BACK, score, int(score >= module.THRESHOLD))
     assert {r.doc_id: (r.held_out, r.score, r.predicted) for r in module.classify(docs, labels).collect()} == want
+
+
+def test_hits_of_a_long_text(monkeypatch):
+    model = toxicity.Model(["horrid", "nasty"], np.zeros(5))
+    text = ("they said so and horrid things " * 7 + "a \"horrid\" one\n" + "x" * 300 + " nasty\tnastyy ") * 3
+    whole = model.hits(text)
+    assert len(whole[1]) == 30 and {e for _, e, _ in whole[1]} == {0, 1} and {q for _, _, q in whole[1]} == {False, True}
+    for size in (1, 7, 50, 299, 1000):
+        monkeypatch.setattr(toxicity, "SLICE", size)
+        assert toxicity.Model(["horrid", "nasty"], np.zeros(5)).hits(text) == whole
+    assert model.hits("horrid " * 300_000)[0] == 300_000
