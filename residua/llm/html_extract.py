@@ -64,7 +64,9 @@ PARAGRAPHS = frozenset("p pre td blockquote li dd figcaption".split())
 CONTAINERS = frozenset("article main section div body td blockquote".split())
 
 _NAME = re.compile(r"</?([a-zA-Z][^\s/>]*)")
-_ATTR = re.compile(r"""(class|id|role|style|hidden|aria-hidden)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?(?=[\s/>]|$)""", re.I)
+#: The rest of a tag after its name: a quoted value may hold any character, and only a value is quoted.
+_REST = re.compile(r"""(?:[^>=]++|=\s*+(?:"[^"]*+"|'[^']*+')?+)*+>""")
+_ATTR = re.compile(r"""([^\s/>=]++)(?:\s*+=\s*+(?:"([^"]*+)"|'([^']*+)'|([^\s>]*+)))?""")
 _WORDS = re.compile(r"[a-z0-9]+")
 _COMMA = re.compile(r"[,،、，]")
 
@@ -84,16 +86,9 @@ class Node:
 
 
 def _tag_end(html: str, at: int) -> int:
-    """Where the tag that starts at `at` ends: the next > outside of quoted values, or -1."""
-    end = html.find(">", at)
-    while end >= 0:
-        inside = html[at:end]
-        if ("=" not in inside) or (inside.count('"') % 2 == 0 and inside.count("'") % 2 == 0):
-            return end
-        if end - at > 4096:
-            return html.find(">", at)
-        end = html.find(">", end + 1)
-    return html.find(">", at)
+    """Where the tag whose name ends at `at` ends: the first > outside of quoted values, or -1 if the page ends before."""
+    m = _REST.match(html, at)
+    return m.end() - 1 if m else -1
 
 
 def parse(html: str) -> Node:
@@ -109,7 +104,7 @@ def parse(html: str) -> Node:
         if mark > at:
             open_[-1].children.append(html[at:mark])
         if html.startswith("<!--", mark):
-            end = html.find("-->", mark + 4)
+            end = html.find("-->", mark + 2)
             at = n if end < 0 else end + 3
             continue
         after = html[mark + 1 : mark + 2]
@@ -208,7 +203,7 @@ def _unwanted(node: Node, wraps: bool) -> bool:
     if not node.raw or node.tag in NEVER_DROPPED:
         return False
     for m in _ATTR.finditer(node.raw):
-        name, value = m[1].lower(), (m[2] or m[3] or m[4] or "").lower()
+        name, value = m[1].lower(), unescape(m[2] or m[3] or m[4] or "").lower()
         if name == "hidden" or (name == "aria-hidden" and value == "true"):
             return True
         if name == "role" and value.strip() in DROPPED_ROLES:
@@ -330,7 +325,7 @@ def blocks(nodes: list[Node]) -> list[str]:
             end()
         elif isinstance(c, str):
             line.append(unescape(c))
-        elif c.tag in ("br", "wbr"):
+        elif c.tag == "br":
             line.append(" ")
         else:
             if c.tag in BLOCK or c.tag == "#root":
@@ -349,8 +344,9 @@ def extract(html: str | None) -> str:
 def extract_pages(pages: DataFrame) -> DataFrame:
     """The main text of every row of pages (page_id, url, html): page_id, url, text, n_chars.
 
-    A null html counts as empty and gives an empty text; null ids and urls and repeated rows are kept as
-    they are; an empty table gives no rows; other columns are ignored.
+    A null html counts as empty and gives an empty text; pages of any length are read whole, in time that
+    follows their length; of containers that tie in points the first on the page wins; null ids and urls and
+    repeated rows are kept as they are; an empty table gives no rows; other columns are ignored.
     """
     bound_arrow_batches(pages.sparkSession)
 

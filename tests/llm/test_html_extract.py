@@ -1,7 +1,12 @@
+import re
+import time
+from html.parser import HTMLParser
+
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
 from residua.llm.html_extract import extract, extract_pages
+from residua.session import table
 
 PROSE = "This is a long sentence, with commas, that an article would have, and it goes on for a while, as they do."
 
@@ -78,3 +83,70 @@ def test_pages_table(spark):
     got = sorted(map(tuple, extract_pages(pages).collect()), key=str)
     assert got == sorted([(1, "u", PROSE, len(PROSE))] * 2 + [(None, None, "", 0), (2, "v", "", 0)], key=str)
     assert extract_pages(pages.limit(0)).count() == 0
+
+
+def test_quotes_in_attributes():
+    first, second, third = (f"{x} paragraph, it's one. {PROSE}" for x in ("First", "Second", "Third"))
+    html = f"""<article><p title="it's fine">{first}</p><p data-x='say "hi' alt = "don't">{second}</p><p>{third}</p></article>"""
+    assert extract(html).split("\n") == [first, second, third]
+    leak = "x" * 9000 + "<p>LEAKED TEXT"
+    html = f"""<article><p>{first}</p><img alt="{leak}"><p>{second} <img alt='a > b' src=x>after</p><p a="unclosed>{third}</p></article>"""
+    assert extract(html) == f"{first}\n{second} after\n{third}"
+    html = f"""<article><p title="the id of hidden things" alt=hidden>{first}</p><p hidden>{second}</p><p data-class="ad" class=x>{third}</p></article>"""
+    assert extract(html) == f"{first}\n{third}"
+
+
+def test_breaks_within_words():
+    assert extract(f"<article><p>super<wbr>cali<wbr/>fragil {PROSE}<br>next</p></article>") == f"supercalifragil {PROSE} next"
+    assert extract(f"<!-->a<!-- b > c --><article><p>{PROSE}<!-- <p>no</p> --></p></article>").endswith(PROSE)
+
+
+def test_odd_tags_in_linear_time():
+    began = time.perf_counter()
+    for piece in ('<a b=">" ', "<a b='", '<a b="', "<a  ", "<p class=\"x", "<a =\" <b =' ", "</a b='>"):
+        extract(piece * 60_000)
+    assert time.perf_counter() - began < 60
+
+
+class _Article(HTMLParser):
+    """All blocks of the article element, told by their tags alone."""
+
+    def __init__(self):
+        super().__init__(convert_charrefs=True)
+        self.inside, self.blocks = 0, [""]
+
+    def handle_starttag(self, tag, attrs):
+        self.inside += tag == "article"
+        self.edge(tag)
+
+    def handle_endtag(self, tag):
+        self.edge(tag)
+        self.inside -= tag == "article"
+
+    def edge(self, tag):
+        if self.inside:
+            self.blocks[-1] += " " if tag == "br" else ""
+            if tag in ("article", "p", "h1", "h2", "h3", "ul", "ol", "li", "pre", "blockquote", "div", "section"):
+                self.blocks.append("")
+
+    def handle_data(self, data):
+        if self.inside:
+            self.blocks[-1] += data
+
+
+def test_whole_table(spark, sf_dir):
+    """Pages that name their article: its blocks, whatever stands around it."""
+    pages = table(spark, sf_dir, "pages")
+    got = {r.page_id: r for r in extract_pages(pages).collect()}
+    seen = 0
+    for r in pages.collect():
+        html = re.sub(r"(?s)<!--.*?-->", "", r.html or "")
+        if not re.search(r"<article\b", html):
+            continue
+        seen += 1
+        reader = _Article()
+        reader.feed(html)
+        reader.close()
+        text = "\n".join(x for x in (" ".join(b.split()) for b in reader.blocks) if x)
+        assert (got[r.page_id].text, got[r.page_id].url, got[r.page_id].n_chars) == (text, r.url, len(text)), r.page_id
+    assert seen > 20 and len(got) == pages.count()
