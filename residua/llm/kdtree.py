@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from residua.session import bound_arrow_batches, staged
+from residua.session import bound_arrow_batches, staged, unstage
 
 SCALE = 64
 K = 20
@@ -31,6 +31,18 @@ SHARD, BLOCK = 8192, 256
 BLOCKS_A_TASK = 16
 #: Vectors of a leaf, at most.
 LEAF = 512
+#: Stands for a score that is no more than this, and for a kth score that isn't known.
+LOWEST = -(1 << 63)
+
+
+def number_type(bound: int) -> type:
+    """The fastest type that holds all sums of products exactly that don't exceed bound."""
+    return np.float32 if bound < 1 << 24 else np.float64 if bound < 1 << 53 else np.int64 if bound < 1 << 63 else object
+
+
+def largest(values: np.ndarray) -> int:
+    """The largest absolute value, also where that is no 64-bit integer."""
+    return max(abs(int(values.min())), abs(int(values.max()))) if values.size else 0
 
 
 class Tree:
@@ -54,7 +66,7 @@ class Tree:
                 pair = list(self.children[parent] or (0, 0))
                 pair[side] = node
                 self.children[parent] = (pair[0], pair[1])
-            axis = int(np.argmax(high - low))
+            axis = int(np.argmax(high.astype(np.float64) - low))
             if len(mine) <= leaf or high[axis] == low[axis]:
                 order[begin : begin + len(mine)] = mine
                 continue
@@ -62,12 +74,14 @@ class Tree:
             split = np.argpartition(vectors[mine, axis], half)
             rest.append((mine[split[half:]], begin + half, node, 1))
             rest.append((mine[split[:half]], begin, node, 0))
-        self.vectors, self.ids = vectors[order].astype(np.float32), ids[order]
-        self.boxes = np.stack(self.low).astype(np.float32), np.stack(self.high).astype(np.float32)
+        self.exact, self.ids, self.most = vectors[order], ids[order], largest(vectors)
+        self.of(np.float32)
 
-    def widen(self) -> None:
-        """Go on in double precision."""
-        self.vectors, self.boxes = self.vectors.astype(np.float64), tuple(b.astype(np.float64) for b in self.boxes)
+    def of(self, kind: type) -> None:
+        """Go on in numbers of that type."""
+        if getattr(self, "kind", None) is not kind:
+            self.kind, self.vectors = kind, self.exact.astype(kind)
+            self.boxes = np.stack(self.low).astype(kind), np.stack(self.high).astype(kind)
 
     def bounds(self, queries: np.ndarray) -> np.ndarray:
         """For each query and node, what no inner product within the node's box exceeds. Exact on integers."""
@@ -75,11 +89,13 @@ class Tree:
         return np.maximum(queries, 0) @ high.T + np.minimum(queries, 0) @ low.T
 
     def search(self, queries: np.ndarray, own: np.ndarray, k: int, floor: np.ndarray) -> list[tuple[np.ndarray, np.ndarray]]:
-        """Per query the ids and scores, of at least floor and other than its own, that may be its top k here."""
+        """Per query the ids and scores, of at least floor and other than its own, that may be its top k here. Exact."""
+        self.of(number_type(self.most * largest(queries) * queries.shape[1]))
+        queries = queries.astype(self.kind)
         bound = self.bounds(queries)
         out = []
         for q in range(len(queries)):
-            at_least, ids, scores = floor[q], [np.empty(0, np.int64)], [np.empty(0, np.float32)]
+            at_least, ids, scores = int(floor[q]) if floor[q] > LOWEST else -np.inf, [np.empty(0, np.int64)], [np.empty(0, self.kind)]
             heap = [(-bound[q, 0], 0)]
             while heap:
                 reach, node = heapq.heappop(heap)
@@ -98,7 +114,8 @@ class Tree:
                     scores.append(score[good])
                     have = np.concatenate(scores)
                     if len(have) > k:  # only scores of at least the kth stay, ties with it included
-                        at_least = max(at_least, np.partition(have, len(have) - k)[len(have) - k])
+                        kth = np.sort(have)[-k] if self.kind is object else np.partition(have, len(have) - k)[len(have) - k]
+                        at_least = max(at_least, int(kth))
                         keep = have >= at_least
                         ids, scores = [np.concatenate(ids)[keep]], [have[keep]]
             i, s = np.concatenate(ids), np.concatenate(scores)
@@ -113,12 +130,15 @@ def quantized(vectors: DataFrame, scale: int = SCALE) -> DataFrame:
     """vec_id and code, the array of floor(scale * x); rows that take no part are gone.
 
     No part take null vectors, null ids, empty vectors, and vectors with a null or non-finite component.
+    Raises when read if a component times scale is no 64-bit integer.
     """
     x = F.col("embedding").cast("array<double>")
     finite = F.forall(x, lambda v: F.coalesce((F.abs(v) < float("inf")) & ~F.isnan(v), F.lit(False)))
     rows = vectors.select(F.col("vec_id").cast("long").alias("vec_id"), x.alias("x"))
     rows = rows.filter(F.col("vec_id").isNotNull() & (F.size("x") > 0) & finite)
-    return rows.select("vec_id", F.transform("x", lambda v: F.floor(v * scale).cast("int")).alias("code"))
+    fits = F.forall("x", lambda v: F.abs(v * scale) < float(1 << 63))
+    checked = F.when(fits, F.col("x")).otherwise(F.raise_error(F.lit("a component is too large for a 64-bit integer")))
+    return rows.select("vec_id", F.transform(checked, lambda v: F.floor(v * scale).cast("long")).alias("code"))
 
 
 def _packed(rows: DataFrame, group: str, out: str) -> DataFrame:
@@ -130,9 +150,11 @@ def _packed(rows: DataFrame, group: str, out: str) -> DataFrame:
         def row() -> Iterator[pa.RecordBatch]:
             if ids:
                 width = max(map(len, codes))
-                data = np.zeros((len(ids), width), dtype=np.int32)
+                data = np.zeros((len(ids), width), dtype=np.int64)
                 for k, c in enumerate(codes):
                     data[k, : len(c)] = c
+                if largest(data) < 1 << 31:
+                    data = data.astype(np.int32)
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([key], pa.int64()), pa.array([width], pa.int64()), pa.array([np.array(ids, np.int64).tobytes()], pa.binary()), pa.array([data.tobytes()], pa.binary())],
                     names=[out, "width", "ids", "data"],
@@ -152,10 +174,20 @@ def _packed(rows: DataFrame, group: str, out: str) -> DataFrame:
 
 def _unpacked(width: int, ids: bytes, data: bytes, to: int) -> tuple[np.ndarray, np.ndarray]:
     i = np.frombuffer(ids, dtype=np.int64)
-    v = np.frombuffer(data, dtype=np.int32).reshape(len(i), width)
+    kind = np.int32 if len(data) == 4 * width * len(i) else np.int64
+    v = np.frombuffer(data, dtype=kind).reshape(len(i), width).astype(np.int64)
     return i, np.pad(v, ((0, 0), (0, to - width))) if to > width else v
 
 
+def _as_long(scores: np.ndarray) -> np.ndarray:
+    """Scores as 64-bit integers; what is too small for one becomes LOWEST, and what is too large raises."""
+    if scores.dtype == object:
+        if len(scores) and max(scores) >= 1 << 63:
+            raise OverflowError("a score is too large for a 64-bit integer")
+        return np.array([max(LOWEST, int(x)) for x in scores], dtype=np.int64)
+    return (np.rint(scores) if scores.dtype.kind == "f" else scores).astype(np.int64)
+
+
 def _search(held: DataFrame, asked: DataFrame, copies: int, k: int) -> DataFrame:
     """Search the shard of every row of asked: query_id, vec_id, score.
 
@@ -181,12 +213,10 @@ def _search(held: DataFrame, asked: DataFrame, copies: int, k: int) -> DataFrame
                 if tree is None or built != to:
                     i, v = _unpacked(*raw, to)
                     tree, built = Tree(v, i), to
-                if np.abs(tree.vectors).max(initial=0) * float(np.abs(queries).max(initial=0)) * to >= 1 << 24:
-                    tree.widen()  # beyond what single precision holds exactly
-                least = np.full(len(own), -np.inf) if floor is None else np.frombuffer(floor, dtype=np.float64)
-                found = tree.search(queries.astype(tree.vectors.dtype), own, k, least)
+                least = np.full(len(own), LOWEST) if floor is None else np.frombuffer(floor, dtype=np.int64)
+                found = tree.search(queries, own, k, least)
                 n = [len(i) for i, _ in found]
-                scores = np.rint(np.concatenate([s for _, s in found])).astype(np.int64)
+                scores = _as_long(np.concatenate([s for _, s in found]))
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(np.repeat(own, n)), pa.array(np.concatenate([i for i, _ in found])), pa.array(scores)],
                     names=["query_id", "vec_id", "score"],
@@ -201,13 +231,15 @@ def _best(found: DataFrame, k: int) -> DataFrame:
 
 
 def top_k(vectors: DataFrame, k: int = K, query_every: int = QUERY_EVERY, scale: int = SCALE) -> DataFrame:
-    """The k vectors of largest inner product for every row whose vec_id is divisible by query_every.
+    """The k vectors of largest inner product for every row whose vec_id is divisible by query_every, in the shared folder.
 
     vectors: vec_id, embedding. Components become floor(scale * x). Returns query_id, rank (from 1),
     vec_id, score; ties go to the smaller vec_id; a query is no candidate of itself; fewer rows where
     there are fewer candidates. Vectors that are null or empty, or that hold null or non-finite
     components, take no part, nor do null ids. A shorter vector counts as padded with zeros. Rows that repeat
-    a vec_id are one vector, the largest by components. Other columns are ignored.
+    a vec_id are one vector, the largest by components. An empty table gives no rows; other columns are
+    ignored. Scores are exact however large the components are; where a result is no 64-bit integer above
+    LOWEST, an error is raised. The caller may unstage() the result.
     """
     bound_arrow_batches(vectors.sparkSession)
     rows = quantized(vectors, scale).groupBy("vec_id").agg(F.max("code").alias("code"))
@@ -228,11 +260,16 @@ def top_k(vectors: DataFrame, k: int = K, query_every: int = QUERY_EVERY, scale:
     others = F.sequence(F.lit(0).cast("long"), F.lit(shards - 1).cast("long"))
     rest = _floors(kth, asked, blocks).withColumn("shard", F.explode(others)).filter(F.col("shard") != home)
     found = seen.unionByName(_search(held, rest, max(1, -(-blocks // BLOCKS_A_TASK)), k))
-    return _best(found, k).select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")
+    score = F.when(F.col("score") > F.lit(LOWEST), F.col("score")).otherwise(F.raise_error(F.lit("a score is too small for a 64-bit integer")))
+    best = _best(found, k).select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", score.alias("score"))
+    out = staged(best, "top_k")
+    for table in (rows, held, asked, seen):
+        unstage(table)
+    return out
 
 
 def _floors(kth: DataFrame, asked: DataFrame, blocks: int) -> DataFrame:
-    """asked with floor: the known kth score of each query of the block, in order, minus infinity without one."""
+    """asked with floor: the known kth score of each query of the block, in order, LOWEST without one."""
     listed = kth.groupBy(F.pmod(F.xxhash64("query_id"), F.lit(blocks)).alias("block")).agg(
         F.collect_list(F.struct("query_id", "score")).alias("kth")  # a block's queries: bounded
     )
@@ -242,7 +279,7 @@ def _floors(kth: DataFrame, asked: DataFrame, blocks: int) -> DataFrame:
             out = []
             for ids, kth_of in zip(batch.column(2).to_pylist(), batch.column(4).to_pylist(), strict=True):
                 known = {x["query_id"]: x["score"] for x in kth_of or []}
-                out.append(np.array([known.get(i, -np.inf) for i in np.frombuffer(ids, np.int64).tolist()]).tobytes())
+                out.append(np.array([known.get(i, LOWEST) for i in np.frombuffer(ids, np.int64).tolist()], dtype=np.int64).tobytes())
             columns = [batch.column(c) for c in range(4)]
             yield pa.RecordBatch.from_arrays([*columns, pa.array(out, pa.binary())], names=["block", "width", "ids", "data", "floor"])
 

@@ -33,7 +33,7 @@ def test_tree_alone(n, dim, k, seed):
     rng = np.random.default_rng(seed)
     vectors, ids = rng.integers(-3, 4, (n, dim)), rng.permutation(n)
     tree = kdtree.Tree(vectors, ids, leaf=4)
-    found = tree.search(vectors.astype(np.float32), ids, k, np.full(n, -np.inf))
+    found = tree.search(vectors, ids, k, np.full(n, kdtree.LOWEST))
     for q, (i, s) in enumerate(found):
         want = sorted((-int(vectors[q] @ vectors[j]), int(ids[j])) for j in range(n) if j != q)[:k]
         assert sorted((-int(b), int(a)) for a, b in zip(i, s, strict=True)) == want
@@ -55,3 +55,30 @@ def test_odd_rows(spark):
     assert got(kdtree.top_k(df, k=3)) == sorted(brute(rows, 3, 20))
     assert got(kdtree.top_k(df)) == sorted(brute(rows, 20, 20))
     assert got(kdtree.top_k(df.limit(0))) == []
+
+
+@settings(max_examples=80, deadline=None)
+@given(st.integers(2, 40), st.integers(1, 4), st.integers(1, 5), st.integers(0, 99), st.sampled_from([10, 20, 27, 30, 31, 33, 45, 62]))
+def test_large_components_are_exact(n, dim, k, seed, bits):
+    rng = np.random.default_rng(seed)
+    vectors, ids = rng.integers(-(1 << bits), 1 << bits, (n, dim)), rng.permutation(n)
+    vectors[rng.random((n, dim)) < 0.3] //= 1 << (bits // 2)
+    found = kdtree.Tree(vectors, ids, leaf=4).search(vectors, ids, k, np.full(n, kdtree.LOWEST))
+    plain = vectors.tolist()
+    for q, (i, s) in enumerate(found):
+        scored = [(-sum(a * b for a, b in zip(plain[q], v, strict=True)), int(ids[j])) for j, v in enumerate(plain) if j != q]
+        assert sorted((-int(b), int(a)) for a, b in zip(i, s, strict=True)) == sorted(scored)[:k]
+
+
+def test_tables_with_large_components(spark):
+    rng = np.random.default_rng(3)
+    rows = [(i, [float(x) for x in rng.integers(-(1 << 25), 1 << 25, 3) / 64]) for i in range(45)]
+    rows += [(100, [4e7, 1.0, 0.0]), (101, [4e7, 5.5, 3e4]), (102, [33554433.0, 33554434.0, 0.0]), (120, [3e7, 100.0, 0.0])]
+    assert got(kdtree.top_k(spark.createDataFrame(rows, "vec_id long, embedding array<double>"))) == sorted(brute(rows, 20, 20))
+    for large in ([1e300], [1e12, 1e12]):
+        bad = spark.createDataFrame([(0, large), (1, large), (2, [0.0])], "vec_id long, embedding array<double>")
+        with pytest.raises(Exception, match="64-bit integer"):
+            kdtree.top_k(bad).collect()
+    small = spark.createDataFrame([(0, [1e12]), (1, [-1e12])], "vec_id long, embedding array<double>")
+    with pytest.raises(Exception, match="64-bit integer"):
+        kdtree.top_k(small).collect()
