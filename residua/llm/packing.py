@@ -6,8 +6,9 @@ and what the bin has left, both measured in shares of the limits. Where nothing
 piece is cut to fill the bin exactly, and a bin that can't be filled is cut back to a power of two, so
 that no sequence needs padding.
 
-Nothing is shuffled: each Arrow batch is packed on its own, which bounds memory by one batch, and a
-task that is run again deals out the same pieces.
+Nothing is shuffled: a task packs one Arrow batch after another, which bounds memory by one batch. What
+is left for a bin that the batch can't fill goes on to the next batch, so a task cuts back one bin at its
+end, not one a batch. A task that is run again deals out the same pieces.
 """
 
 from __future__ import annotations
@@ -81,13 +82,14 @@ def _power_of_two(n: int) -> int:
 
 
 def pack_items(
-    tokens: np.ndarray, prompt: np.ndarray, limits: tuple[int, int, int]
+    tokens: np.ndarray, prompt: np.ndarray, limits: tuple[int, int, int], more: bool = False
 ) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Pack items of `tokens` tokens, of which the first `prompt` bear no loss, into bins under limits.
 
     limits are tokens, segments and loss-bearing tokens of a bin. Returns for every piece the item, the
     piece's start in it, its length, its bin, and its offset in the bin. Bins hold the full number of
-    tokens or a power of two. Ties go to the item that came first.
+    tokens or a power of two. Ties go to the item that came first. With more, items are yet to come: the
+    pieces of the last bin, if only those could fill it, are left out, and are the ends of their items.
     """
     cap, max_segments, max_loss = limits
     if min(limits) < 1:
@@ -135,6 +137,8 @@ def pack_items(
         filled = cap - room
         if filled == 0:
             raise ValueError("limits too small to place a token")
+        if more and room and segments and not len(alive):
+            break
         keep = filled if filled == cap else _power_of_two(filled)
         offset = 0
         for i, start, n, lead in open_bin:
@@ -150,6 +154,47 @@ def pack_items(
     return tuple(out[:, k] for k in range(5))  # type: ignore[return-value]
 
 
+class _Pool:
+    """Items of a task that wait for a bin: their ids, ids of documents, and what was dealt out of them before."""
+
+    def __init__(self, limits: tuple[int, int, int], number: int):
+        self.limits, self.number = limits, number
+        self.doc: list[int | None] = []
+        self.ids: list[np.ndarray] = []
+        self.done: list[int] = []  # tokens dealt out before
+        self.head: list[int] = []
+
+    def add(self, doc: int | None, ids: np.ndarray, prompt: int) -> None:
+        self.doc.append(doc), self.ids.append(ids), self.done.append(0), self.head.append(min(max(prompt, 0), len(ids)))
+
+    def deal(self, more: bool) -> pa.RecordBatch:
+        """Pack what waits; what is left waits on."""
+        total = np.array([len(x) for x in self.ids], dtype=np.int64)
+        done, head = np.array(self.done, dtype=np.int64), np.array(self.head, dtype=np.int64)
+        item, start, length, bin_, offset = pack_items(total - done, np.maximum(head - done, 0), self.limits, more)
+        start = start + done[item]
+        places = zip(item.tolist(), start.tolist(), length.tolist(), strict=True)
+        out = pa.RecordBatch.from_arrays(
+            [
+                pa.array([self.doc[i] for i in item.tolist()], pa.int64()),
+                pa.array(start),
+                pa.array(length),
+                pa.array([zlib.crc32(self.ids[i][s : s + n]) for i, s, n in places], pa.int64()),
+                pa.array(total[item]),
+                pa.array(self.number + bin_),
+                pa.array(offset),
+            ],
+            names=["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"],
+        )
+        self.number += int(bin_.max(initial=-1)) + 1
+        np.add.at(done, item, length)
+        rest = np.flatnonzero(done < total).tolist()
+        self.doc, self.ids, self.done, self.head = (
+            [self.doc[i] for i in rest], [self.ids[i] for i in rest], done[rest].tolist(), [self.head[i] for i in rest]
+        )
+        return out
+
+
 def pack_documents(
     docs: DataFrame,
     tokenizer_path: str,
@@ -157,43 +202,38 @@ def pack_documents(
     max_segments: int = MAX_SEGMENTS,
     max_loss: int | None = None,
     prompt_tokens: str | None = None,
+    prompt: str | None = None,
 ) -> DataFrame:
     """Pack the texts of docs (doc_id, text) into sequences of at most `capacity` tokens.
 
-    prompt_tokens may name a column with the number of tokens at a text's start that bear no loss, as in
-    instruction data; without it all tokens bear loss. Returns the columns of PIECES: each token lies in
-    one piece, offsets in a sequence have no gap.
+    Of instruction data, prompt may name a column whose text comes before `text` and bears no loss, or
+    prompt_tokens one with the number of tokens at a text's start that bear none; without them all tokens
+    bear loss. Returns the columns of PIECES: each token lies in one piece, offsets in a sequence have no gap.
 
-    A null text is empty and still has its end-of-document token; null and repeated doc_ids are packed
-    row by row; an empty table gives no pieces; other columns are ignored.
+    A null text or prompt is empty, and an empty text still has its end-of-document token; a null or
+    negative number of prompt tokens is none, and one over the text's length is all of it. A text longer
+    than a sequence is cut into as many as it needs; of items that tie the one that came first goes first;
+    null and repeated doc_ids are packed row by row; an empty table gives no pieces; other columns are
+    ignored. Limits under one raise an error.
     """
     bound_arrow_batches(docs.sparkSession)
-    limits = (capacity, max_segments, max_loss or capacity)
-    prompt = F.col(prompt_tokens).cast("long") if prompt_tokens else F.lit(0).cast("long")
+    limits = (capacity, max_segments, capacity if max_loss is None else max_loss)
+    if min(limits) < 1:
+        raise ValueError("limits must be positive")
+    heads = F.col(f"`{prompt_tokens}`").cast("long") if prompt_tokens else F.lit(0).cast("long")
+    led = F.col(f"`{prompt}`").cast("string") if prompt else F.lit(None).cast("string")
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        number = TaskContext.get().partitionId() * SEQUENCES_PER_TASK
+        pool = _Pool(limits, TaskContext.get().partitionId() * SEQUENCES_PER_TASK)
         for batch in batches:
-            if not batch.num_rows:
-                continue
-            ids = encode(batch.column(1).to_pylist(), tokenizer_path)
-            sizes = np.array([len(x) for x in ids], dtype=np.int64)
-            heads = np.minimum(batch.column(2).fill_null(0).to_numpy(zero_copy_only=False), sizes)
-            item, start, length, bin_, offset = pack_items(sizes, heads, limits)
-            crc = [zlib.crc32(ids[i][s : s + n]) for i, s, n in zip(item.tolist(), start.tolist(), length.tolist(), strict=True)]
-            yield pa.RecordBatch.from_arrays(
-                [
-                    batch.column(0).take(pa.array(item)),
-                    pa.array(start),
-                    pa.array(length),
-                    pa.array(crc, pa.int64()),
-                    pa.array(sizes[item]),
-                    pa.array(number + bin_),
-                    pa.array(offset),
-                ],
-                names=["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"],
-            )
-            number += int(bin_.max()) + 1
-
-    rows = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"), prompt.alias("prompt"))
+            doc, text, head, before = (batch.column(k).to_pylist() for k in range(4))
+            for i, ids, n, lead in zip(doc, encode(text, tokenizer_path), head, before, strict=True):
+                if lead:
+                    own = encode([lead], tokenizer_path)[0][:-1]  # without an end-of-document token
+                    ids, n = np.concatenate([own, ids]), len(own)
+                pool.add(i, ids, n or 0)
+            yield pool.deal(more=True)
+        yield pool.deal(more=False)
+
+    rows = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"), heads.alias("head"), led.alias("lead"))
     return rows.mapInArrow(pack, PIECES)

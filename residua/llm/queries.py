@@ -6,11 +6,14 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from residua.llm import chat, html_extract, kdtree, license_scan, mixing, near_dup, ngram_rules, packing, quality, toxicity
 from residua.session import table
 
 TOKENIZER = "byte_bpe_50k.json"
+#: Loss-bearing tokens of a sequence of instruction data, at most.
+MAX_LOSS = 1536
 
 
 def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -41,6 +44,19 @@ def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"), public_tokenizers.path(TOKENIZER))
 
 
+def instruction_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The assistant's turns, each led by the turn before, under limits on tokens, segments and loss.
+
+    An example's doc_id is its conversation's id times 2 to the 20th and its turn.
+    """
+    rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    before = rows.select("conv_id", (F.col("turn") + 1).alias("turn"), F.col("text").alias("lead")).hint("merge")
+    examples = rows.filter(F.col("role") == "assistant").join(before, ["conv_id", "turn"], "left")
+    number = F.col("conv_id").cast("long") * (1 << 20) + F.col("turn")
+    examples = examples.select(number.alias("doc_id"), "text", "lead")
+    return packing.pack_documents(examples, public_tokenizers.path(TOKENIZER), max_loss=MAX_LOSS, prompt="lead")
+
+
 def op8_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_scan.scan(table(spark, sf_dir, "documents"))
 
@@ -62,6 +78,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op5_ngram_rules": op5_ngram_rules,
         "op6_exact_top_k": op6_exact_top_k,
         "op7_packing": op7_packing,
+        "instruction_packing": instruction_packing,
         "op8_license_scan": op8_license_scan,
         "op9_chat_format": op9_chat_format,
         "op10_near_duplicates": op10_near_duplicates,
