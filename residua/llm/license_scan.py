@@ -59,10 +59,8 @@ TEMPLATES: list[tuple[str, str, tuple[str, ...]]] = [
     ),
     ("unlicense", "this is free and unencumbered software released into the public domain", ("free and unencumbered software",)),
 ]
-#: How many different words must agree on a position. Only oracle_sql() looks up no more than ANCHORS words a file.
-ANCHORS, AGREE = 12, 2
-#: Only oracle_sql() leaves out licence words that more than this share of the documents holds.
-RARE_SHARE = 0.1
+#: How many different words must agree on a position.
+AGREE = 2
 #: Share of a template's words that must stand where the template has them.
 MATCHED = 0.7
 
@@ -138,8 +136,10 @@ def scan(docs: DataFrame) -> DataFrame:
     and the method's, and the best share of a template's words found in place (1 where a base phrase
     stands, 0 without a label).
 
-    Null and empty texts have no words; null and repeated doc_ids are scanned row by row; an empty table
-    gives no rows; other columns are ignored. The words' rarity is counted over all rows first.
+    Null and empty texts have no words; texts of any length are scanned whole; null and repeated doc_ids are
+    scanned row by row; words that tie in rarity are looked up in the order of the alphabet, which no result
+    depends on; an empty table gives no rows; other columns are ignored. The words' rarity is counted over
+    all rows first.
     """
     rare = rarity(docs)
     text = normal(F.col("text"))
@@ -245,7 +245,7 @@ def _templates_values() -> str:
 
 
 def oracle_sql() -> str:
-    """scan(documents) in DuckDB, on words and positions as rows."""
+    """scan(documents) in DuckDB: every template at every position that any of its words gives it, without rarity or anchors."""
     bases = ", ".join(f"({_text(p)}, {_text(x)})" for p, x in BASE_PHRASES.items())
     return f"""
 WITH d AS MATERIALIZED (
@@ -256,18 +256,7 @@ WITH d AS MATERIALIZED (
 posting AS (SELECT t, u.w, CAST(u.p AS BIGINT) - 1 AS p FROM tpl, unnest(string_split(phrase, ' ')) WITH ORDINALITY AS u(w, p)),
 word AS (SELECT rid, u.w, CAST(u.i AS BIGINT) - 1 AS i FROM d, unnest(words) WITH ORDINALITY AS u(w, i)),
 lic AS MATERIALIZED (SELECT * FROM word WHERE w IN (SELECT w FROM posting)),
-counted AS (SELECT w, count(DISTINCT rid) AS n FROM lic GROUP BY w),
-rare AS (SELECT w, n FROM counted WHERE n <= greatest({RARE_SHARE} * (SELECT count(*) FROM d), 20)),
-anchor AS MATERIALIZED (
-  SELECT rid, w FROM (SELECT DISTINCT rid, w, n FROM lic JOIN rare USING (w))
-  QUALIFY row_number() OVER (PARTITION BY rid ORDER BY n, w) <= {ANCHORS}
-),
-need AS (SELECT rid, t, least({AGREE}, count(DISTINCT w)) AS k FROM anchor JOIN posting USING (w) GROUP BY rid, t),
-vote AS (
-  SELECT l.rid, p.t, l.i - p.p AS pos, count(DISTINCT l.w) AS k
-  FROM lic l JOIN anchor a ON a.rid = l.rid AND a.w = l.w JOIN posting p ON p.w = l.w GROUP BY ALL
-),
-cand AS (SELECT v.rid, v.t, v.pos FROM vote v JOIN need n ON n.rid = v.rid AND n.t = v.t AND v.k >= n.k),
+cand AS (SELECT DISTINCT l.rid, p.t, l.i - p.p AS pos FROM lic l JOIN posting p ON p.w = l.w),
 place AS (
   SELECT c.rid, c.t, c.pos, count(*) FILTER (WHERE l.rid IS NOT NULL) / CAST(count(*) AS DOUBLE) AS share
   FROM cand c JOIN posting p ON p.t = c.t LEFT JOIN lic l ON l.rid = c.rid AND l.w = p.w AND l.i = c.pos + p.p

@@ -55,13 +55,16 @@ def test_a_common_notice_is_found(spark):
     notice = "This work is licensed under the GNU General Public License, version 3."
     rows = [(i, f"text {i} " + (notice if i % 3 == 0 else "of its own")) for i in range(90)]
     got = run(spark, rows)
+    assert got == brute(rows)
     assert {r[0] for r in got if r[6] == "gpl-3"} == {i for i in range(90) if i % 3 == 0}
 
 
 def test_every_notice_of_a_file_is_found(spark):
     notices = [" ".join(words for _, words, _ in license_scan.TEMPLATES), license_scan.TEMPLATES[12][1] + " . " + license_scan.TEMPLATES[8][1]]
     # Common words that the rarest 12 of the first file don't hold.
-    got = run(spark, [*enumerate(notices), *((k, "licensed under the gnu general public license version 3") for k in range(2, 40))])
+    rows = [*enumerate(notices), *((k, "licensed under the gnu general public license version 3") for k in range(2, 40))]
+    got = run(spark, rows)
+    assert got == brute(rows)
     by = {r[0]: r[6] for r in got}
     assert by[0] == ",".join(sorted({label for label, _, _ in license_scan.TEMPLATES}))
     assert by[1] == "bsd,gpl-3"
