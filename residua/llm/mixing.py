@@ -7,14 +7,23 @@ the slot, so at any time a source has less than one block more or less than its
 source has no blocks left, the others share its slots in proportion and a new phase begins, so every
 document gets a place.
 
+Weights that a caller gives are taken as they are written, as whole shares of a common denominator; that
+is the period, so the bound holds for them exactly, however long the mixture. Without weights a source
+has a thousandth of a period for every thousandth of the square roots of the sources' lengths, rounded,
+and one at least.
+
 A period is scheduled once for each phase, on a row with one element a source; periods repeat, so a
-document's slot follows from its block number. Of more than MAX_SOURCES sources the same phases are
-computed on the driver, where no more slots are gone through than there are blocks. The running length of a source is summed in chunks and
-then within them, so no source has to pass through one task.
+document's slot follows from its block number. Of more than MAX_SOURCES sources, or with periods longer
+than LONG_PERIOD, the same phases are computed on the driver, where no more slots are gone through than
+there are blocks. Where both a period and the blocks are more than MAX_SLOTS, blocks are made longer. The
+running length of a source is summed in chunks and then within them, so no source has to pass through one
+task.
 """
 
 from __future__ import annotations
 
+import math
+from fractions import Fraction
 from heapq import heapify, heappop, heappush
 
 from pyspark.sql import Column, DataFrame, Window
@@ -24,8 +33,10 @@ from residua.session import shuffle_partitions
 
 #: Characters of a block.
 BLOCK_CHARS = 1 << 16
-#: Slots of a period, about: weights are rounded to shares of it, one share at least.
+#: Slots of a period, about, where sources have no weights; and a source without a weight has this part of those given.
 PERIOD = 1000
+#: Slots of a period that one row of the plan is scheduled for, and slots that the driver goes through, at most.
+LONG_PERIOD, MAX_SLOTS = 2048, 1 << 20
 #: Characters of a file that in_order writes, at most, on average.
 FILE_CHARS = 1 << 27
 #: Sources at most, unless the caller allows more; and sources that one row of the plan is scheduled for.
@@ -85,7 +96,8 @@ def _plan(sources: DataFrame) -> DataFrame:
     return rows.filter(F.col("first") < F.col("last"))
 
 
-_PHASES = "source string, first long, last long, at long, share int, period int, places array<int>"
+_PHASES = "source string, first long, last long, at long, share long, period long, places array<int>"
+_LONGEST = 1 << 62
 
 
 def _phases(sources: list[tuple[str | None, int, int]]) -> list[tuple]:
@@ -120,44 +132,67 @@ def _phases(sources: list[tuple[str | None, int, int]]) -> list[tuple]:
         for i, found in places.items():
             given = end // period * sources[i][2] + sum(k < end % period for k in found)
             if given:
-                out.append((sources[i][0], done[i], done[i] + given, at, sources[i][2], period, found))
+                # Numbers beyond a long belong to a period that isn't gone through to its end.
+                out.append((sources[i][0], done[i], done[i] + given, at, min(sources[i][2], _LONGEST), min(period, _LONGEST), found))
                 done[i] += given
         at += end
         live = [i for i in live if done[i] < sources[i][1]]
     return out
 
 
-def _shares(sizes: DataFrame, weights: dict[str, float] | None) -> DataFrame:
-    """sizes with `share`, a source's slots in a period: by weights, or by the square root of its length."""
-    if weights is None:
-        root = F.floor(F.sqrt(F.col("mass").cast("double"))).cast("long")
-        total = F.sum("root").over(Window.partitionBy(F.lit(1)))
-        rounded = F.expr(f"(2 * {PERIOD} * root + total) div (2 * total)")
-        return sizes.withColumn("root", root).withColumn("total", total).withColumn("share", F.greatest(F.lit(1), rounded).cast("int")).drop("root", "total")
-    if not weights or min(weights.values()) <= 0:
+def whole_shares(weights: dict[str | None, float], sources: list[str | None]) -> dict[str | None, int]:
+    """The share of each source, in the smallest whole numbers that are to each other as the weights are.
+
+    A float is the decimal number that it is written as. A source without a weight has 1/PERIOD of all those given.
+    """
+    given = {k: Fraction(repr(w)) if isinstance(w, float) and math.isfinite(w) else Fraction(w) for k, w in weights.items()}
+    if not given or min(given.values()) <= 0:
         raise ValueError("weights must be positive")
-    whole = sum(weights.values())
-    given = F.create_map(*[F.lit(x) for k, w in sorted(weights.items()) for x in (k, max(1, round(PERIOD * w / whole)))])
-    return sizes.withColumn("share", F.coalesce(given[F.col("source")], F.lit(1)))
+    rest = sum(given.values()) / PERIOD
+    exact = {s: given.get(s, rest) for s in sources}
+    unit = math.lcm(*(x.denominator for x in exact.values())) if exact else 1
+    shares = {s: int(x * unit) for s, x in exact.items()}
+    common = math.gcd(*shares.values()) or 1
+    return {s: x // common for s, x in shares.items()}
+
+
+def _root_shares(sizes: DataFrame) -> DataFrame:
+    """sizes with `share`, a source's slots in a period, by the square root of its length."""
+    root = F.floor(F.sqrt(F.col("mass").cast("double"))).cast("long")
+    total = F.sum("root").over(Window.partitionBy(F.lit(1)))
+    rounded = F.expr(f"(2 * {PERIOD} * root + total) div (2 * total)")
+    return sizes.withColumn("root", root).withColumn("total", total).withColumn("share", F.greatest(F.lit(1), rounded).cast("int")).drop("root", "total")
 
 
-def schedule(rows: DataFrame, weights: dict[str, float] | None = None, block_chars: int = BLOCK_CHARS, max_sources: int | None = MAX_SOURCES) -> tuple[DataFrame, int]:
+def schedule(
+    rows: DataFrame, weights: dict[str | None, float] | None = None, block_chars: int = BLOCK_CHARS, max_sources: int | None = MAX_SOURCES
+) -> tuple[DataFrame, int]:
     """Give each of rows (source, mass, digest, and whatever else) its block, start and slot; also their mass.
 
-    Sources without a weight get one share of a period. Raises for more than max_sources sources; None allows
-    any number, of which the driver then holds the sizes and the plan.
+    Raises for more than max_sources sources; None allows any number, of which the driver then holds the
+    sizes and the plan.
     """
     sizes = rows.groupBy("source").agg(F.count(F.lit(1)).alias("docs"), F.sum("mass").alias("mass"))
-    known = sizes.limit(MAX_SOURCES + 1).collect() if max_sources is None else sizes.limit(max_sources + 1).collect()
+    known = (sizes if max_sources is None else sizes.limit(max_sources + 1)).collect()
     if max_sources is not None and len(known) > max_sources:
         raise ValueError(f"more than {max_sources} sources; group them first")
+    mass = sum(r.mass for r in known)
+    given = None if weights is None else whole_shares(weights, [r.source for r in known])
+    if given and sum(given.values()) > MAX_SLOTS:
+        block_chars = max(block_chars, -(-mass // MAX_SLOTS))
     blocks = F.expr(f"(mass + {block_chars - 1}) div {block_chars}")
-    shares = _shares(sizes.withColumn("blocks", blocks), weights)
-    if len(known) > MAX_SOURCES:
-        known = shares.collect()
-        plan = rows.sparkSession.createDataFrame(_phases([(r.source, r.blocks, r.share) for r in known]), _PHASES)
+    if given is None and len(known) <= MAX_SOURCES:
+        plan = _plan(_root_shares(sizes.withColumn("blocks", blocks)))
+    elif given is not None and len(known) <= MAX_SOURCES and sum(given.values()) <= LONG_PERIOD:
+        share = F.lit(given.get(None, 1))
+        if named := [F.lit(x) for k, n in sorted((k, n) for k, n in given.items() if k is not None) for x in (k, n)]:
+            share = F.coalesce(F.try_element_at(F.create_map(*named), F.col("source")), share)
+        plan = _plan(sizes.withColumn("blocks", blocks).withColumn("share", share))
     else:
-        plan = _plan(shares)
+        if given is None:
+            given = {r.source: r.share for r in _root_shares(sizes).collect()}
+        held = [(r.source, -(-r.mass // block_chars), given[r.source]) for r in known]
+        plan = rows.sparkSession.createDataFrame(_phases(held), _PHASES)
     plan = F.broadcast(plan)
     # Chunks of the digest's range, as many for a source as its documents need.
     bits = F.greatest(F.lit(0), F.ceil(F.log2(F.col("docs") / CHUNK_DOCS))).cast("int")
@@ -180,7 +215,7 @@ def schedule(rows: DataFrame, weights: dict[str, float] | None = None, block_cha
     )
     slot = F.expr("at + ((block - first) div share) * period + get(places, int((block - first) % share))")
     placed = placed.withColumn("slot", slot).drop("_source", "first", "last", "at", "share", "period", "places")
-    return placed, sum(r.mass for r in known)
+    return placed, mass
 
 
 def _measured(docs: DataFrame, *more: Column) -> DataFrame:
@@ -190,24 +225,26 @@ def _measured(docs: DataFrame, *more: Column) -> DataFrame:
 
 
 def mix(
-    docs: DataFrame, weights: dict[str, float] | None = None, block_chars: int = BLOCK_CHARS, max_sources: int | None = MAX_SOURCES
+    docs: DataFrame, weights: dict[str | None, float] | None = None, block_chars: int = BLOCK_CHARS, max_sources: int | None = MAX_SOURCES
 ) -> DataFrame:
     """The place of every row of docs (doc_id, text, source) in the mixture.
 
     doc_id, source, block (number in its source), start (characters of its source before it), slot; the
     mixture is the order by slot and start. A document counts its characters and one more. Without
-    weights, sources weigh as the square root of their length. More than max_sources sources raise an error;
-    None allows any number.
+    weights, sources weigh as the square root of their length; a source that weights don't name has a
+    thousandth of all that they give. More than max_sources sources raise an error; None allows any number.
 
-    Null texts are empty; a null source is a source of its own; null and repeated doc_ids are placed row
-    by row; an empty table gives no rows; other columns are ignored.
+    Null texts are empty; a null source is a source of its own, whose weight is under None; a text longer
+    than a block stands in the block that it starts in, and the next blocks of its source may be empty; null
+    and repeated doc_ids are placed row by row, and rows that tie in id and text one after another; an empty
+    table gives no rows; other columns are ignored.
     """
     rows, _ = schedule(_measured(docs, F.col("doc_id").cast("long").alias("doc_id")), weights, block_chars, max_sources)
     return rows.select("doc_id", "source", "block", "start", "slot")
 
 
 def in_order(
-    docs: DataFrame, weights: dict[str, float] | None = None, block_chars: int = BLOCK_CHARS, max_sources: int | None = MAX_SOURCES
+    docs: DataFrame, weights: dict[str | None, float] | None = None, block_chars: int = BLOCK_CHARS, max_sources: int | None = MAX_SOURCES
 ) -> DataFrame:
     """All rows and columns of docs, sorted into the order of the mixture, as files keep it when written."""
     whole = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")
@@ -216,8 +253,13 @@ def in_order(
     return rows.repartitionByRange(parts, "slot", "start").sortWithinPartitions("slot", "start").select("row.*")
 
 
-def oracle_sql(block_chars: int = BLOCK_CHARS) -> str:
+def oracle_sql(block_chars: int = BLOCK_CHARS, weights: dict[str, float] | None = None) -> str:
     """mix(documents) in DuckDB, simulating slot after slot."""
+    share = f"greatest(1, (2 * {PERIOD} * root + (SELECT CAST(sum(root) AS BIGINT) FROM size)) // (2 * (SELECT CAST(sum(root) AS BIGINT) FROM size)))"
+    if weights:
+        shares = whole_shares(weights, [*weights, None])
+        named = " ".join(f"WHEN '{k}' THEN {n}" for k, n in shares.items() if k is not None)
+        share = f"CAST(CASE source {named} ELSE {shares[None]} END AS BIGINT)"
     return f"""
 WITH RECURSIVE d AS MATERIALIZED (
   SELECT doc_id, source, length(coalesce(text, '')) + 1 AS mass, md5(concat_ws('/', CAST(doc_id AS VARCHAR), text)) AS digest FROM documents
@@ -227,7 +269,7 @@ WITH RECURSIVE d AS MATERIALIZED (
   SELECT source, CAST(sum(mass) AS BIGINT) AS mass, CAST(floor(sqrt(CAST(sum(mass) AS DOUBLE))) AS BIGINT) AS root FROM d GROUP BY source
 ), src AS MATERIALIZED (
   SELECT list(source ORDER BY source NULLS FIRST) AS name, list((mass + {block_chars - 1}) // {block_chars} ORDER BY source NULLS FIRST) AS blocks,
-         list(greatest(1, (2 * {PERIOD} * root + (SELECT CAST(sum(root) AS BIGINT) FROM size)) // (2 * (SELECT CAST(sum(root) AS BIGINT) FROM size))) ORDER BY source NULLS FIRST) AS share
+         list({share} ORDER BY source NULLS FIRST) AS share
   FROM size
 ), run AS (
   -- slot, blocks given so far, the same at the start of the phase, its first slot, the source of the slot before and its block

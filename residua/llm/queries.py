@@ -24,6 +24,16 @@ def op2_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents"), max_sources=None)
 
 
+#: Target weights of weighted_mixing: uneven, and one of them far under a thousandth.
+WEIGHTS = {"src0": 0.2995, "src1": 0.0005, "src2": 0.15, "src3": 0.1} | {f"src{k}": 0.028125 for k in range(4, 20)}
+BLOCK_CHARS = 1 << 12
+
+
+def weighted_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The documents mixed to target weights, in small blocks."""
+    return mixing.mix(table(spark, sf_dir, "documents"), WEIGHTS, BLOCK_CHARS, max_sources=None)
+
+
 def op3_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_extract.extract_pages(table(spark, sf_dir, "pages"))
 
@@ -79,6 +89,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op6_exact_top_k": op6_exact_top_k,
         "op7_packing": op7_packing,
         "instruction_packing": instruction_packing,
+        "weighted_mixing": weighted_mixing,
         "op8_license_scan": op8_license_scan,
         "op9_chat_format": op9_chat_format,
         "op10_near_duplicates": op10_near_duplicates,
@@ -88,6 +99,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 def oracle_sql() -> dict[str, str]:
     return {
         "op2_source_mixing": mixing.oracle_sql(),
+        "weighted_mixing": mixing.oracle_sql(BLOCK_CHARS, WEIGHTS),
         "op6_exact_top_k": kdtree.oracle_sql(),
         "op8_license_scan": license_scan.oracle_sql(),
         "op9_chat_format": chat.oracle_sql(),

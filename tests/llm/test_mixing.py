@@ -1,5 +1,8 @@
 from collections import defaultdict
 
+import random
+from fractions import Fraction
+
 import corpus_pipeline
 import duckdb
 import pandas as pd
@@ -11,11 +14,11 @@ from residua.session import table
 NAMES = "doc_id, source, block, start, slot"
 
 
-def brute(rows, block_chars):
+def brute(rows, block_chars, weights=None):
     con = duckdb.connect()
     frame = {"doc_id": pd.array([r[0] for r in rows], "Int64"), "text": pd.array([r[1] for r in rows], "string")}
     con.register("documents", pd.DataFrame(frame | {"source": pd.array([r[2] for r in rows], "string")}))
-    return sorted(con.sql(f"SELECT {NAMES} FROM ({mixing.oracle_sql(block_chars)})").fetchall(), key=str)
+    return sorted(con.sql(f"SELECT {NAMES} FROM ({mixing.oracle_sql(block_chars, weights)})").fetchall(), key=str)
 
 
 def got(df):
@@ -72,3 +75,52 @@ def test_phases_are_those_of_the_plan(spark):
     found = {x[:6]: x[6] for x in mixing._phases(sources)}
     assert set(found) == set(planned)
     assert all(found[k] == planned[k][: len(found[k])] for k in found)
+
+
+def off_by_less_than_a_block(plan, weights, blocks, slots):
+    """Of a schedule (rows of _PHASES) whether all sources stay within a block while none has run out."""
+    total, order = sum(weights.values()), {}
+    for source, first, last, at, share, period, places in plan:
+        for k in range(first, last):
+            order[at + (k - first) // share * period + places[(k - first) % share]] = source
+    given = dict.fromkeys(weights, 0)
+    for t in range(slots):
+        given[order[t]] += 1
+        if any(given[s] >= blocks[s] for s in weights):
+            return t
+        if t % 97 == 0 or t > slots - 100:
+            assert all(abs(given[s] - Fraction(w) * (t + 1) / total) < 1 for s, w in weights.items()), t
+    return slots
+
+
+def test_random_weights_over_many_slots():
+    """Whole shares of any size keep within a block for ever, not for a period."""
+    rng = random.Random(5)
+    for n in (2, 5, 12):
+        weights = {f"s{k}": Fraction(repr(rng.random() ** 3 + 1e-4)) for k in range(n)}
+        shares = mixing.whole_shares(weights, list(weights))
+        assert {s: Fraction(x, sum(shares.values())) for s, x in shares.items()} == {s: w / sum(weights.values()) for s, w in weights.items()}
+        blocks = {s: int(100_000 * w / sum(weights.values())) + 50 for s, w in weights.items()}
+        plan = mixing._phases([(s, blocks[s], shares[s]) for s in weights])
+        assert off_by_less_than_a_block(plan, weights, blocks, 100_000) > 99_000
+
+
+def test_a_weight_under_a_thousandth():
+    weights = {"a": 0.9995, "b": 0.0005}
+    assert mixing.whole_shares(weights, ["a", "b"]) == {"a": 1999, "b": 1}
+    plan = mixing._phases([("a", 50_000, 1999), ("b", 50, 1)])
+    exact = {s: Fraction(repr(w)) for s, w in weights.items()}
+    assert off_by_less_than_a_block(plan, exact, {"a": 50_000, "b": 50}, 20_000) == 20_000
+    assert mixing.whole_shares({"a": 1, None: 3}, ["a", None, "other"]) == {"a": 250, None: 750, "other": 1}
+    with pytest.raises(ValueError):
+        mixing.whole_shares({"a": -1.0}, ["a"])
+
+
+@pytest.mark.parametrize("weights", [{"a": 3.0, "b": 1.0}, {"a": 0.61803398875, "b": 0.1415926535}, {"c": 0.0001, "a": 0.9999}])
+def test_weights_in_rows(spark, weights, monkeypatch):
+    rows = [(k, "x" * (k * 37 % 900), [None, "a", "b", "c"][k % 4]) for k in range(300)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    assert got(mixing.mix(docs, weights, 400)) == brute(rows, 400, weights)
+    monkeypatch.setattr(mixing, "MAX_SLOTS", 200)
+    placed = mixing.mix(docs, weights, 400).collect()
+    assert len(placed) == 300 and (len({r.slot for r in placed}) <= 204 or sum(mixing.whole_shares(weights, [None, "a", "b", "c"]).values()) <= 200)
