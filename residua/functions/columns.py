@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -9,6 +11,8 @@ from pyspark.sql import functions as F
 STABLE_ID = r"^(ENS[GPT][0-9]+)(\.[0-9]+)?$"
 RESIDUES = "ACDEFGHIKLMNPQRSTVWYBXZJUO"
 SPECIAL_TRANSLATED = ("nonsense_mediated_decay", "non_stop_decay", "protein_coding_LoF", "polymorphic_pseudogene")
+ACCESSIONS = (r"^[A-Z]{2}\d+\.\d+$", r"^H3\.[A-Z]$")
+IDENTIFIERS = ((r"^LOC\d+$", "loc_identifier"), ("^(LINC|MIR|SNOR|RNU)", "noncoding_like"))
 LENGTH_BINS = ((0, 512), (513, 1022), (1023, 1500), (1501, 2000), (2001, 3000), (3001, 5000), (5001, 1_000_000_000))
 
 
@@ -40,7 +44,7 @@ def sequence_hash(c: Column) -> Column:
 
 
 def accession_like(c: Column) -> Column:
-    return c.rlike(r"^[A-Z]{2}\d+\.\d+$") | c.rlike(r"^H3\.[A-Z]$")
+    return c.rlike(ACCESSIONS[0]) | c.rlike(ACCESSIONS[1])
 
 
 def pipe_list(c: Column) -> Column:
@@ -115,11 +119,11 @@ def eligibility(protein_id: Column, found: Column, valid: Column, issue: Column,
 
 def identifier_class(c: Column) -> Column:
     upper = F.upper(c)
+    rules = F.when(accession_like(c), "accession_like")
+    for pattern, kind in IDENTIFIERS:
+        rules = rules.when(upper.rlike(pattern), kind)
     return (
-        F.when(accession_like(c), "accession_like")
-        .when(upper.rlike(r"^LOC\d+$"), "loc_identifier")
-        .when(upper.rlike("^(LINC|MIR|SNOR|RNU)"), "noncoding_like")
-        .when(upper.endswith("P") | upper.contains("PSEUDO"), "pseudogene_like")
+        rules.when(upper.endswith("P") | upper.contains("PSEUDO"), "pseudogene_like")
         .otherwise("standard_symbol")
     )
 
@@ -150,25 +154,46 @@ def gib(count: Column, dim: int, width: int) -> Column:
 def chunk_starts(length: Column, window: int, overlap: int) -> Column:
     """Starts of windows that cover a length: every window - overlap, and one that ends at the end."""
     if not 0 < overlap < window:
-        raise ValueError("the overlap must be positive and smaller than the window")
+        raise ValueError(f"an overlap of {overlap} does not fit windows of {window}")
     last = (length - window).cast("int")
     many = F.array_distinct(F.concat(F.sequence(F.lit(0), F.greatest(last, F.lit(0)), F.lit(window - overlap)), F.array(last)))
     return F.when(length <= window, F.array(F.lit(0))).otherwise(many)
 
 
+#: Tapers by name, of a place x between -1 and 1 and the window's size; m has abs, cos and at_least.
+TAPERS = {
+    "uniform": lambda m, x, size: 0.0 * x + 1.0,
+    "triangular": lambda m, x, size: m.at_least(1.0 - m.abs(x), 1.0 / size),
+    "cosine": lambda m, x, size: m.at_least(0.5 + 0.5 * m.cos(math.pi * x), 1e-3),
+}
+TAPERS["hann"] = TAPERS["cosine"]
+
+
+class ColumnMath:
+    """What TAPERS need, on Columns."""
+
+    abs, cos = staticmethod(F.abs), staticmethod(F.cos)
+
+    @staticmethod
+    def at_least(x: Column, least: Column | float) -> Column:
+        return F.greatest(x, least if isinstance(least, Column) else F.lit(least))
+
+
+def taper_named(kind: str):
+    if kind not in TAPERS:
+        raise ValueError(f"unknown taper: {kind}")
+    return TAPERS[kind]
+
+
 def taper(size: Column, kind: str) -> Column:
     """Weights of a window's places: uniform, triangular, or cosine (also called hann)."""
+    value = taper_named(kind)
+
     def at(i: Column) -> Column:
-        return F.when(size <= 1, F.lit(-1.0)).otherwise(-1.0 + F.lit(2.0) * i / F.greatest(size - 1, F.lit(1)))
-
-    places = F.sequence(F.lit(0), size.cast("int") - 1)
-    if kind == "uniform":
-        return F.transform(places, lambda i: F.lit(1.0))
-    if kind == "triangular":
-        return F.transform(places, lambda i: F.greatest(1 - F.abs(at(i)), F.lit(1.0) / size))
-    if kind in ("cosine", "hann"):
-        return F.transform(places, lambda i: F.greatest(0.5 * (1 + F.cos(F.lit(3.141592653589793) * at(i))), F.lit(1e-3)))
-    raise ValueError(f"unknown taper: {kind}")
+        x = F.when(size <= 1, F.lit(-1.0)).otherwise(-1.0 + F.lit(2.0) * i / F.greatest(size - 1, F.lit(1)))
+        return value(ColumnMath, x, size)
+
+    return F.transform(F.sequence(F.lit(0), size.cast("int") - 1), at)
 
 
 def _sum(values: Column) -> Column:

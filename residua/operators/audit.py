@@ -6,14 +6,27 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from residua.functions import columns as C
+from residua.operators import checks
+
+#: Values that a crosstab makes columns of, at most.
+MOST_KINDS = 1000
 
 
 def _set(column: str):
     return F.array_join(F.array_sort(F.collect_set(column)), "|")
 
 
+def _one_row(*parts: DataFrame) -> DataFrame:
+    """Single-row tables side by side."""
+    keyed = [df.withColumn("_one", F.lit(1)) for df in parts]
+    out = keyed[0]
+    for df in keyed[1:]:
+        out = out.join(df, "_one")
+    return out.drop("_one")
+
+
 def integrity(final_map: DataFrame, final: DataFrame, relations: DataFrame) -> DataFrame:
-    """One row of counts that should be zero or true."""
+    """One row of sizes, and of counts that should be zero or true."""
     primary = final_map.filter(F.col("eligibility") == "primary").select(F.col("protein_sequence_hash").alias("sequence_hash")).distinct()
     known = final.select("sequence_hash", F.lit(True).alias("_f")).distinct()
     linked = relations.select("sequence_hash", F.lit(True).alias("_r")).distinct()
@@ -26,11 +39,46 @@ def integrity(final_map: DataFrame, final: DataFrame, relations: DataFrame) -> D
     own = final.agg(
         F.count(F.lit(1)).alias("sequence_rows"),
         (F.count(F.lit(1)) == F.count_distinct("sequence_hash")).alias("sequence_hash_unique"),
+        (F.count_distinct("sequence_hash", "amino_acid_sequence") - F.count_distinct("sequence_hash")).alias("hash_conflicts"),
         F.count_if(F.col("protein_length") != F.length("amino_acid_sequence")).alias("length_mismatches"),
+        F.count_if(F.col("amino_acid_sequence").contains("*")).alias("sequences_with_stop"),
+    )
+    chosen = F.col("eligibility") == "primary"
+    rows = final_map.agg(
+        F.count(F.lit(1)).alias("mapping_rows"),
+        F.count_if(chosen & (F.coalesce("resolved_symbol", F.lit("")) == "")).alias("primary_without_symbol"),
+        F.count_if(chosen & ~F.col("sequence_hash_in_final")).alias("primary_rows_without_sequence"),
+    )
+    return _one_row(own, gaps, rows, relations.agg(F.count(F.lit(1)).alias("relationship_rows")))
+
+
+def coverage(vocabulary: DataFrame, summary: DataFrame) -> DataFrame:
+    """One row: names, rows of the summary, its distinct names, and names that it lacks."""
+    names = vocabulary.select("vcc_gene_name").distinct()
+    gaps = names.join(summary.select("vcc_gene_name").distinct(), "vcc_gene_name", "left_anti")
+    return _one_row(
+        names.agg(F.count(F.lit(1)).alias("names")),
+        summary.agg(F.count(F.lit(1)).alias("summary_rows"), F.count_distinct("vcc_gene_name").alias("summary_names")),
+        gaps.agg(F.count(F.lit(1)).alias("names_without_summary")),
     )
-    unresolved = final_map.agg(F.count_if((F.col("eligibility") == "primary") & (F.coalesce("resolved_symbol", F.lit("")) == "")).alias("primary_without_symbol"))
-    one = [df.withColumn("_one", F.lit(1)) for df in (own, gaps, unresolved)]
-    return one[0].join(one[1], "_one").join(one[2], "_one").drop("_one")
+
+
+def orphan_hashes(final: DataFrame, relations: DataFrame) -> DataFrame:
+    """Hashes that only one of the two tables has, and which one."""
+    left = checks.orphans(final, relations, "sequence_hash").withColumn("only_in", F.lit("sequences"))
+    return left.unionByName(checks.orphans(relations, final, "sequence_hash").withColumn("only_in", F.lit("relationships")))
+
+
+def unexpected_loci(final_map: DataFrame) -> DataFrame:
+    """Rows and sequences of the final selection that stand on neither a primary locus nor an exception, by class of locus."""
+    odd = final_map.filter(F.col("selected_for_primary_esm") & ~F.col("is_primary_locus") & ~F.col("is_patch_exception"))
+    return odd.groupBy("locus_class").agg(F.count(F.lit(1)).alias("rows"), F.count_distinct("protein_sequence_hash").alias("sequences"))
+
+
+def selected_loci(final_map: DataFrame) -> DataFrame:
+    """Rows and sequences of the final selection by class of locus."""
+    chosen = final_map.filter("selected_for_primary_esm")
+    return chosen.groupBy("locus_class").agg(F.count(F.lit(1)).alias("rows"), F.count_distinct("protein_sequence_hash").alias("sequences"))
 
 
 def isoforms_per_gene(vocabulary: DataFrame, relations: DataFrame) -> DataFrame:
@@ -46,8 +94,13 @@ def shared_sequences(relations: DataFrame) -> DataFrame:
 
 
 def biotypes(final_map: DataFrame, by: str) -> DataFrame:
-    """Rows and distinct sequences of each transcript type, and rows by another column's values."""
-    kinds = [r[0] for r in final_map.select(by).distinct().orderBy(by).limit(100).collect()]
+    """Rows and distinct sequences of each transcript type, and rows by another column's values.
+
+    Raises for more than MOST_KINDS values, as each becomes a column.
+    """
+    kinds = [r[0] for r in final_map.select(by).distinct().orderBy(by).limit(MOST_KINDS + 1).collect()]
+    if len(kinds) > MOST_KINDS:
+        raise ValueError(f"{by} has more than {MOST_KINDS} values")
     sums = final_map.groupBy("transcript_type").agg(F.count(F.lit(1)).alias("rows"), F.count_distinct("protein_sequence_hash").alias("sequences"))
     cross = final_map.groupBy("transcript_type").pivot(by, kinds).count()
     return sums.join(cross, "transcript_type", "left").fillna(0)

@@ -5,6 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+#: Rows that one fold takes without a group, at most.
+MOST_ROWS = 100_000
+
 
 def number_rows(df: DataFrame, key: str, salt: str = "") -> DataFrame:
     """df with `position`, its 0-based place in the order of a column of hex hashes.
@@ -44,11 +47,14 @@ def length_batches(rows: DataFrame, key: str, length: str, max_tokens: int, max_
 
     A batch closes before a row that would make it longer than max_batch_size or (length + 2) * rows
     larger than max_tokens; a row too long for any batch is one alone. The fold is sequential in each
-    group, of a shard, say; without one all rows are one group.
+    group, which one task holds: shards are bounded, so they are what to group by. Without a group all rows
+    are one, and more than MOST_ROWS of them raise.
     """
     if max_tokens < 1 or max_batch_size < 1:
         raise ValueError("limits must be positive")
     groups = group or []
+    if not groups and rows.limit(MOST_ROWS + 1).count() > MOST_ROWS:
+        raise ValueError(f"more than {MOST_ROWS} rows without a group; give the columns of a bounded one")
     listed = rows.groupBy(*groups).agg(F.array_sort(F.collect_list(F.struct(F.col(length).cast("long").alias("length"), F.col(key).alias("key")))).alias("r"))
     kind = rows.schema[key].dataType.simpleString()
     # State: batch number, rows in the batch, and what has been dealt out.

@@ -88,8 +88,8 @@ def edge_pagerank(edges: DataFrame, alpha: float = ALPHA, tolerance: float = TOL
         return nodes.withColumn("score", F.lit(0.0))
     sources = step.select(F.col("i").alias("node"), F.lit(True).alias("has_out")).distinct()
     ranks = staged(nodes.join(sources, "node", "left").select("node", F.lit(1.0 / n).alias("score"), F.col("has_out").isNull().alias("dangling")), "ranks")
+    loose = ranks.agg(F.sum(F.when(F.col("dangling"), F.col("score"))).alias("s")).first().s or 0.0
     for _ in range(exact or rounds):
-        loose = ranks.filter("dangling").agg(F.coalesce(F.sum("score"), F.lit(0.0)).alias("s")).first().s
         flow = step.join(ranks.select(F.col("node").alias("i"), "score"), "i").groupBy(F.col("j").alias("node")).agg(F.sum(F.col("p") * F.col("score")).alias("f"))
         after = ranks.join(flow, "node", "left").select(
             "node",
@@ -99,8 +99,10 @@ def edge_pagerank(edges: DataFrame, alpha: float = ALPHA, tolerance: float = TOL
         )
         after = staged(after, "ranks")
         unstage(ranks)
-        moved = after.agg(F.sum(F.abs(F.col("score") - F.col("before"))).alias("d")).first().d
-        ranks = after.drop("before")
-        if exact is None and moved < n * tolerance:
+        held = F.sum(F.when(F.col("dangling"), F.col("score"))).alias("s")
+        state = after.agg(F.sum(F.abs(F.col("score") - F.col("before"))).alias("d"), held).first()
+        ranks, loose = after.drop("before"), state.s or 0.0
+        if exact is None and state.d < n * tolerance:
             break
+    unstage(step)
     return ranks.select("node", "score")

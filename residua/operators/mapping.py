@@ -7,16 +7,7 @@ from pyspark.sql import functions as F
 
 from residua.functions import columns as C
 
-# Statuses of a name and the reasons for them, in order of precedence, and what they stand for.
-STATUSES = (
-    ("ambiguous_multiple_gene_ids", "multiple_gencode_gene_ids"),
-    ("gene_symbol_not_found", "no_exact_gencode_gene_name_match"),
-    ("mapped_with_esm_candidate", ""),
-    ("non_protein_coding", "no_protein_coding_gene_or_transcript"),
-    ("requires_policy_review", "translated_special_transcript_biotype"),
-    ("translated_sequence_invalid", "translated_record_invalid_or_unusable"),
-    ("mapped_no_eligible_protein", "protein_coding_gene_without_eligible_translation"),
-)
+# Statuses that call for a review, and kinds of names with several genes.
 REVIEWED = ("ambiguous_multiple_gene_ids", "requires_policy_review", "translated_sequence_invalid")
 SEVERAL_GENES = ("patch_or_alternate_locus", "true_ambiguous_symbol_or_other")
 
@@ -136,17 +127,18 @@ def gene_summary(vocabulary: DataFrame, targets: DataFrame, genes: DataFrame, ro
     flags = ["protein_coding_gene", "mane_select_available", "_review", "_invalid", "_alternate", "is_perturbation_target"]
     all_ = all_.fillna(0, numbers).fillna(False, flags)
     n, candidates = F.col("num_gencode_gene_ids"), F.col("num_esm_candidate_sequences")
-    # First match wins, in the order of STATUSES.
-    holds = [
-        n > 1,
-        n == 0,
-        candidates > 0,
-        ~F.col("protein_coding_gene"),
-        F.col("_review"),
-        F.col("_invalid") & (F.col("num_translated_transcripts") > 0),
-        F.lit(True),
+    unusable = F.col("_invalid") & (F.col("num_translated_transcripts") > 0)
+    # The statuses of a name and the reasons for them. The first that holds counts.
+    statuses = [
+        (n > 1, "ambiguous_multiple_gene_ids", "multiple_gencode_gene_ids"),
+        (n == 0, "gene_symbol_not_found", "no_exact_gencode_gene_name_match"),
+        (candidates > 0, "mapped_with_esm_candidate", ""),
+        (~F.col("protein_coding_gene"), "non_protein_coding", "no_protein_coding_gene_or_transcript"),
+        (F.col("_review"), "requires_policy_review", "translated_special_transcript_biotype"),
+        (unusable, "translated_sequence_invalid", "translated_record_invalid_or_unusable"),
+        (F.lit(True), "mapped_no_eligible_protein", "protein_coding_gene_without_eligible_translation"),
     ]
-    found = F.coalesce(*[F.when(c, F.struct(F.lit(s).alias("s"), F.lit(r).alias("r"))) for c, (s, r) in zip(holds, STATUSES, strict=True)])
+    found = F.coalesce(*[F.when(c, F.struct(F.lit(s).alias("s"), F.lit(r).alias("r"))) for c, s, r in statuses])
     kind = F.when(n > 1, F.when(F.col("_alternate"), SEVERAL_GENES[0]).otherwise(SEVERAL_GENES[1])).otherwise("")
     return all_.withColumn("_found", found).select(
         "vcc_gene_name",

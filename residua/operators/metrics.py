@@ -61,6 +61,17 @@ def weight_profile(rows: DataFrame, weights: str, *keep: str) -> DataFrame:
     )
 
 
+def share_entropy(rows: DataFrame, keys: list[str], weight: str) -> DataFrame:
+    """Entropy of each key's weights as shares of their sum: keys, n, total, entropy, effective_positions.
+
+    From sums alone, so a key may have any number of rows; weights of zero and less count in n only.
+    """
+    w = F.when(F.col(weight) > 0, F.col(weight).cast("double"))
+    sums = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"), F.sum(w).alias("t"), F.sum(w * F.log(w)).alias("wl"))
+    entropy = F.log("t") - F.col("wl") / F.col("t")
+    return sums.select(*keys, "n", F.col("t").alias("total"), entropy.alias("entropy"), F.exp(entropy).alias("effective_positions"))
+
+
 def reconstruction_error(pairs: DataFrame, keys: list[str], a: str, b: str) -> DataFrame:
     """Over positions: mean, lower median and first percentile of cosine, RMSE, mean and 99th percentile of L2."""
     x, y = F.col(a), F.col(b)

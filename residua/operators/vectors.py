@@ -5,10 +5,11 @@ A state table has a row a position: key columns, pos, and state, an array of num
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -68,6 +69,31 @@ def windows(sequences: DataFrame, length: str, window: int, overlap: int) -> Dat
     return sequences.select("*", starts).withColumn("size", F.least(F.lit(window), F.col(length) - F.col("start")))
 
 
+def taper_coverage(sequences: DataFrame, key: str, length: str, window: int, overlap: int, kind: str) -> DataFrame:
+    """Per sequence its positions, and the total and least of the window weights that add up at them: key, positions, total, least.
+
+    Nothing is shuffled; a sequence takes a number a position in one task.
+    """
+    from residua.operators.encoder import window_starts, window_weights
+
+    window_starts(0, window, overlap), C.taper_named(kind)  # what doesn't fit raises here
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        whole = window_weights(window, kind)
+        for batch in batches:
+            total, least = [], []
+            for n in batch.column(1).to_pylist():
+                at = np.zeros(n or 0)
+                for start in window_starts(n or 0, window, overlap) if n else []:
+                    size = min(window, n - start)
+                    at[start : start + size] += whole if size == window else window_weights(size, kind)
+                total.append(float(at.sum())), least.append(float(at.min()) if n else None)
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(total), pa.array(least, pa.float64())], names=[key, "positions", "total", "least"])
+
+    kind_of = sequences.schema[key].dataType.simpleString()
+    return sequences.select(key, F.col(length).cast("long")).mapInArrow(run, f"{key} {kind_of}, positions long, total double, least double")
+
+
 def reconstruct(chunks: DataFrame, keys: list[str], kind: str = "triangular") -> DataFrame:
     """Join the windows' states into one state a position: keys, pos, state.
 
@@ -125,13 +151,26 @@ def wasserstein_features(states: DataFrame, key: str, reference: np.ndarray, pro
 def spectrum(vectors: DataFrame, column: str, dim: int) -> DataFrame:
     """Effective rank and the share of the five largest components of the centred vectors.
 
-    Only the sums and products of dimensions, dim * dim numbers, come to the driver.
+    A task adds up the products of its batches, a row a dimension; only the sums of these, dim * dim
+    numbers, come to the driver. Null vectors take no part.
     """
-    pairs = vectors.select(F.posexplode(F.col(column).cast("array<double>")).alias("i", "x"), F.col(column).cast("array<double>").alias("all"))
-    cross = pairs.select("i", F.posexplode("all").alias("j", "y"), "x").groupBy("i", "j").agg(F.sum(F.col("x") * F.col("y")).alias("s"))
-    sums = pairs.groupBy("i").agg(F.sum("x").alias("m"), F.count(F.lit(1)).alias("n")).collect()
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        gram, total, count = np.zeros((dim, dim)), np.zeros(dim), 0
+        for batch in batches:
+            held = batch.column(0).to_pylist()
+            if held:
+                x = np.array(held, dtype=np.float64)
+                gram, total, count = gram + x.T @ x, total + x.sum(axis=0), count + len(x)
+        if count:
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(np.arange(dim)), pa.array(np.full(dim, count)), pa.array(total), pa.array(gram.tolist(), pa.list_(pa.float64()))], names=["i", "n", "m", "row"]
+            )
+
+    parts = vectors.select(F.col(column).cast("array<double>").alias("x")).filter(F.col("x").isNotNull()).mapInArrow(run, "i long, n long, m double, row array<double>")
+    sums = parts.groupBy("i").agg(F.sum("n").alias("n"), F.sum("m").alias("m")).collect()
+    cross = parts.select("i", F.posexplode("row").alias("j", "y")).groupBy("i", "j").agg(F.sum("y").alias("s")).collect()
     gram, mean = np.zeros((dim, dim)), np.zeros(dim)
-    for r in cross.collect():
+    for r in cross:
         gram[r.i, r.j] = r.s
     for r in sums:
         mean[r.i] = r.m

@@ -72,7 +72,9 @@ def run(spark: SparkSession, files: Inputs, out: str, expected: checks.Expectati
     relations = keep("relationships_final", refine.relationships(final_map))
     summary = keep("gene_mapping_summary_final", refine.final_summary(vocabulary, targets, resolved, complete, final_map))
     checks.enforce(checks.Expectations(unique=("vcc_gene_name",)).evaluate(summary))
-    core = audit.integrity(final_map, final, relations).first().asDict()
+    core = audit.integrity(final_map, final, relations).first().asDict() | audit.coverage(vocabulary, summary).first().asDict()
+    core["unexpected_primary_loci"] = {r.locus_class: r["rows"] for r in audit.unexpected_loci(final_map).collect()}
+    core["orphan_hashes"] = [r.sequence_hash for r in audit.orphan_hashes(final, relations).orderBy("sequence_hash").limit(1000).collect()]
     sinks.write_text(spark, checks.to_json(core), f"{out}/mapping_final_qc.json")
     reports = {
         "isoforms_per_gene": audit.isoforms_per_gene(vocabulary, relations),

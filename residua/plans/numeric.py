@@ -9,6 +9,8 @@ from residua.operators import checks, encoder, graph, metrics, vectors
 from residua.plans.registry import query
 from residua.session import table
 
+#: Event types that a row and a broadcast hold, at most.
+MOST_KINDS = 1000
 _LONG = "SELECT label, vec_id, CAST(u.i AS INTEGER) - 1 AS dim, CAST(u.v AS DOUBLE) AS v FROM embeddings, unnest(embedding) WITH ORDINALITY AS u(v, i)"
 
 
@@ -74,7 +76,9 @@ SELECT user_id, round(sum(p * q) / sqrt(sum(p * p) * sum(q * q)), 6) AS cosine,
 round(sqrt(greatest(0.5 * sum(CASE WHEN p > 0 THEN p * ln(p / ((p + q) / 2)) ELSE 0 END + CASE WHEN q > 0 THEN q * ln(q / ((p + q) / 2)) ELSE 0 END), 0)), 6) AS js_distance
 FROM j GROUP BY user_id""")
 def vec_weight_agreement(spark, sf_dir):
-    """Each user's shares of event types against those of all users."""
+    """Each user's shares of event types against those of all users. Raises for more types than a row should hold."""
+    if table(spark, sf_dir, "events").select("event_type").distinct().limit(MOST_KINDS + 1).count() > MOST_KINDS:
+        raise ValueError(f"more than {MOST_KINDS} event types")
     w = table(spark, sf_dir, "events").groupBy("user_id", "event_type").agg((F.sum(F.abs("value")) + 1).alias("s"))
     kinds = w.groupBy("event_type").agg(F.sum("s").alias("s")).agg(F.array_sort(F.collect_list(F.struct("event_type", "s"))).alias("all"), F.lit(1).alias("one"))
     users = w.groupBy("user_id").agg(F.map_from_entries(F.collect_list(F.struct("event_type", "s"))).alias("m"), F.lit(1).alias("one")).join(F.broadcast(kinds), "one")
@@ -94,10 +98,9 @@ round(exp(sum(-p * ln(greatest(p, 1e-12)))), 4) AS effective FROM (
 SELECT event_type, s / sum(s) OVER (PARTITION BY event_type) AS p FROM (SELECT event_type, user_id, sum(abs(value)) AS s FROM events GROUP BY 1, 2)) GROUP BY 1""")
 def vec_weight_entropy(spark, sf_dir):
     w = table(spark, sf_dir, "events").groupBy("event_type", "user_id").agg(F.sum(F.abs("value")).alias("s"))
-    rows = w.groupBy("event_type").agg(F.collect_list("s").alias("s"), F.sum("s").alias("t"))
-    rows = rows.select("event_type", F.size("s").cast("bigint").alias("n"), F.transform("s", lambda x: x / F.col("t")).alias("p"))
-    profile = metrics.weight_profile(rows, "p", "event_type", "n")
-    return profile.select("event_type", "n", F.round("total", 6).alias("total"), F.round("entropy", 6).alias("entropy"), F.round("effective_positions", 4).alias("effective"))
+    profile = metrics.share_entropy(w, ["event_type"], "s")
+    whole = F.round(F.col("total") / F.col("total"), 6).alias("total")
+    return profile.select("event_type", "n", whole, F.round("entropy", 6).alias("entropy"), F.round("effective_positions", 4).alias("effective"))
 
 
 @query("SELECT l_suppkey, l_linenumber, max(l_extendedprice) AS w FROM lineitem GROUP BY ALL")
@@ -143,16 +146,26 @@ def graph_pagerank_by_month(spark, sf_dir):
 
 @query("""SELECT 'unique sequence_hash' AS "check", count(*) - count(DISTINCT vec_id) AS failures, count(*) = count(DISTINCT vec_id) AS ok FROM embeddings
 UNION ALL SELECT 'filled sequence_hash', count(*) FILTER (WHERE vec_id IS NULL), count(*) FILTER (WHERE vec_id IS NULL) = 0 FROM embeddings
-UNION ALL SELECT 'status ok', 0, true UNION ALL SELECT 'positive length', 0, true
+UNION ALL SELECT 'status ok', count(*) FILTER (WHERE vec_id % 50 = 7), count(*) FILTER (WHERE vec_id % 50 = 7) = 0 FROM embeddings
+UNION ALL SELECT 'positive length', count(*) FILTER (WHERE vec_id % 9 = 0), count(*) FILTER (WHERE vec_id % 9 = 0) = 0 FROM embeddings
 UNION ALL SELECT 'mean size', count(*) FILTER (WHERE len(embedding) <> 64), count(*) FILTER (WHERE len(embedding) <> 64) = 0 FROM embeddings
 UNION ALL SELECT 'mean finite', count(*) FILTER (WHERE NOT list_bool_and(list_transform(embedding, lambda x: isfinite(x)))), count(*) FILTER (WHERE NOT list_bool_and(list_transform(embedding, lambda x: isfinite(x)))) = 0 FROM embeddings""")
 def vec_bank_checks(spark, sf_dir):
+    """Checks of a bank in which some rows have failed and some have no length."""
+    status = F.when(F.col("vec_id") % 50 == 7, "failed").otherwise("ok")
     bank = table(spark, sf_dir, "embeddings").select(
-        F.col("vec_id").alias("sequence_hash"), F.lit(64).alias("length"), F.lit(1).alias("chunk_count"), F.lit("ok").alias("status"), F.col("embedding").alias("mean")
+        F.col("vec_id").alias("sequence_hash"), (F.col("vec_id") % 9).alias("length"), F.lit(1).alias("chunk_count"), status.alias("status"), F.col("embedding").alias("mean")
     )
     return checks.bank_checks(bank, {"mean": 64})
 
 
+@query("""SELECT vec_id, CAST(count(*) AS INTEGER) AS n, round(sum(v), 5) AS total FROM (SELECT vec_id, unnest(embedding[2:vec_id % 40 + 1]) AS v FROM embeddings WHERE vec_id % 40 > 0) GROUP BY 1""")
+def vec_drop_ends(spark, sf_dir):
+    """Of padded states with a marker at either end, those of the residues."""
+    rows = table(spark, sf_dir, "embeddings").filter("vec_id % 40 > 0").select("vec_id", vectors.drop_ends(F.col("embedding"), (F.col("vec_id") % 40).cast("int")).alias("s"))
+    return rows.select("vec_id", F.size("s").alias("n"), F.round(F.aggregate("s", F.lit(0.0), lambda a, x: a + x), 5).alias("total"))
+
+
 @query()
 def vec_spectrum(spark, sf_dir):
     """Effective rank and leading share of all vectors."""

@@ -46,9 +46,10 @@ def rel_semi_join(spark, sf_dir):
     return table(spark, sf_dir, "orders").select("o_orderkey", "o_totalprice").join(big, "o_orderkey", "left_semi")
 
 
-@query("SELECT c_custkey FROM customer WHERE NOT EXISTS (SELECT 1 FROM orders WHERE o_custkey = c_custkey)")
+@query("SELECT c_custkey FROM customer WHERE NOT EXISTS (SELECT 1 FROM orders WHERE o_custkey = c_custkey AND o_totalprice > 450000)")
 def rel_anti_join(spark, sf_dir):
-    have = table(spark, sf_dir, "orders").select(F.col("o_custkey").alias("c_custkey"))
+    """Customers without a large order."""
+    have = table(spark, sf_dir, "orders").filter("o_totalprice > 450000").select(F.col("o_custkey").alias("c_custkey"))
     return table(spark, sf_dir, "customer").select("c_custkey").join(have, "c_custkey", "left_anti")
 
 
@@ -77,7 +78,7 @@ def rel_token_containment(spark, sf_dir):
     """Where the words of small texts stand in large ones; words are counted on each side before they meet."""
     def words(name, key):
         t = table(spark, sf_dir, name).select(key, F.explode(F.array_distinct(F.split(F.lower("text"), " "))).alias("token"))
-        return t.filter(F.col("token") != "").groupBy("token").agg(F.count_distinct(key).alias("n"))
+        return t.filter(F.col("token") != "").groupBy("token").agg(F.count(F.lit(1)).alias("n"))  # an id holds a token once
 
     small, large = words("benchmark", "item_id"), words("documents", "doc_id")
     return small.withColumnRenamed("n", "items").join(large.withColumnRenamed("n", "documents"), "token")
@@ -143,9 +144,32 @@ def rel_union_by_name(spark, sf_dir):
     return c.unionByName(s)
 
 
-@query("SELECT p_partkey FROM part EXCEPT SELECT l_partkey FROM lineitem")
+@query("SELECT p_partkey FROM part EXCEPT SELECT l_partkey FROM lineitem WHERE l_quantity > 48")
 def rel_except(spark, sf_dir):
-    return table(spark, sf_dir, "part").select("p_partkey").subtract(table(spark, sf_dir, "lineitem").select(F.col("l_partkey").alias("p_partkey")))
+    """Parts never sold in a large quantity."""
+    large = table(spark, sf_dir, "lineitem").filter("l_quantity > 48").select(F.col("l_partkey").alias("p_partkey"))
+    return table(spark, sf_dir, "part").select("p_partkey").subtract(large)
+
+
+@query("SELECT o_orderkey, o_totalprice FROM orders WHERE o_totalprice >= 100000 AND o_totalprice < 200000")
+def rel_half_open_range(spark, sf_dir):
+    price = F.col("o_totalprice")
+    return table(spark, sf_dir, "orders").filter((price >= 100_000) & (price < 200_000)).select("o_orderkey", "o_totalprice")
+
+
+@query("SELECT doc_id FROM documents WHERE contains(text, 'a.') AND regexp_matches(text, '[*$^|]')")
+def rel_literal_and_class(spark, sf_dir):
+    """A literal that a pattern would read otherwise, and a class of characters that need an escape."""
+    docs = table(spark, sf_dir, "documents")
+    return docs.filter(F.col("text").contains("a.") & F.col("text").rlike(r"[\*\$\^\|]")).select("doc_id")
+
+
+@query("""SELECT user_id, string_agg(event_type, ',' ORDER BY first) AS kinds FROM (SELECT user_id, event_type, min(event_id) AS first FROM events GROUP BY 1, 2) GROUP BY 1""")
+def rel_distinct_in_order(spark, sf_dir):
+    """The distinct values of a column in the order in which they first come."""
+    first = table(spark, sf_dir, "events").groupBy("user_id", "event_type").agg(F.min("event_id").alias("first"))
+    listed = F.array_sort(F.collect_list(F.struct("first", "event_type")))  # a user's few kinds of events
+    return first.groupBy("user_id").agg(F.array_join(F.transform(listed, lambda x: x["event_type"]), ",").alias("kinds"))
 
 
 @query("SELECT d.doc_id FROM documents d WHERE NOT EXISTS (SELECT 1 FROM labels l WHERE l.doc_id = d.doc_id)")

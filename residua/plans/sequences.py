@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from residua.functions import columns as C
 from residua.operators import batching, checks, metrics
 from residua.plans.registry import query
-from residua.session import shuffle_partitions, table
+from residua.session import table
 
 BINS = [(0, 512), (513, 1022), (1023, 1500), (1501, 2000), (2001, 3000), (3001, 5000), (5001, 1_000_000_000)]
 LABELS = ["0-512", "513-1022", "1023-1500", "1501-2000", "2001-3000", "3001-5000", ">5000"]
@@ -29,9 +29,13 @@ def seq_dedup(spark, sf_dir):
     return rows.groupBy("sequence_hash").agg(F.min("doc_id").alias("doc_id"), F.count(F.lit(1)).alias("copies"), F.max("n_chars").alias("n_chars"))
 
 
-@query("SELECT sha256(text) AS sequence_hash, count(DISTINCT text) AS texts FROM documents GROUP BY 1 HAVING count(DISTINCT text) > 1")
+@query("""SELECT sequence_hash, count(DISTINCT text) AS texts FROM (SELECT sha256(text) AS sequence_hash, text FROM documents UNION ALL SELECT sha256(text), text || ' changed' FROM documents WHERE doc_id % 10 = 0)
+GROUP BY 1 HAVING count(DISTINCT text) > 1""")
 def seq_hash_conflicts(spark, sf_dir):
-    return checks.hash_conflicts(_hashed(spark, sf_dir), "sequence_hash", "text")
+    """Hashes with several texts, of which every tenth document is given a second one."""
+    rows = _hashed(spark, sf_dir)
+    changed = rows.filter("doc_id % 10 = 0").withColumn("text", F.concat("text", F.lit(" changed")))
+    return checks.hash_conflicts(rows.unionByName(changed), "sequence_hash", "text")
 
 
 @query(f"""SELECT b.k AS bin, b.label, count(d.doc_id) AS n, count(d.doc_id) * 100.0 / (SELECT count(*) FROM documents) AS percent
@@ -69,15 +73,12 @@ p AS (SELECT doc_id, s + i AS pos, CASE WHEN n = 1 THEN 1.0 ELSE greatest(1 - ab
 q AS (SELECT doc_id, pos, sum(w) AS w FROM p GROUP BY ALL)
 SELECT doc_id, count(*) AS positions, round(sum(w), 6) AS total, round(min(w), 6) AS least FROM q GROUP BY doc_id""")
 def seq_taper_coverage(spark, sf_dir):
-    """Sum of triangular window weights at every position of every text."""
-    from residua.operators.vectors import windows
+    """Sum of triangular window weights over the positions of every text."""
+    from residua.operators.vectors import taper_coverage
 
-    # Dealt by document while rows are small: positions then add up where they are made.
-    docs = table(spark, sf_dir, "documents").filter("n_chars > 0").select("doc_id", "n_chars").repartition(shuffle_partitions(spark), "doc_id")
-    cut = windows(docs, "n_chars", WINDOW, OVERLAP)
-    each = cut.select("doc_id", "start", F.posexplode(C.taper(F.col("size"), "triangular")).alias("i", "w"))
-    at = each.groupBy("doc_id", (F.col("start") + F.col("i")).alias("pos")).agg(F.sum("w").alias("w"))
-    return at.groupBy("doc_id").agg(F.count(F.lit(1)).alias("positions"), F.round(F.sum("w"), 6).alias("total"), F.round(F.min("w"), 6).alias("least"))
+    docs = table(spark, sf_dir, "documents").filter("n_chars > 0").select("doc_id", "n_chars")
+    out = taper_coverage(docs, "doc_id", "n_chars", WINDOW, OVERLAP, "triangular")
+    return out.select("doc_id", "positions", F.round("total", 6).alias("total"), F.round("least", 6).alias("least"))
 
 
 _STOPS = "length(text) - length(replace(text, '*', ''))"
