@@ -251,6 +251,12 @@ def _placed(docs: DataFrame, members: DataFrame, *more: str) -> DataFrame:
     return texts.select(F.col("doc_id").alias("node"), "code", *more, "text")
 
 
+def _by_cell(rows: DataFrame, cells: DataFrame, how: str = "inner") -> DataFrame:
+    """rows joined with cells, an aggregate a cell; on a second column too, so that the rows of one large cell can be split among tasks."""
+    again = -F.col("cell")
+    return rows.withColumn("again", again).join(cells.withColumn("again", again).hint("merge"), ["cell", "again"], how).drop("again")
+
+
 def _places(members: DataFrame) -> DataFrame:
     """members (node, cell, blocks, and more) with `places`, the blocks of the cell that each goes to."""
     blocks = F.col("blocks").cast("long")
@@ -412,7 +418,7 @@ def _links(docs: DataFrame, members: DataFrame, words: int, percent: int) -> tup
         "cell",
         F.greatest(F.ceil(F.col("docs") / BLOCK_DOCS), F.ceil(F.col("shingles") / BLOCK_SHINGLES)).cast("int").alias("blocks"),
     )
-    sized = staged(members.join(cells.hint("merge"), "cell"), "sized")
+    sized = staged(_by_cell(members, cells).select("node", "code", "n", "cell", "blocks"), "sized")
     links = staged(_block_links(docs, sized, words, percent), "links")
     cut = sized.filter("blocks > 1")
     if cut.isEmpty():
@@ -421,7 +427,7 @@ def _links(docs: DataFrame, members: DataFrame, words: int, percent: int) -> tup
     known = cut.join(tied.withColumnRenamed("component", "comp").hint("merge"), "node", "left")
     known = known.select("node", "code", "n", "cell", F.coalesce("comp", "node").alias("comp"))
     several = known.groupBy("cell").agg(F.min("comp").alias("least"), F.max("comp").alias("most")).filter("least < most")
-    closing = _prefix_links(docs, known.join(several.select("cell").hint("merge"), "cell", "left_semi"), words, percent)
+    closing = _prefix_links(docs, _by_cell(known, several.select("cell"), "left_semi"), words, percent)
     return links.unionByName(closing), [sized, links, tied, closing]
 
 
