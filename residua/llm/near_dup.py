@@ -325,7 +325,7 @@ def prefix_lengths(n: int, percent: int) -> tuple[int, int]:
 
 def _prefix_links(docs: DataFrame, rest: DataFrame, words: int, percent: int) -> DataFrame:
     """Edges (a, b) of all similar pairs of rest (node, code, n, cell, comp) in one cell but different components."""
-    placed = _placed(docs, rest, "cell", "comp")
+    placed = _placed(docs, rest, "cell", "comp").dropDuplicates(["node", "code", "text"])  # as they are dealt for the join
 
     def shingled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -337,7 +337,7 @@ def _prefix_links(docs: DataFrame, rest: DataFrame, words: int, percent: int) ->
             yield pa.RecordBatch.from_arrays([*columns, pa.array(out, pa.binary())], names=["node", "code", "cell", "comp", "set"])
 
     sets = placed.mapInArrow(shingled, "node long, code binary, cell long, comp long, set binary")
-    sets = staged(sets.filter(F.col("set").isNotNull()).dropDuplicates(["node", "code"]), "sets")
+    sets = staged(sets.filter(F.col("set").isNotNull()), "sets")
 
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(RARITY_BUCKETS, dtype=np.int64)
@@ -377,11 +377,12 @@ def _prefix_links(docs: DataFrame, rest: DataFrame, words: int, percent: int) ->
     laid = sets.select("node", "cell", "comp", "set").mapInArrow(
         prefixes, "cell long, x long, node long, comp long, n long, place long, found boolean"
     )
+    laid = staged(laid, "prefixes")
     # Only shingles that several components of a cell have can tie them.
     several = laid.groupBy("cell", "x").agg(F.min("comp").alias("least"), F.max("comp").alias("most")).filter("least < most")
-    laid = laid.join(several.select("cell", "x").hint("merge"), ["cell", "x"], "left_semi")
-    large = laid.select("cell", "x", *[F.col(c).alias(f"{c}_b") for c in ("node", "comp", "n", "place")])
-    small = laid.filter("found").select("cell", "x", *[F.col(c).alias(f"{c}_a") for c in ("node", "comp", "n", "place")])
+    met = laid.join(several.select("cell", "x").hint("merge"), ["cell", "x"], "left_semi")
+    large = met.select("cell", "x", *[F.col(c).alias(f"{c}_b") for c in ("node", "comp", "n", "place")])
+    small = met.filter("found").select("cell", "x", *[F.col(c).alias(f"{c}_a") for c in ("node", "comp", "n", "place")])
     need = F.expr(f"({percent} * (n_a + n_b) + {99 + percent}) div {100 + percent}")
     room = F.least(F.col("n_a") - F.col("place_a"), F.col("n_b") - F.col("place_b"))
     pairs = small.join(large.hint("merge"), ["cell", "x"]).filter(
@@ -404,12 +405,12 @@ def _prefix_links(docs: DataFrame, rest: DataFrame, words: int, percent: int) ->
             yield batch.select([0, 1]).filter(pa.array(good, pa.bool_()))
 
     links = staged(two.select("node_a", "node_b", "set_a", "set_b").mapInArrow(confirm, "a long, b long"), "closing")
-    unstage(sets)
+    unstage(sets), unstage(laid)
     return links
 
 
-def _links(docs: DataFrame, members: DataFrame, words: int, percent: int) -> tuple[DataFrame, list[DataFrame]]:
-    """Edges (a, b) that tie together what similar classes of a cell do, and the staged tables that they are read from.
+def _groups(docs: DataFrame, members: DataFrame, same: DataFrame, words: int, percent: int) -> DataFrame:
+    """Components (node, component) of what similar classes of a cell tie together, and of the edges same (a, b).
 
     members: node, code, n, cell.
     """
@@ -419,16 +420,27 @@ def _links(docs: DataFrame, members: DataFrame, words: int, percent: int) -> tup
         F.greatest(F.ceil(F.col("docs") / BLOCK_DOCS), F.ceil(F.col("shingles") / BLOCK_SHINGLES)).cast("int").alias("blocks"),
     )
     sized = staged(_by_cell(members, cells).select("node", "code", "n", "cell", "blocks"), "sized")
-    links = staged(_block_links(docs, sized, words, percent), "links")
+    tied = connected_components(_block_links(docs, sized, words, percent).unionByName(same))
     cut = sized.filter("blocks > 1")
     if cut.isEmpty():
-        return links, [sized, links]
-    tied = connected_components(links)
+        unstage(sized)
+        return tied
     known = cut.join(tied.withColumnRenamed("component", "comp").hint("merge"), "node", "left")
     known = known.select("node", "code", "n", "cell", F.coalesce("comp", "node").alias("comp"))
     several = known.groupBy("cell").agg(F.min("comp").alias("least"), F.max("comp").alias("most")).filter("least < most")
-    closing = _prefix_links(docs, _by_cell(known, several.select("cell"), "left_semi"), words, percent)
-    return links.unionByName(closing), [sized, links, tied, closing]
+    rest = staged(_by_cell(known, several.select("cell"), "left_semi"), "rest")
+    unstage(sized)
+    if rest.isEmpty():  # every large cell is one component
+        unstage(rest)
+        return tied
+    closing = _prefix_links(docs, rest, words, percent)
+    unstage(rest)
+    if closing.isEmpty():
+        unstage(closing)
+        return tied
+    groups = connected_components(closing.unionByName(tied.select(F.col("node").alias("a"), F.col("component").alias("b"))))
+    unstage(closing), unstage(tied)
+    return groups
 
 
 def near_duplicates(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
@@ -448,18 +460,16 @@ def near_duplicates(docs: DataFrame, words: int = WORDS, percent: int = PERCENT)
     bound_arrow_batches(docs.sparkSession)
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     prints = staged(_fingerprints(docs, words, percent), "fingerprints")
-    classes = prints.filter(F.col("code").isNotNull()).groupBy("code").agg(F.min("doc_id").alias("node"))
-    classes = staged(classes.filter(F.col("node").isNotNull()), "classes")
-    first = classes.select(F.col("code").alias("c"), "node").hint("merge")
-    chosen = prints.join(first, (F.col("code") == F.col("c")) & (F.col("doc_id") == F.col("node")))
-    edges = _candidates(chosen.select("node", "n", "bands", "sketch"), percent)
+    classes = prints.filter(F.col("code").isNotNull()).groupBy("code")
+    same = [F.first(c).alias(c) for c in ("n", "bands", "sketch")]  # equal sets have equal ones
+    classes = staged(classes.agg(F.min("doc_id").alias("node"), *same).filter(F.col("node").isNotNull()), "classes")
+    edges = _candidates(classes.select("node", "n", "bands", "sketch"), percent)
     cells = connected_components(edges)
     unstage(edges)
-    known = chosen.select("node", "code", "n").distinct()
-    members = staged(known.join(cells.hint("merge"), "node").select("node", "code", "n", F.col("component").alias("cell")), "members")
-    links, parts = _links(docs, members, words, percent)
-    groups = connected_components(links.unionByName(_same_id(prints, classes)))
-    named = staged(classes.join(groups.hint("merge"), "node", "left").select("code", F.coalesce("component", "node").alias("group")), "groups")
+    members = staged(classes.select("node", "code", "n").join(cells.hint("merge"), "node").select("node", "code", "n", F.col("component").alias("cell")), "members")
+    unstage(cells)
+    groups = _groups(docs, members, _same_id(prints, classes), words, percent)
+    named = staged(classes.select("code", "node").join(groups.hint("merge"), "node", "left").select("code", F.coalesce("component", "node").alias("group")), "groups")
     rows = prints.select("doc_id", "n", "code").join(named.hint("merge"), "code", "left")
     component = F.when(F.col("n") == 0, F.col("doc_id")).otherwise(F.col("group"))
     rows = rows.select(
@@ -469,7 +479,7 @@ def near_duplicates(docs: DataFrame, words: int = WORDS, percent: int = PERCENT)
         F.coalesce(F.col("doc_id") == component, F.lit(False)).alias("kept"),
     )
     out = staged(rows, "near_duplicates")
-    for table in (prints, classes, cells, members, *parts, groups, named):
+    for table in (prints, classes, members, groups, named):
         unstage(table)
     return out
 
@@ -478,8 +488,10 @@ def _same_id(prints: DataFrame, classes: DataFrame) -> DataFrame:
     """Edges (a, b) between the classes that rows of one id fall into."""
     ids = prints.filter(F.col("doc_id").isNotNull() & F.col("code").isNotNull()).select("doc_id", F.xxhash64("code").alias("h"))
     ids = ids.groupBy("doc_id").agg(F.min("h").alias("low"), F.max("h").alias("high")).filter("low < high")
+    if ids.isEmpty():
+        return prints.sparkSession.createDataFrame([], "a long, b long")
     rows = prints.select("doc_id", "code").join(ids.select("doc_id").hint("merge"), "doc_id", "left_semi").distinct()
-    rows = rows.join(classes.hint("merge"), "code").select("doc_id", "node")
+    rows = rows.join(classes.select("code", "node").hint("merge"), "code").select("doc_id", "node")
     # A class's node is the smallest id in it, so the id itself stands for the others.
     return rows.filter(F.col("doc_id") != F.col("node")).select(F.col("doc_id").alias("a"), F.col("node").alias("b"))
 
