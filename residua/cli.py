@@ -27,7 +27,8 @@ def _shard(spark: SparkSession, a: argparse.Namespace) -> object:
 
 
 def _extract(spark: SparkSession, a: argparse.Namespace) -> object:
-    return extraction.extract(spark, spark.read.parquet(a.input), a.output, encoder.HashEncoder, a.max_tokens, 1 if a.disable_batching else a.max_batch_size)
+    size = 1 if a.disable_batching else a.max_batch_size
+    return extraction.extract(spark, spark.read.parquet(a.input), a.output, encoder.HashEncoder, a.max_tokens, size, a.features)
 
 
 def _run(spark: SparkSession, a: argparse.Namespace) -> object:
@@ -39,7 +40,7 @@ def _benchmark(spark: SparkSession, a: argparse.Namespace) -> object:
     rows = spark.read.parquet(a.input).withColumn("n", F.length("amino_acid_sequence"))
     bins = [(100, 350), (450, 550), (650, 750), (850, 950), (980, 1022)]
     sample = batching.stratified_sample(rows, "n", "sequence_hash", bins, a.count).cache()
-    n = sample.count()
+    n, residues = sample.agg(F.count(F.lit(1)), F.sum("n")).first()
 
     def timed(size: int, tokens: int):
         began = time.perf_counter()
@@ -48,12 +49,15 @@ def _benchmark(spark: SparkSession, a: argparse.Namespace) -> object:
         return bank, time.perf_counter() - began
 
     serial, seconds = timed(1, 8192)
-    out = [{"mode": "serial", "seconds": seconds, "per_hour": n / seconds * 3600}]
+    def rates(took: float) -> dict:
+        return {"seconds": took, "per_hour": n / took * 3600, "residues_per_second": (residues or 0) / took}
+
+    out = [{"mode": "serial", **rates(seconds)}]
     for tokens in a.max_tokens:
         batched, took = timed(a.max_batch_size, tokens)
         agreement = metrics.vector_agreement(serial, batched, "sequence_hash", "mean")
         worst = agreement.agg(F.min("cosine").alias("least_cosine"), F.max("max_abs_error").alias("max_abs_error")).first().asDict()
-        out.append({"mode": f"batched {tokens}", "seconds": took, "per_hour": n / took * 3600, "speedup": seconds / took, **worst})
+        out.append({"mode": f"batched {tokens}", **rates(took), "speedup": seconds / took, **worst})
     return out
 
 
@@ -86,7 +90,8 @@ def parser() -> argparse.ArgumentParser:
     paths = {n: need for n in "vocabulary targets gtf fasta mane complete withdrawn out".split()}
     command("map", _map, **paths, source={"default": ""}, release={"default": ""})
     command("shard", _shard, input=need, output_dir=need, shard_size={"type": int, "default": 2000})
-    command("extract", _extract, input=need, output=need, disable_batching={"action": "store_true"}, **batches)
+    features = {"nargs": "+", "choices": extraction.FEATURES, "default": list(extraction.FEATURES)}
+    command("extract", _extract, input=need, output=need, features=features, disable_batching={"action": "store_true"}, **batches)
     command("run-shards", _run, input_root=need, output_root=need, limit={"type": int}, **batches)
     command(
         "benchmark", _benchmark, input=need, count={"type": int, "default": 200}, max_batch_size=batches["max_batch_size"],

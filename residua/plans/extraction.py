@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import json
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -14,22 +14,29 @@ from residua.sources import annotation, sinks
 FEATURES = ("mean", "std", "parti")
 
 
-def extract(spark: SparkSession, work: DataFrame, out: str, make: Callable[[], encoder.Encoder], max_tokens: int, max_batch_size: int) -> dict:
+def extract(
+    spark: SparkSession, work: DataFrame, out: str, make: Callable[[], encoder.Encoder], max_tokens: int, max_batch_size: int, features: Sequence[str] = FEATURES
+) -> dict:
     """Bring the bank at `out` up to date with work (sequence_hash, amino_acid_sequence); returns its counts.
 
-    Rows already done stay; failed ones are tried again and replace their earlier failure.
+    Rows already done stay; failed ones are tried again and replace their earlier failure. The bank holds
+    the features asked for and no others; a bank that lacks one of them is made anew.
     """
+    columns = ["sequence_hash", "length", "chunk_count", "status", "error", *features]
     work = work.select("sequence_hash", "amino_acid_sequence").dropDuplicates(["sequence_hash"])
     try:
-        bank = ledger.completed(spark.read.parquet(out), list(FEATURES))
-        done = bank.join(work.select("sequence_hash"), "sequence_hash", "left_semi")
-        todo = ledger.pending(work, done)
-        result = done.unionByName(encoder.extract_features(todo, make, max_tokens, max_batch_size))
+        bank = spark.read.parquet(out)
     except Exception as e:
         if "PATH_NOT_FOUND" not in str(e):
             raise
+        bank = None
+    if bank is not None and set(columns) <= set(bank.columns):
+        done = ledger.completed(bank, list(features)).join(work.select("sequence_hash"), "sequence_hash", "left_semi")
+        todo = ledger.pending(work, done)
+        result = done.select(*columns).unionByName(encoder.extract_features(todo, make, max_tokens, max_batch_size).select(*columns))
+    else:
         result = encoder.extract_features(work, make, max_tokens, max_batch_size)
-    sinks.write_bank(result, out)
+    sinks.write_bank(result.select(*columns), out)
     now = spark.read.parquet(out).agg(F.count_if(F.col("status") == "ok").alias("completed"), F.count_if(F.col("status") != "ok").alias("failed"))
     return now.first().asDict()
 

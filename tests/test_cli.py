@@ -40,8 +40,14 @@ def test_shards_and_extraction(spark, tmp_path):
     bank = str(tmp_path / "bank")
     assert main(["extract", "--input", source, "--output", bank], spark) == {"completed": 23, "failed": 0}
     assert main(["extract", "--input", source, "--output", bank, "--disable-batching"], spark) == {"completed": 23, "failed": 0}
+    some = str(tmp_path / "some")
+    assert main(["extract", "--input", source, "--output", some, "--features", "mean", "parti"], spark) == {"completed": 23, "failed": 0}
+    assert spark.read.parquet(some).columns[-2:] == ["mean", "parti"] and "std" not in spark.read.parquet(some).columns
+    assert main(["extract", "--input", source, "--output", some], spark) == {"completed": 23, "failed": 0}
+    assert spark.read.parquet(some).filter("std IS NOT NULL").count() == 23
     timed = main(["benchmark", "--input", source, "--count", "8", "--max-tokens", "4096"], spark)
     assert timed[1]["least_cosine"] > 0.999999 and len(timed) == 2
+    assert all(r["residues_per_second"] > r["per_hour"] / 3600 > 0 for r in timed)
 
 
 def test_compare_pagerank(spark, tmp_path):

@@ -3,7 +3,7 @@ import json
 import numpy as np
 from pyspark.sql import functions as F
 
-from residua.operators import encoder
+from residua.operators import encoder, ledger
 from residua.sources import annotation, sinks
 from residua.streaming.ingest import ingest_available
 
@@ -54,3 +54,21 @@ def test_incremental_ingest(spark, tmp_path):
     ingest_available(spark, folder, rows.schema, bank, checkpoint, process)
     out = spark.read.parquet(bank)
     assert seen == [5, 7] and out.count() == out.select("sequence_hash").distinct().count() == 12
+
+
+def test_failed_rows_are_tried_again(spark, tmp_path):
+    folder, bank, checkpoint = (str(tmp_path / x) for x in ("in", "bank", "state"))
+    tried = []
+
+    def process(batch):
+        tried.append(sorted(r.sequence_hash for r in batch.collect()))
+        state = "ok" if len(tried) > 1 else "failed"
+        return batch.withColumn("status", F.when(F.col("sequence_hash") == "b", state).otherwise("ok"))
+
+    for part in (["a", "b"], ["a", "b", "c"], ["b", "c"]):
+        rows = spark.createDataFrame([(h,) for h in part], "sequence_hash string")
+        rows.write.mode("append").parquet(folder)
+        ingest_available(spark, folder, rows.schema, bank, checkpoint, process)
+    assert tried == [["a", "b"], ["b", "c"], []]
+    now = ledger.latest(spark.read.parquet(bank), "sequence_hash", "batch").collect()
+    assert sorted((r.sequence_hash, r.status) for r in now) == [("a", "ok"), ("b", "ok"), ("c", "ok")]
