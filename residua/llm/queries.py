@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from residua.llm import chat, collocations, html_extract, kdtree, license_scan, mixing, near_dup, ngram_rules, packing, quality, toxicity
+from residua.llm import chat, collocations, html_extract, kdtree, license_scan, mixing, near_dup, ngram_rules, packing, quality, sharding, toxicity
 from residua.session import table
 
 TOKENIZER = "byte_bpe_50k.json"
@@ -83,6 +83,10 @@ def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return collocations.collocations(table(spark, sf_dir, "documents"))
 
 
+def op12_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.assign(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_quality": op1_quality,
@@ -98,6 +102,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op9_chat_format": op9_chat_format,
         "op10_near_duplicates": op10_near_duplicates,
         "op11_collocations": op11_collocations,
+        "op12_sharding": op12_sharding,
     }
 
 
@@ -110,4 +115,5 @@ def oracle_sql() -> dict[str, str]:
         "op9_chat_format": chat.oracle_sql(),
         "op10_near_duplicates": near_dup.oracle_sql(words=3, percent=85),
         "op11_collocations": collocations.oracle_sql(),
+        "op12_sharding": sharding.oracle_sql(),
     }
