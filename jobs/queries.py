@@ -63,10 +63,10 @@ SELECT source, record_id, CASE WHEN t IS NULL THEN 'empty_sequence' ELSE '' END
 FROM records LEFT JOIN numbered ON sequence_hash = sha256(t) LEFT JOIN shards USING (shard_id)""",
         "job2_attempt_ledger": """
 WITH attempts AS (
-    SELECT user_id, event_id, any_value(epoch_us(ts)) AS at, any_value(coalesce(event_type <> 'error', false)) AS ok
+    SELECT user_id, event_id, any_value(epoch_us(ts)) AS micros, any_value(coalesce(event_type <> 'error', false)) AS ok
     FROM events WHERE user_id IS NOT NULL AND event_id IS NOT NULL AND ts IS NOT NULL GROUP BY ALL
 )
-SELECT user_id, CASE WHEN arg_max(ok, (at, event_id)) THEN 'ok' ELSE 'failed' END AS status, arg_max(event_id, (at, event_id)) AS last_event_id,
-    max(at) AS last_micros, count(*) AS attempts, count(*) FILTER (WHERE NOT ok) AS failures
+SELECT user_id, CASE WHEN arg_max(ok, (micros, event_id)) THEN 'ok' ELSE 'failed' END AS status, arg_max(event_id, (micros, event_id)) AS last_event_id,
+    max(micros) AS last_micros, count(*) AS attempts, count(*) FILTER (WHERE NOT ok) AS failures
 FROM attempts GROUP BY user_id""",
     }
