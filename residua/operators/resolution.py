@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from residua.functions import columns as C
+from residua.sources.annotation import in_file_order
 
 RESCUED = ("previous_symbol", "alias_symbol", "withdrawn_or_merged_symbol", "stable_ensembl_id")
 
@@ -19,7 +20,7 @@ def resolve(vocabulary: DataFrame, tokens: DataFrame, complete: DataFrame, exact
     (gene_name) count as such; the rest keep themselves as symbol and are `unresolved` by method.
     """
     names = vocabulary.select("vcc_gene_name").distinct()
-    by_id = complete.filter(F.coalesce("ensembl_gene_id", F.lit("")) != "").withColumn("n", F.monotonically_increasing_id())
+    by_id = in_file_order(complete, "n").filter(F.coalesce("ensembl_gene_id", F.lit("")) != "")
     by_id = by_id.groupBy(C.stable_id(F.col("ensembl_gene_id")).alias("_id")).agg(F.max_by(F.struct("symbol", "hgnc_id", "status"), "n").alias("stable"))
     candidate = F.struct("ord", "method", "hgnc_id", "symbol", "status", "merged_into")
     approved = F.col("method") == "approved_symbol"

@@ -74,9 +74,11 @@ def run(spark: SparkSession, files: Inputs, out: str, expected: checks.Expectati
     checks.enforce(checks.Expectations(unique=("vcc_gene_name",)).evaluate(summary))
     core = audit.integrity(final_map, final, relations).first().asDict() | audit.coverage(vocabulary, summary).first().asDict()
     core["unexpected_primary_loci"] = {r.locus_class: r["rows"] for r in audit.unexpected_loci(final_map).collect()}
-    core["orphan_hashes"] = [r.sequence_hash for r in audit.orphan_hashes(final, relations).orderBy("sequence_hash").limit(1000).collect()]
+    orphans = audit.orphan_hashes(final, relations)
+    core["orphan_hashes"] = orphans.count()
     sinks.write_text(spark, checks.to_json(core), f"{out}/mapping_final_qc.json")
     reports = {
+        "orphan_hashes": orphans,
         "isoforms_per_gene": audit.isoforms_per_gene(vocabulary, relations),
         "shared_sequences": audit.shared_sequences(relations),
         "transcript_biotypes": audit.biotypes(final_map, "eligibility"),

@@ -16,9 +16,10 @@ from residua.plans import annotation
 from residua.plans.registry import query
 from residua.session import shared_dir, table
 from residua.sources import annotation as sources
+from residua.sources.sinks import file_states
 
 RELEASE = "r1"
-_built: dict[tuple[str, str], dict[str, DataFrame]] = {}
+_built: dict[tuple, dict[str, DataFrame]] = {}
 
 
 def _padded(prefix: str, key: str) -> str:
@@ -54,6 +55,11 @@ def _files(spark: SparkSession, sf_dir: str, root: str) -> annotation.Inputs:
     transcripts = orders.join(named, "c").selectExpr(line("transcript", *own, typed, *more))
     comments = spark.createDataFrame([("# a comment",), ("",), ("too\tshort",)], "value string")
     genes.unionByName(transcripts).unionByName(comments).write.text(f"{root}/gtf")
+    # Two releases of unlike size; the second is the larger, so it is read first, and holds some genes only, by other names.
+    genes.write.text(f"{root}/releases/1")
+    renamed = named.filter("c % 3 = 0").withColumn("gene_name", F.expr("'NEW' || c"))
+    filler = spark.range(20).select(F.concat(F.lit("# "), F.repeat(F.lit("x"), 100_000)).alias("value"))
+    filler.unionByName(renamed.selectExpr(line("gene", *own, typed))).write.text(f"{root}/releases/2")
 
     held = orders.filter("o % 5 <> 0 AND o % 13 <> 0").withColumn("s", F.col("o") % 400)
     letters = "translate(md5(CAST(CAST(s AS STRING) AS BINARY)), '0123456789abcdef', 'ACDEFGHIKLMNPQRS')"
@@ -62,6 +68,13 @@ def _files(spark: SparkSession, sf_dir: str, root: str) -> annotation.Inputs:
     records = held.selectExpr(f"{header} || '\\n' || lower(substring({letters}, 1, 20)) || ' \\n' || substring({letters}, 21, 12) || {tail} AS value")
     records.unionByName(spark.createDataFrame([(">broken|header\nMMM",)], "value string")).write.text(f"{root}/fasta")
 
+    old = "'>' || {id} || '|a|b|c|d|e|f|g' || '\\n' || {body} AS value"
+    twice = orders.filter("o % 2 = 0")
+    twice.selectExpr(old.format(id=_padded("ENSP", "o") + " || '.1'", body="'MA' || repeat('K', CAST(o % 7 AS INT))")).write.text(f"{root}/proteins/1")
+    late = twice.filter("o % 4 = 0")  # the same ids, or other versions of them
+    late = late.selectExpr(old.format(id=_padded("ENSP", "o") + " || '.' || IF(o % 8 = 0, 1, 2)", body="'MC' || repeat('R', 400)"))
+    late.write.text(f"{root}/proteins/2")
+
     status = "IF(o % 12 = 0, 'MANE Select', 'MANE Plus Clinical') AS MANE_status"
     chosen = orders.filter("o % 6 = 0").selectExpr(f"{_padded('ENST', 'o')} || '.2' AS Ensembl_nuc", status, "'NM_' || o AS RefSeq_nuc", "'NP_' || o AS RefSeq_prot")
     again = orders.filter("o % 24 = 0").selectExpr(f"{_padded('ENST', 'o')} || '.3' AS Ensembl_nuc", "'MANE Plus Clinical' AS MANE_status", "'NMX_' || o AS RefSeq_nuc", "'NP_' || o AS RefSeq_prot")
@@ -94,8 +107,9 @@ def _files(spark: SparkSession, sf_dir: str, root: str) -> annotation.Inputs:
 
 
 def built(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    """All tables of the run over sf_dir, which is made once a session, and its inputs as tables."""
-    key = (spark.sparkContext.applicationId, sf_dir)
+    """All tables of the run over sf_dir, and its inputs as tables; made once a session for each state of the files."""
+    files = sorted((x, *state) for t in ("customer", "orders", "part") for x, state in file_states(spark, f"{str(sf_dir).rstrip('/')}/{t}.parquet").items())
+    key = (spark.sparkContext.applicationId, *files)
     if key not in _built:
         root = f"{shared_dir(spark).rstrip('/')}/chain-{uuid.uuid4().hex}"
         files = _files(spark, sf_dir, f"{root}/files")
@@ -106,6 +120,8 @@ def built(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
         tables["targets"] = sources.read_delimited(spark, files.targets)
         tables["fasta"] = sources.read_fasta(spark, files.fasta)
         tables["gtf"] = sources.read_gtf(spark, files.gtf)
+        tables["genes_of_two_releases"] = sources.gtf_genes(sources.read_gtf(spark, f"{root}/files/releases/*"))
+        tables["proteins_of_two_releases"] = sources.protein_index(sources.protein_records(sources.read_fasta(spark, f"{root}/files/proteins/*")))
         _built[key] = tables
     return _built[key]
 
@@ -207,6 +223,21 @@ def map_genes(spark, sf_dir):
     return built(spark, sf_dir)["genes"]
 
 
+@chain("SELECT gene_id, gene_id_stable, CASE WHEN c % 3 = 0 THEN 'NEW' || c ELSE gene_name END AS gene_name, gene_type FROM gene")
+def map_genes_of_two_releases(spark, sf_dir):
+    """Genes of two files, of which the later one wins where both hold a gene."""
+    return built(spark, sf_dir)["genes_of_two_releases"]
+
+
+@chain(f"""SELECT key, aa AS amino_acid_sequence FROM (
+  SELECT 'ENSP' || {_O} || '.1' AS key, CASE WHEN o % 8 = 0 THEN 'MC' || repeat('R', 400) ELSE 'MA' || repeat('K', o % 7) END AS aa FROM ord WHERE o % 2 = 0
+  UNION ALL SELECT 'ENSP' || {_O} || '.2', 'MC' || repeat('R', 400) FROM ord WHERE o % 8 = 4
+  UNION ALL SELECT 'ENSP' || {_O}, 'MA' || repeat('K', o % 7) FROM ord WHERE o % 2 = 0)""")
+def map_proteins_of_two_releases(spark, sf_dir):
+    """Records of two files: the last of an exact id, the first of a stable one."""
+    return built(spark, sf_dir)["proteins_of_two_releases"].select("key", "amino_acid_sequence")
+
+
 @chain("SELECT gene_id, gene_id_stable, gene_name, gene_type, seqname, transcript_id, transcript_id_stable, transcript_name, transcript_type, protein_id, protein_id_stable FROM transcript")
 def map_transcripts(spark, sf_dir):
     return built(spark, sf_dir)["transcripts"].drop("line_no")

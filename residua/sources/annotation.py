@@ -1,17 +1,35 @@
-"""Readers of annotation and sequence files. Plain or gzipped; one file is one ordered stream of lines."""
+"""Readers of annotation and sequence files, plain or gzipped.
+
+Where a later line wins over an earlier one, lines are ordered by the path of their file, the start of their
+split in it, and their place in the split, whatever tasks Spark packs files and splits into.
+"""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from residua.functions import columns as C
 
 
+def in_file_order(df: DataFrame, name: str) -> DataFrame:
+    """df with a column to order its rows by as they stand in their files; it is a struct.
+
+    A split is read by one task from its start, so within a split the task's running number will do. A table
+    that isn't read from files is ordered as its partitions are.
+    """
+    within = F.monotonically_increasing_id()
+    try:
+        return df.withColumn(name, F.struct(F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("start"), within.alias("n")))
+    except AnalysisException:
+        return df.withColumn(name, F.struct(F.lit("").alias("path"), F.lit(0).cast("long").alias("start"), within.alias("n")))
+
+
 def _lines(spark: SparkSession, path: str) -> DataFrame:
-    """line and its place in the file. A gzipped file is one partition, and so is a plain one read whole."""
-    return spark.read.text(path).select(F.col("value").alias("line"), F.monotonically_increasing_id().alias("line_no"))
+    """line and line_no, its place in the files."""
+    return in_file_order(spark.read.text(path), "line_no").select(F.col("value").alias("line"), "line_no")
 
 
 def read_gtf(spark: SparkSession, path: str) -> DataFrame:
@@ -76,7 +94,7 @@ def read_fasta(spark: SparkSession, path: str, fields: int = 8) -> DataFrame:
     A record is cut at a line that starts with >. Lines are trimmed and joined, letters made upper-case;
     blanks within a line stay, and are invalid later.
     """
-    raw = spark.read.option("lineSep", "\n>").text(path).select(F.col("value"), F.monotonically_increasing_id().alias("record_no"))
+    raw = in_file_order(spark.read.option("lineSep", "\n>").text(path), "record_no").select("value", "record_no")
     raw = raw.withColumn("value", F.regexp_replace("value", "^\\s*>", "")).filter(F.trim("value") != "")
     head = F.substring_index("value", "\n", 1)
     body = F.when(F.instr("value", "\n") > 0, F.substring(F.col("value"), F.instr("value", "\n") + 1, F.length("value"))).otherwise("")
@@ -147,7 +165,7 @@ def hgnc_tokens(complete: DataFrame, withdrawn: DataFrame) -> DataFrame:
 
     ord follows the files: rows in order, within a row symbol, previous, alias; withdrawn entries last.
     """
-    rows = complete.withColumn("n", F.monotonically_increasing_id())
+    rows = in_file_order(complete, "n")
     named = F.array(
         F.struct(F.lit("approved_symbol").alias("method"), F.array("symbol").alias("tokens")),
         F.struct(F.lit("previous_symbol").alias("method"), C.pipe_list(F.col("prev_symbol")).alias("tokens")),
@@ -158,7 +176,7 @@ def hgnc_tokens(complete: DataFrame, withdrawn: DataFrame) -> DataFrame:
     kept = rows.select(
         F.trim("token").alias("token"), "method", "hgnc_id", "symbol", "status", F.lit("").alias("merged_into"), F.struct(F.lit(0).alias("f"), "n", "k", "j").alias("ord")
     )
-    gone = withdrawn.withColumn("n", F.monotonically_increasing_id()).select(
+    gone = in_file_order(withdrawn, "n").select(
         F.trim("WITHDRAWN_SYMBOL").alias("token"),
         F.lit("withdrawn_or_merged_symbol").alias("method"),
         F.col("HGNC_ID").alias("hgnc_id"),
@@ -204,8 +222,3 @@ def check_gtf(gtf: DataFrame) -> DataFrame:
     held = [F.bool_and(F.coalesce(F.try_element_at("attrs", F.lit(k)), F.lit("")) != "").alias(f"has_{k}") for k in need]
     typed = F.bool_and(C.first_attribute(F.col("attrs"), "gene_type", "gene_biotype") != "").alias("has_gene_type")
     return first.agg(F.count(F.lit(1)).alias("genes"), *held, typed)
-
-
-def running_number(df: DataFrame, order: str) -> DataFrame:
-    """df with `position`, 0-based, for tables that one task can sort."""
-    return df.withColumn("position", F.row_number().over(Window.orderBy(order)) - 1)

@@ -16,13 +16,27 @@ def _fs(spark: SparkSession, path: str):
     return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
 
 
+def file_states(spark: SparkSession, path: str) -> dict[str, tuple[int, int]]:
+    """Length and time of change of the file at a path, or of the files in a folder."""
+    fs, p = _fs(spark, path)
+    return {x.getPath().toString(): (x.getLen(), x.getModificationTime()) for x in fs.listStatus(p)}
+
+
 def publish(spark: SparkSession, staged_path: str, path: str) -> None:
-    """Put a finished folder in place of another by renaming."""
+    """Put a finished folder in place of another by renaming; the older one goes only when the new one stands."""
     fs, source = _fs(spark, staged_path)
     _, target = _fs(spark, path)
-    fs.delete(target, True)
+    aside = None
+    if fs.exists(target):
+        _, aside = _fs(spark, f"{path.rstrip('/')}.replaced-{uuid.uuid4().hex}")
+        if not fs.rename(target, aside):
+            raise OSError(f"{path} could not be moved aside")
     if not fs.rename(source, target):
+        if aside is not None:
+            fs.rename(aside, target)
         raise OSError(f"{staged_path} could not be renamed to {path}")
+    if aside is not None:
+        fs.delete(aside, True)
 
 
 def write_atomic(df: DataFrame, path: str, kind: str = "parquet", **options: str) -> None:

@@ -173,3 +173,33 @@ def test_audit(built):
     assert {r.target_gene: r.primary_sequences for r in targets.collect()} == {"AAA": 1, "OLD": 1}
     bins = audit.length_bins(built["final"], relations)
     assert bins.count() == 7 and bins.filter("sequences > 0").first().genes == 4
+
+
+def test_later_files_win_whatever_their_size(spark, tmp_path):
+    """Spark packs larger files first; order goes by path and place."""
+
+    def gene(name, filler=0):
+        return f'chr1\tx\tgene\t1\t2\t.\t+\t.\tgene_id "ENSG1.1"; gene_name "{name}"; gene_type "t";\n' + "# filler\n" * filler
+
+    for k, (name, filler) in enumerate([("A", 0), ("B", 5000), ("C", 10), ("D", 9000)]):
+        (tmp_path / f"part-{k}.gtf").write_text(gene(name) + gene(name + "2", filler))
+    assert A.gtf_genes(A.read_gtf(spark, str(tmp_path))).first().gene_name == "D2"
+    (tmp_path / "fa").mkdir()
+    for k, (body, more) in enumerate([("MA", 0), ("MC", 900), ("MD", 30)]):
+        records = [f">ENSP1.1|a|b|c|d|e|f|g\n{body}", *[f">Q{k}{n}.1|a|b|c|d|e|f|g\nMMMM" for n in range(more)]]
+        (tmp_path / "fa" / f"{k}.fa").write_text("\n".join(records) + "\n")
+    index = A.protein_index(A.protein_records(A.read_fasta(spark, str(tmp_path / "fa"))))
+    found = {r.key: r.amino_acid_sequence for r in index.filter("key like 'ENSP%'").collect()}
+    assert found == {"ENSP1.1": "MD", "ENSP1": "MA"}
+
+
+def test_order_holds_across_the_splits_of_a_file(spark, tmp_path):
+    line = 'chr1\tx\tgene\t1\t2\t.\t+\t.\tgene_id "ENSG{}.1"; gene_name "{}"; gene_type "t";\n'
+    (tmp_path / "big.gtf").write_text("".join(line.format(k % 50, k) for k in range(5000)))
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "20000")
+    try:
+        got = {r.gene_id_stable: r.gene_name for r in A.gtf_genes(A.read_gtf(spark, str(tmp_path))).collect()}
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    assert got == {f"ENSG{k}": str(4950 + k) for k in range(50)}
