@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from residua.functions import columns as C
+from residua.operators.quantiles import beside, exact_quantiles
 
 
 def vector_agreement(left: DataFrame, right: DataFrame, key: str, vector: str) -> DataFrame:
@@ -76,20 +77,16 @@ def reconstruction_error(pairs: DataFrame, keys: list[str], a: str, b: str) -> D
     """Over positions: mean, lower median and first percentile of cosine, RMSE, mean and 99th percentile of L2."""
     x, y = F.col(a), F.col(b)
     each = pairs.select(*keys, F.greatest(F.lit(-1.0), F.least(F.lit(1.0), C.cosine(x, y))).alias("c"), C.l2_distance(x, y).alias("d"), F.size(a).alias("n"))
-    return each.groupBy(*keys).agg(
-        F.avg("c").alias("mean_cosine"),
-        F.expr("percentile_disc(0.5) WITHIN GROUP (ORDER BY c)").alias("median_cosine"),
-        F.percentile("c", F.lit(0.01)).alias("p01_cosine"),
-        F.sqrt(F.sum(F.col("d") * F.col("d")) / F.sum("n")).alias("rmse"),
-        F.avg("d").alias("mean_l2"),
-        F.percentile("d", F.lit(0.99)).alias("p99_l2"),
-    )
+    sums = each.groupBy(*keys).agg(F.avg("c").alias("mean_cosine"), F.sqrt(F.sum(F.col("d") * F.col("d")) / F.sum("n")).alias("rmse"), F.avg("d").alias("mean_l2"))
+    cosine = exact_quantiles(each, keys, "c", {"median_cosine": 0.5, "p01_cosine": 0.01}, discrete=("median_cosine",)).drop("n")
+    distance = exact_quantiles(each, keys, "d", {"p99_l2": 0.99}).drop("n")
+    sums = beside(beside(sums, cosine, keys), distance, keys)
+    return sums.select(*keys, "mean_cosine", "median_cosine", "p01_cosine", "rmse", "mean_l2", "p99_l2")
 
 
 def length_statistics(rows: DataFrame, column: str) -> DataFrame:
     """Count, least, most, mean and exact interpolated quantiles; nulls for an empty table."""
-    at = [("p50", 0.5), ("p90", 0.9), ("p95", 0.95), ("p99", 0.99), ("p999", 0.999)]
+    at = {"p50": 0.5, "p90": 0.9, "p95": 0.95, "p99": 0.99, "p999": 0.999}
     c = F.col(column)
-    return rows.agg(
-        F.count(c).alias("n"), F.min(c).alias("least"), F.max(c).alias("most"), F.avg(c).alias("mean"), *[F.percentile(c, F.lit(q)).alias(n) for n, q in at]
-    )
+    sums = rows.agg(F.count(c).alias("n"), F.min(c).alias("least"), F.max(c).alias("most"), F.avg(c).alias("mean"))
+    return beside(sums, exact_quantiles(rows, [], column, at).drop("n"), [])

@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from residua.functions import columns as C
+from residua.operators.quantiles import beside, exact_quantiles
 from residua.session import shuffle_partitions
 
 
@@ -46,8 +47,12 @@ def mean_sd_pool(states: DataFrame, keys: list[str], state: str = "state") -> Da
 
 def quantile_pool(states: DataFrame, keys: list[str], state: str = "state") -> DataFrame:
     """Mean, sd and the three quartiles (interpolated), in one array `quantiles`."""
-    q = {f"q{p}": F.percentile("v", F.lit(p / 100)) for p in (25, 50, 75)}
-    out = _by_dim(long_form(states, keys, state), keys, mean=F.avg("v"), sd=F.stddev_pop("v"), **q)
+    values = long_form(states, keys, state)
+    q = {f"q{p}": p / 100 for p in (25, 50, 75)}
+    cuts = exact_quantiles(values, [*keys, "dim"], "v", q)
+    listed = cuts.groupBy(*keys).agg(F.array_sort(F.collect_list(F.struct("dim", *q))).alias("d"))  # as many as dimensions
+    listed = listed.select(*keys, *[F.transform("d", _field(n)).alias(n) for n in q])
+    out = beside(_by_dim(values, keys, mean=F.avg("v"), sd=F.stddev_pop("v")), listed, keys)
     return out.select(*keys, F.concat("mean", "sd", *q).alias("quantiles"))
 
 
