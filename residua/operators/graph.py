@@ -1,15 +1,16 @@
-"""Weighted PageRank: dense per sequence in numpy, and for one large graph on edges."""
+"""Weighted PageRank: dense per sequence in numpy; for one large graph, or many at once, on edges."""
 
 from __future__ import annotations
 
 import numpy as np
-import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from residua.session import staged, unstage
+from residua.session import shuffle_partitions, staged, unstage
 
 ALPHA, TOLERANCE, ROUNDS = 0.85, 1e-6, 100
+#: Nodes of a graph that one row is spread into, and rounds between looks at which graphs have settled.
+BLOCK, LOOK = 1 << 16, 4
 
 
 def reduce_attention(attention: DataFrame, keys: list[str]) -> DataFrame:
@@ -52,24 +53,71 @@ def residue_weights(matrix: np.ndarray, **options: float) -> np.ndarray:
     return (inner / inner.sum()).astype(np.float32)
 
 
-def grouped_pagerank(edges: DataFrame, key: str, trim: bool = False) -> DataFrame:
-    """PageRank of many small graphs: key, node, score, rounds, converged.
+def _nodes(sizes: DataFrame) -> DataFrame:
+    """A row a node, 0 to n - 1, of each graph (_g, n); a graph's nodes are made in blocks."""
+    blocks = sizes.select("_g", "n", F.explode(F.sequence(F.lit(0).cast("long"), (F.col("n") - 1).cast("long"), F.lit(BLOCK))).alias("first"))
+    blocks = blocks.repartition(shuffle_partitions(sizes.sparkSession), "_g", "first")
+    return blocks.select("_g", "n", F.explode(F.sequence("first", F.least(F.col("first") + BLOCK, F.col("n")) - 1)).alias("node"))
 
-    edges: key, i, j, w with nodes numbered from 0. One graph is one dense matrix. trim drops the first
-    and last node and renormalises.
-    """
-    def one(group: pd.DataFrame) -> pd.DataFrame:
-        n = int(max(group.i.max(), group.j.max())) + 1
-        m = np.zeros((n, n))
-        np.add.at(m, (group.i.to_numpy(), group.j.to_numpy()), group.w.to_numpy())
-        score, rounds, settled = pagerank(m)
-        nodes = np.arange(n)
-        if trim:
-            nodes, score = nodes[1:-1], score[1:-1] / score[1:-1].sum()
-        return pd.DataFrame({key: group[key].iloc[0], "node": nodes, "score": score, "rounds": rounds, "converged": settled})
 
-    kind = edges.schema[key].dataType.simpleString()
-    return edges.groupBy(key).applyInPandas(one, f"{key} {kind}, node long, score double, rounds int, converged boolean")
+def grouped_pagerank(
+    edges: DataFrame, key: str, trim: bool = False, alpha: float = ALPHA, tolerance: float = TOLERANCE, rounds: int = ROUNDS
+) -> DataFrame:
+    """PageRank of many graphs at once: key, node, score, rounds, converged.
+
+    edges: key, i, j, w with nodes numbered from 0; parallel edges add up. All graphs take a round together,
+    on edges and scores keyed by graph and node, so graphs may be of any size and number. What dangling nodes
+    hold and how much scores moved is summed by graph; a graph that has settled keeps its scores, and leaves
+    the working set at the next look. trim drops the first and last node and renormalises.
+    """
+    g = F.struct(F.col(key).alias("k"))  # so that a null key is a graph like others
+    rows = edges.select(g.alias("_g"), F.col("i").cast("long").alias("i"), F.col("j").cast("long").alias("j"), F.col("w").cast("double").alias("w"))
+    sizes = rows.groupBy("_g").agg((F.max(F.greatest("i", "j")) + 1).alias("n"))
+    weights = rows.filter(F.col("w") > 0).groupBy("_g", "i", "j").agg(F.sum("w").alias("w"))
+    out = weights.groupBy("_g", "i").agg(F.sum("w").alias("out"))
+    step = staged(weights.join(out, ["_g", "i"]).select("_g", "i", "j", (F.col("w") / F.col("out")).alias("p")), "step")
+    sources = step.select("_g", F.col("i").alias("node"), F.lit(True).alias("has_out")).distinct()
+    start = _nodes(sizes).join(sources, ["_g", "node"], "left").select(
+        "_g", "node", "n", (F.lit(1.0) / F.col("n")).alias("score"), F.lit(None).cast("double").alias("before"), F.col("has_out").isNull().alias("dangling"), F.lit(0).alias("rounds")
+    )
+    ranks, done = staged(start, "ranks"), []
+
+    def state() -> DataFrame:
+        moved = F.sum(F.abs(F.col("score") - F.col("before")))
+        held = F.coalesce(F.sum(F.when(F.col("dangling"), F.col("score"))), F.lit(0.0))
+        found = ranks.groupBy("_g").agg(moved.alias("moved"), held.alias("held"), F.max("n").alias("_n"))
+        return found.select("_g", "held", F.coalesce(F.col("moved") >= F.col("_n") * tolerance, F.lit(True)).alias("active"))
+
+    for k in range(rounds):
+        flow = step.join(ranks.select("_g", F.col("node").alias("i"), "score"), ["_g", "i"]).groupBy("_g", F.col("j").alias("node")).agg(F.sum(F.col("p") * F.col("score")).alias("flow"))
+        moved = alpha * (F.coalesce("flow", F.lit(0.0)) + F.col("held") / F.col("n")) + (1 - alpha) / F.col("n")
+        both = ranks.join(flow, ["_g", "node"], "left").join(state(), "_g")
+        after = both.select(
+            "_g", "node", "n", F.when(F.col("active"), moved).otherwise(F.col("score")).alias("score"),
+            F.when(F.col("active"), F.col("score")).otherwise(F.col("before")).alias("before"), "dangling", (F.col("rounds") + F.col("active").cast("int")).alias("rounds"),
+        )
+        after = staged(after, "ranks")
+        unstage(ranks)
+        ranks = after
+        if k % LOOK == LOOK - 1:
+            now = staged(ranks.join(state().select("_g", "active"), "_g"), "ranks")
+            unstage(ranks)
+            done.append(now.filter(~F.col("active")))
+            ranks = now.filter("active").drop("active")
+            if ranks.isEmpty():
+                break
+            ranks = staged(ranks, "ranks")
+    else:
+        done.append(ranks.join(state().select("_g", "active"), "_g").select(*ranks.columns, "active"))
+    found = done[0] if done else ranks.withColumn("active", F.lit(True))
+    for more in done[1:]:
+        found = found.unionByName(more)
+    unstage(step)
+    if trim:
+        found = found.filter((F.col("node") > 0) & (F.col("node") < F.col("n") - 1))
+        total = found.groupBy("_g").agg(F.sum("score").alias("total"))
+        found = found.join(total, "_g").withColumn("score", F.col("score") / F.col("total"))
+    return found.select(F.col("_g.k").alias(key), "node", "score", "rounds", (~F.col("active")).alias("converged"))
 
 
 def edge_pagerank(edges: DataFrame, alpha: float = ALPHA, tolerance: float = TOLERANCE, rounds: int = ROUNDS, exact: int | None = None) -> DataFrame:
@@ -85,6 +133,7 @@ def edge_pagerank(edges: DataFrame, alpha: float = ALPHA, tolerance: float = TOL
     step = staged(edges.join(out, "i").select("i", "j", (F.col("w") / F.col("out")).alias("p")), "step")
     n = nodes.count()
     if not n:
+        unstage(step)
         return nodes.withColumn("score", F.lit(0.0))
     sources = step.select(F.col("i").alias("node"), F.lit(True).alias("has_out")).distinct()
     ranks = staged(nodes.join(sources, "node", "left").select("node", F.lit(1.0 / n).alias("score"), F.col("has_out").isNull().alias("dangling")), "ranks")

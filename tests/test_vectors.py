@@ -224,3 +224,25 @@ def test_expectations(spark):
     assert not checks.Expectations(columns=("z",)).evaluate(df).first().ok
     assert checks.hash_conflicts(df, "k", "n").count() == 1 and checks.orphans(df, df.limit(1), "k").count() == 1
     assert checks.to_json({"b": 1, "a": 2}).index('"a"') < checks.to_json({"b": 1, "a": 2}).index('"b"')
+
+
+def test_pagerank_of_many_graphs(spark):
+    """Graphs of unlike size and speed, parallel edges, dangling and lone nodes, and a null key, against numpy."""
+    r = np.random.default_rng(5)
+    graphs = {"a": r.random((9, 9)), "cycle": np.roll(np.eye(6), 1, axis=1), "chain": np.eye(7, k=1), None: r.random((3, 3)) * (r.random((3, 3)) > 0.4), "one": np.ones((1, 1))}
+    graphs[None][2, 2] = 1.0
+    graphs["a"][4] = 0
+    rows = [(k, i, j, w / 2) for k, m in graphs.items() for (i, j), w in np.ndenumerate(m) for _ in range(2) if w or i == len(m) - 1]
+    edges = spark.createDataFrame([(k, int(i), int(j), float(w)) for k, i, j, w in rows], "name string, i long, j long, w double")
+    got = {}
+    for x in graph.grouped_pagerank(edges, "name").collect():
+        got.setdefault(x.name, {})[x.node] = x
+    assert set(got) == set(graphs)
+    for k, m in graphs.items():
+        score, rounds, settled = graph.pagerank(m)
+        assert [got[k][n].score for n in range(len(m))] == pytest.approx(score.tolist(), abs=1e-9)
+        assert {(x.rounds, x.converged) for x in got[k].values()} == {(rounds, settled)}
+    short = graph.grouped_pagerank(edges.filter("name = 'a'"), "name", rounds=3).collect()
+    assert [x.score for x in sorted(short, key=lambda x: x.node)] == pytest.approx(graph.pagerank(graphs["a"], rounds=3)[0].tolist(), abs=1e-9)
+    assert {(x.rounds, x.converged) for x in short} == {(3, False)}
+    assert graph.grouped_pagerank(edges.limit(0), "name").count() == 0
