@@ -89,10 +89,13 @@ def grouped_pagerank(
         return found.select("_g", "held", F.coalesce(F.col("moved") >= F.col("_n") * tolerance, F.lit(True)).alias("active"))
 
     for k in range(rounds):
-        flow = step.join(ranks.select("_g", F.col("node").alias("i"), "score"), ["_g", "i"]).groupBy("_g", F.col("j").alias("node")).agg(F.sum(F.col("p") * F.col("score")).alias("flow"))
-        moved = alpha * (F.coalesce("flow", F.lit(0.0)) + F.col("held") / F.col("n")) + (1 - alpha) / F.col("n")
-        both = ranks.join(flow, ["_g", "node"], "left").join(state(), "_g")
-        after = both.select(
+        sent = step.join(ranks.select("_g", F.col("node").alias("i"), "score"), ["_g", "i"]).select("_g", F.col("j").alias("node"), (F.col("p") * F.col("score")).alias("flow"))
+        # A node's own row and what its neighbours send it meet in one aggregation.
+        kept = ranks.columns[2:]
+        both = sent.unionByName(ranks.select("_g", "node", F.struct(*kept).alias("own")), allowMissingColumns=True)
+        both = both.groupBy("_g", "node").agg(F.coalesce(F.sum("flow"), F.lit(0.0)).alias("flow"), F.max("own").alias("own")).select("_g", "node", "flow", "own.*")
+        moved = alpha * (F.col("flow") + F.col("held") / F.col("n")) + (1 - alpha) / F.col("n")
+        after = both.join(state(), "_g").select(
             "_g", "node", "n", F.when(F.col("active"), moved).otherwise(F.col("score")).alias("score"),
             F.when(F.col("active"), F.col("score")).otherwise(F.col("before")).alias("before"), "dangling", (F.col("rounds") + F.col("active").cast("int")).alias("rounds"),
         )
