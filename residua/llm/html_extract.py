@@ -37,9 +37,11 @@ ENDS = {
     "option": ({"option"}, {"select"}),
 }
 DROPPED = frozenset(
-    "script style noscript template head title nav header footer aside form iframe svg canvas object embed button "
-    "select textarea input label menu dialog audio video math noembed noframes xmp".split()
+    "script style noscript template head title nav header footer aside iframe svg canvas object embed "
+    "select textarea input menu dialog audio video math noembed noframes xmp".split()
 )
+#: Dropped too, unless they stand within a sentence.
+CONTROLS = frozenset("label button".split())
 DROPPED_ROLES = frozenset(
     "navigation banner contentinfo complementary search dialog alert alertdialog menu menubar toolbar form".split()
 )
@@ -50,6 +52,15 @@ DROPPED_WORDS = frozenset(
     "breadcrumbs footer header masthead popup modal overlay newsletter subscribe subscription signup login toolbar "
     "pagination pager skip hidden".split()
 )
+#: Words that may stand beside one of these in a name of several words: "share-buttons" is dropped, "share-price" isn't.
+BOX_WORDS = frozenset(
+    "area article articles bar block body bottom box button buttons center col column columns container content count "
+    "feed fixed form global group has head heading icon icons in inner item items js lang layout left link links list lists "
+    "main meta mobile module no off on outer page panel post posts primary reader readers right row secondary section "
+    "site slot sticky stories story tab tags text thread title toggle top unit user users with wrap wrapper zone".split()
+)
+#: Elements whose id is an anchor, not the name of a box.
+ANCHORS = frozenset("h1 h2 h3 h4 h5 h6 p li a span".split())
 #: Of these, the ones that never name a page's layout: a wrapper may say "has-sidebar", not "comments".
 NEVER_LAYOUT = frozenset("comment comments commentlist respond reply replies disqus related recommended".split())
 NEVER_DROPPED = frozenset("html body article main".split())
@@ -193,12 +204,29 @@ def _close_implied(open_: _Open, tag: str) -> None:
     return None
 
 
-def _unwanted(node: Node, wraps: bool) -> bool:
+def _named(value: str) -> set[str]:
+    """The words of DROPPED_WORDS that the names in a class or id consist of, beside numbers and words for boxes."""
+    out = set()
+    for name in value.split():
+        words = set(_WORDS.findall(name))
+        found = words & DROPPED_WORDS
+        if found and all(w in BOX_WORDS or w.isdigit() for w in words - found):
+            out |= found
+    return out
+
+
+def _sentence(node: Node) -> range:
+    """Places of a paragraph's children with text of its own before and after."""
+    texts = [k for k, c in enumerate(node.children) if isinstance(c, str) and c.strip()] if node.tag == "p" else []
+    return range(texts[0] + 1, texts[-1]) if texts else range(0)
+
+
+def _unwanted(node: Node, wraps: bool, in_sentence: bool) -> bool:
     """Whether element, role, class, id or style say that this isn't part of an article.
 
-    wraps: it holds most of the page, so words of layout among its classes don't count.
+    wraps: it holds most of the page, so words of layout among its classes don't count, and a form is layout.
     """
-    if node.tag in DROPPED:
+    if node.tag in DROPPED or (node.tag == "form" and not wraps) or (node.tag in CONTROLS and not in_sentence):
         return True
     if not node.raw or node.tag in NEVER_DROPPED:
         return False
@@ -211,19 +239,19 @@ def _unwanted(node: Node, wraps: bool) -> bool:
         if name == "style" and re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value):
             return True
         if name in ("class", "id"):
-            words = DROPPED_WORDS.intersection(_WORDS.findall(value))
+            words = _named(value) if name == "class" or node.tag not in ANCHORS else set()
             if words and not (wraps and words.isdisjoint(NEVER_LAYOUT)):
                 return True
     return False
 
 
 def prune(root: Node) -> list[Node]:
-    """Cut what is unwanted; the elements that stay, parents before children."""
+    """Cut what is unwanted; the elements that stay, in page order."""
     everything, rest = [], [root]
     while rest:
         node = rest.pop()
         everything.append(node)
-        rest.extend(c for c in node.children if isinstance(c, Node) and c.tag not in DROPPED)
+        rest.extend(c for c in reversed(node.children) if isinstance(c, Node) and c.tag not in DROPPED)
     for node in reversed(everything):
         node.size = sum(c.size if isinstance(c, Node) else len(c) for c in node.children)
         node.main = any(isinstance(c, Node) and (c.main or c.tag in ("article", "main")) for c in node.children)
@@ -231,14 +259,14 @@ def prune(root: Node) -> list[Node]:
     while rest:
         node = rest.pop()
         kept.append(node)
-        children = []
-        for c in node.children:
+        children, sentence = [], _sentence(node)
+        for k, c in enumerate(node.children):
             if isinstance(c, Node):
-                if _unwanted(c, 2 * c.size > root.size) and (c.tag in DROPPED or not c.main):
+                if _unwanted(c, 2 * c.size > root.size, k in sentence) and (c.tag in DROPPED or not c.main):
                     continue
-                rest.append(c)
             children.append(c)
         node.children = children
+        rest.extend(c for c in reversed(children) if isinstance(c, Node))
     return kept
 
 

@@ -150,3 +150,40 @@ def test_whole_table(spark, sf_dir):
         text = "\n".join(x for x in (" ".join(b.split()) for b in reader.blocks) if x)
         assert (got[r.page_id].text, got[r.page_id].url, got[r.page_id].n_chars) == (text, r.url, len(text)), r.page_id
     assert seen > 20 and len(got) == pages.count()
+
+
+def prose(word):
+    return f"<p>{word} begins a paragraph, with commas, and more words, so that it counts as prose. It goes on.</p>"
+
+
+def words_of(html):
+    return [line.split()[0] for line in extract(html).split("\n") if line]
+
+
+def test_a_form_around_the_page_is_layout():
+    page = f"<body><form id='aspnetForm'><nav>Menu</nav><div>{prose('A')}{prose('B')}</div></form></body>"
+    assert words_of(page) == ["A", "B"]
+    assert words_of(f"<body><form><main>{prose('A')}</main></form></body>") == ["A"]
+    assert words_of(f"<body><div>{prose('A')}{prose('B')}</div><form><label>Mail</label><p>Sign up, now.</p><button>Go</button></form></body>") == ["A", "B"]
+
+
+def test_names_are_judged_whole():
+    kept = ["side-by-side", "share-price", "ad-hoc", "x hiddenite"]
+    gone = ["ad", "ad-box", "share-buttons", "comment-17", "site-footer x", "related_posts", "cookie-notice"]
+    page = "".join(f"<div class='{c}'>{prose(f'w{k}')}</div>" for k, c in enumerate(kept + gone))
+    page = f"<article>{prose('A')}{page}<section id='related-work'><h2 id='social'>Social</h2>{prose('Z')}</section></article>"
+    assert words_of(page) == ["A", *[f"w{k}" for k in range(len(kept))], "Social", "Z"]
+
+
+def test_ties_and_page_order():
+    column = "<div>{}</div>"
+    page = f"<body>{column.format(prose('A') + prose('B'))}{column.format(prose('C') + prose('D'))}</body>"
+    assert words_of(page) == ["A", "B", "C", "D"]
+    assert words_of(f"<body><main><b>A</b></main><main><b>B</b></main></body>") == ["A"]  # without a paragraph the first is taken
+
+
+def test_labels_within_a_sentence_stay():
+    page = f"<article>{prose('A')}<p>Fill in <label>your name</label> now.</p><p>Text. <button>Share</button></p></article>"
+    assert extract(page).split("\n")[1:] == ["Fill in your name now.", "Text."]
+    many = "<p>a " + "<label>x</label> " * 20_000 + "b</p>"  # in time that follows the length
+    assert extract(f"<article>{many}</article>").count("x") == 20_000
