@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from residua.functions import columns as C
-from residua.operators import checks, encoder, graph, metrics, vectors
+from residua.operators import checks, encoder, graph, layers, metrics, vectors
 from residua.plans.registry import query
-from residua.session import table
+from residua.session import shared_dir, table
+from residua.sources import npy, sinks
 
 #: Event types that a row and a broadcast hold, at most.
 MOST_KINDS = 1000
@@ -177,3 +180,25 @@ def vec_extract_features(spark, sf_dir):
     """Features of every text by the stand-in encoder, long ones in windows."""
     rows = table(spark, sf_dir, "benchmark").select(C.sequence_hash(F.col("text")).alias("sequence_hash"), F.col("text").alias("amino_acid_sequence"))
     return encoder.extract_features(rows)
+
+
+@query("""SELECT row_number() OVER (ORDER BY sha256(CAST(vec_id AS VARCHAR))) - 1 AS row, sha256(CAST(vec_id AS VARCHAR)) AS sequence_hash,
+CAST(len(embedding) AS INTEGER) AS width, CAST(embedding[1] AS DOUBLE) AS first, CAST(embedding[-1] AS DOUBLE) AS last FROM embeddings WHERE embedding IS NOT NULL""")
+def vec_npy_matrix(spark, sf_dir):
+    """The embeddings written as one hash-sorted matrix file, each task its own rows, and read back by ranges of rows."""
+    rows = table(spark, sf_dir, "embeddings").filter(F.col("embedding").isNotNull())
+    path = f"{shared_dir(spark).rstrip('/')}/matrix-{uuid.uuid4().hex}/embedding"
+    sinks.export_npy(rows.select(F.sha2(F.col("vec_id").cast("string"), 256).alias("sequence_hash"), "embedding"), "embedding", path)
+    back = npy.read_npy(spark, path, ("row", "sequence_hash", "vector"), rows=200)
+    v = F.col("vector")
+    return back.select("row", "sequence_hash", F.size(v).alias("width"), F.get(v, F.lit(0)).cast("double").alias("first"), F.element_at(v, -1).cast("double").alias("last"))
+
+
+@query("""SELECT label, CAST(i AS INTEGER) AS i, CAST(j AS INTEGER) AS j, max(CAST(embedding[8 * i + j + 1] AS DOUBLE)) AS w
+FROM embeddings, range(8) a(i), range(8) b(j) WHERE embedding IS NOT NULL AND label IS NOT NULL GROUP BY ALL""")
+def vec_layer_maximum(spark, sf_dir):
+    """Each label's vectors as 8 x 8 weights of its layers, reduced to their largest."""
+    rows = table(spark, sf_dir, "embeddings").filter(F.col("embedding").isNotNull() & F.col("label").isNotNull())
+    rows = rows.select("label", F.slice("embedding", 1, 64).alias("weights"))
+    one = layers.layer_maximum(rows, "label", "weights").select("label", F.posexplode("weights").alias("k", "w"))
+    return one.select("label", F.floor(F.col("k") / 8).cast("int").alias("i"), (F.col("k") % 8).alias("j"), F.col("w").cast("double").alias("w"))

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from residua.functions import columns as C
-from residua.operators import batching, checks, metrics
+from residua.operators import batching, checks, greedy, metrics
 from residua.plans.registry import query
 from residua.session import table
 
@@ -134,6 +134,20 @@ def seq_length_batches(spark, sf_dir):
     return batching.length_batches(sharded, "sequence_hash", "length", 8192, 16, ["shard_id"]).select("shard_id", "sequence_hash", "length", "batch_id")
 
 
+@query("""WITH RECURSIVE o AS MATERIALIZED (SELECT sequence_hash, n, row_number() OVER (ORDER BY n, sequence_hash) AS rn
+  FROM (SELECT sha256(text) AS sequence_hash, min(n_chars) AS n FROM documents WHERE text IS NOT NULL GROUP BY 1)),
+f AS (SELECT rn, sequence_hash, n, 0 AS batch_id, 1 AS held FROM o WHERE rn = 1
+UNION ALL SELECT o.rn, o.sequence_hash, o.n,
+CASE WHEN f.held >= 16 OR (o.n + 2) * (f.held + 1) > 8192 THEN f.batch_id + 1 ELSE f.batch_id END,
+CASE WHEN f.held >= 16 OR (o.n + 2) * (f.held + 1) > 8192 THEN 1 ELSE f.held + 1 END
+FROM f JOIN o ON o.rn = f.rn + 1)
+SELECT sequence_hash, n AS length, CAST(batch_id AS INTEGER) AS batch_id, rn - 1 AS place FROM f""")
+def seq_greedy_batches(spark, sf_dir):
+    """Length-aware batches over the whole table as one sequence of rows, in small blocks that batches run across."""
+    rows = _hashed(spark, sf_dir).filter(F.col("text").isNotNull()).groupBy("sequence_hash").agg(F.min("n_chars").alias("length"))
+    return greedy.greedy_batches(rows, "sequence_hash", "length", 8192, 16, block=256)
+
+
 @query(f"""WITH h AS (SELECT sha256(text) AS sequence_hash, min(n_chars) AS n_chars FROM documents WHERE text IS NOT NULL GROUP BY 1)
 SELECT bin, sequence_hash, n_chars FROM (SELECT {_BIN_CASE} AS bin, sequence_hash, n_chars FROM h)
 QUALIFY row_number() OVER (PARTITION BY bin ORDER BY sequence_hash) <= 5""")

@@ -6,6 +6,11 @@ split in it, and their place in the split, whatever tasks Spark packs files and
 
 from __future__ import annotations
 
+import hashlib
+import re
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -13,6 +18,9 @@ from pyspark.sql import types as T
 
 from residua.functions import columns as C
 
+#: Bytes of a file that are hashed at once.
+BLOCK = 1 << 20
+
 
 def in_file_order(df: DataFrame, name: str) -> DataFrame:
     """df with a column to order its rows by as they stand in their files; it is a struct.
@@ -210,9 +218,34 @@ def read_manifest(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(MANIFEST).option("multiLine", True).json(path)
 
 
+def _digests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    from pyarrow.fs import FileSystem
+
+    for batch in batches:
+        found = []
+        for path in batch.column(0).to_pylist():
+            # A path without a scheme is an absolute one on this machine.
+            fs, at = FileSystem.from_uri(path if "://" in path or path.startswith("/") else re.sub("^file:/+", "/", path))
+            digest = hashlib.sha256()
+            with fs.open_input_stream(at) as stream:
+                while block := stream.read(BLOCK):
+                    digest.update(block)
+            found.append(digest.hexdigest())
+        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(found, pa.string())], names=["path", "length", "sha256"])
+
+
 def file_hashes(spark: SparkSession, path: str) -> DataFrame:
-    """path, length and SHA-256 of files."""
-    return spark.read.format("binaryFile").load(path).select("path", "length", F.sha2("content", 256).alias("sha256"))
+    """path, length and SHA-256 of the files that a path or pattern names.
+
+    Each file is streamed by a task in blocks of 1 MiB, so it may be of any size. Stores must be ones that
+    Arrow opens, such as local paths and HDFS.
+    """
+    fs_path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    fs = fs_path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    named = [s for x in fs.globStatus(fs_path) or [] for s in ([x] if x.isFile() else fs.listStatus(x.getPath()))]
+    files = [(s.getPath().toString(), s.getLen()) for s in named if s.isFile()]
+    rows = spark.createDataFrame(files, "path string, length long")
+    return rows.repartition(max(1, len(files))).mapInArrow(_digests, "path string, length long, sha256 string")
 
 
 def check_gtf(gtf: DataFrame) -> DataFrame:

@@ -8,7 +8,8 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from residua.operators.batching import assign_shards, shard_manifest
+from residua.operators.batching import assign_shards, number_rows, shard_manifest
+from residua.sources.npy import read_npy, write_npy  # noqa: F401
 
 
 def _fs(spark: SparkSession, path: str):
@@ -91,24 +92,7 @@ def write_atomic_partitioned(sharded: DataFrame, path: str) -> None:
 
 
 def export_npy(bank: DataFrame, feature: str, path: str) -> None:
-    """A feature as one .npy matrix and its hashes, sorted by hash, for tools that need it; streams to a local path."""
-    import numpy as np
-
-    rows = bank.select("sequence_hash", feature).orderBy("sequence_hash")
-    n = rows.count()
-    first = rows.first()
-    matrix = np.lib.format.open_memmap(f"{path}.npy", mode="w+", dtype=np.float32, shape=(n, len(first[1]) if first else 0))
-    hashes = np.empty(n, dtype="U64")
-    for k, r in enumerate(rows.toLocalIterator()):
-        hashes[k], matrix[k] = r[0], r[1]
-    matrix.flush()
-    np.save(f"{path}_hashes.npy", hashes)
-
-
-def read_npy(spark: SparkSession, path: str) -> DataFrame:
-    """What export_npy wrote, as sequence_hash and vector."""
-    import numpy as np
-
-    matrix, hashes = np.load(f"{path}.npy", mmap_mode="r"), np.load(f"{path}_hashes.npy")
-    rows = ((str(h), m.tolist()) for h, m in zip(hashes, matrix, strict=True))
-    return spark.createDataFrame(rows, "sequence_hash string, vector array<float>").orderBy(F.col("sequence_hash"))
+    """A feature as one .npy matrix and its hashes, sorted by hash, for tools that need it; tasks write their own rows."""
+    rows = number_rows(bank.select("sequence_hash", F.col(feature).alias("vector")), "sequence_hash").withColumnRenamed("position", "row")
+    n, width = rows.agg(F.count(F.lit(1)), F.max(F.size("vector"))).first()
+    write_npy(rows, path, n, width or 0)
