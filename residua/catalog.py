@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from residua.plans import chain, evidence, numeric, relational, sequences  # noqa: F401  (they register themselves)
+from residua.plans import chain, diagnostics, evidence, numeric, relational, sequences  # noqa: F401  (they register themselves)
 from residua.plans.registry import ENTRIES, Query
 
 FLAGSHIP = "seq_dedup"

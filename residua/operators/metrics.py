@@ -23,6 +23,21 @@ def vector_agreement(left: DataFrame, right: DataFrame, key: str, vector: str) -
     )
 
 
+def repeatability(first: DataFrame, second: DataFrame, key: str, vector: str, tolerance: float) -> DataFrame:
+    """One row on two runs: keys compared, largest and mean absolute difference, least and mean cosine, keys within the tolerance."""
+    each = vector_agreement(first, second, key, vector)
+    return each.agg(
+        F.count(F.lit(1)).alias("n"), F.max("max_abs_error").alias("max_abs_diff"), F.avg("mean_abs_error").alias("mean_abs_diff"),
+        F.min("cosine").alias("least_cosine"), F.avg("cosine").alias("mean_cosine"), F.count_if(F.col("max_abs_error") <= tolerance).alias("within"),
+    )
+
+
+def norm_length(rows: DataFrame, keys: list[str], vector: str, length: str) -> DataFrame:
+    """keys, n, mean_norm, norm_length_correlation: whether vectors of longer sequences have larger norms. Null if either doesn't vary."""
+    each = rows.select(*keys, C.norm(F.col(vector).cast("array<double>")).alias("norm"), F.col(length).cast("double").alias("length"))
+    return each.groupBy(*keys).agg(F.count("norm").alias("n"), F.avg("norm").alias("mean_norm"), F.corr("norm", "length").alias("norm_length_correlation"))
+
+
 def summary(metrics: DataFrame, names: list[str]) -> DataFrame:
     """Smallest, largest and mean value of each metric, a row each."""
     one = F.explode(F.array(*[F.struct(F.lit(n).alias("metric"), F.col(n).cast("double").alias("v")) for n in names])).alias("m")

@@ -63,6 +63,15 @@ def weighted_pool(states: DataFrame, keys: list[str], weight: str, state: str =
     return _by_dim(long_form(states, keys, state), keys, pooled=total / F.sum(w) if normalise else total)
 
 
+def chunk_control(chunks: DataFrame, keys: list[str], vector: str = "vector", size: str = "size") -> DataFrame:
+    """keys, control, plain: the mean of windows' vectors weighted by the windows' lengths, and not weighted.
+
+    What a sequence's vector would be without joining its windows position by position.
+    """
+    long = long_form(chunks.withColumn("_w", F.col(size).cast("double")), [*keys, "_w"], vector)
+    return _by_dim(long, keys, control=F.sum(F.col("v") * F.col("_w")) / F.sum("_w"), plain=F.avg("v"))
+
+
 def gene_mean_var(vectors: DataFrame, keys: list[str], state: str = "state") -> DataFrame:
     """Mean and population variance over isoforms; one isoform has variance zero."""
     return _by_dim(long_form(vectors, keys, state), keys, mean=F.avg("v"), variance=F.var_pop("v"))

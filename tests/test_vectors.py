@@ -246,3 +246,17 @@ def test_pagerank_of_many_graphs(spark):
     assert [x.score for x in sorted(short, key=lambda x: x.node)] == pytest.approx(graph.pagerank(graphs["a"], rounds=3)[0].tolist(), abs=1e-9)
     assert {(x.rounds, x.converged) for x in short} == {(3, False)}
     assert graph.grouped_pagerank(edges.limit(0), "name").count() == 0
+
+
+def test_diagnostics(spark):
+    rows = [("f", [3.0, 4.0], 10, 1), ("f", [6.0, 8.0], 20, 3), ("f", [9.0, 12.0], 30, 1), ("g", [1.0, 0.0], 5, 2)]
+    df = spark.createDataFrame(rows, "k string, vector array<double>, n int, size int")
+    got = {r.k: r for r in metrics.norm_length(df, ["k"], "vector", "n").collect()}
+    assert got["f"].mean_norm == 10 and got["f"].norm_length_correlation == pytest.approx(1) and got["g"].norm_length_correlation is None
+    control = {r.k: r for r in vectors.chunk_control(df, ["k"]).collect()}
+    assert control["f"].control == pytest.approx([6.0, 8.0]) and control["f"].plain == pytest.approx([6.0, 8.0]) and control["g"].control == [1.0, 0.0]
+    a = spark.createDataFrame([("x", [1.0, 0.0]), ("y", [0.0, 2.0])], "k string, v array<double>")
+    b = spark.createDataFrame([("x", [1.0, 0.1]), ("y", [0.0, 2.0])], "k string, v array<double>")
+    r = metrics.repeatability(a, b, "k", "v", 0.05).first()
+    assert (r.n, r.within) == (2, 1) and r.max_abs_diff == pytest.approx(0.1) and r.mean_abs_diff == pytest.approx(0.025)
+    assert metrics.repeatability(a.limit(0), b, "k", "v", 0.05).first().n == 0
