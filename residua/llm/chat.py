@@ -202,6 +202,11 @@ def digests(conversations: DataFrame, template: Template | None = None) -> DataF
     conv_id, n_turns, turns_sha256 (over role, newline, text, newline of each turn), loss_chars and
     loss_sha256 (of the restored text under the loss mask), formatted_chars, and n_errors, the turns that
     break the turn order.
+
+    A null text counts as empty, a null role as one without a name, and rows with a null conv_id as one
+    conversation. Empty texts are turns too. Very long texts are read back and digested a segment at a time;
+    one turn is what memory holds. Turns that tie, and repeated rows, come in a fixed order, so digests are the
+    same each time. An empty table gives no rows; other columns are ignored, whatever their names.
     """
     template = template or Template()
     formatted = format_conversations(conversations, template).select("conv_id", "text", "loss", "error", "segment")

@@ -125,7 +125,8 @@ def apply_rules(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD
 
     doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, kept, llr. Null and
     empty texts have no words and fail the base; null and repeated doc_ids are judged row by row; an empty
-    table gives no rows; other columns, whatever their names, are ignored.
+    table gives no rows; other columns, whatever their names, are ignored. Texts of any length are judged
+    whole, each as one row in memory. A ratio equal to the threshold is kept.
     """
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     judged = judge(rows, log_ratios(rows, trusted_ids(labels)), threshold)
