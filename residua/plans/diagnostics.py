@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from residua.functions import columns as C
-from residua.operators import batching, metrics, vectors
+from residua.operators import batching, medoids, metrics, vectors
 from residua.plans.registry import query
 from residua.session import table
 
@@ -78,3 +78,12 @@ def seq_stratified_sample(spark, sf_dir):
     """A fixed sample with as many of each length as there are, filled up in the order of the hashes (the sample is the feature)."""
     rows = table(spark, sf_dir, "documents").filter(F.col("text").isNotNull()).groupBy(C.sequence_hash(F.col("text")).alias("sequence_hash")).agg(F.min("n_chars").alias("n"))
     return batching.stratified_sample(rows, "n", "sequence_hash", _BINS, _COUNT)
+
+
+@query("""WITH v AS (SELECT label, vec_id, CAST(embedding AS DOUBLE[]) AS x FROM embeddings WHERE embedding IS NOT NULL),
+s AS (SELECT a.label, a.vec_id, sum(list_distance(a.x, b.x)) AS total FROM v a JOIN v b ON b.label = a.label GROUP BY ALL)
+SELECT label, vec_id, round(total, 6) AS total_distance FROM s QUALIFY row_number() OVER (PARTITION BY label ORDER BY total, vec_id) = 1""")
+def vec_medoid(spark, sf_dir):
+    """The vector of each label with the least sum of distances to the others."""
+    rows = table(spark, sf_dir, "embeddings").filter(F.col("label").isNotNull())
+    return medoids.exact_medoid(rows, "label", "vec_id", "embedding").select("label", "vec_id", F.round("total_distance", 6).alias("total_distance"))
