@@ -33,6 +33,8 @@ from residua.session import bound_arrow_batches, staged, unstage
 
 #: Shingles and similarity unless a caller says otherwise.
 WORDS, PERCENT = 5, 80
+#: Leading bits of a set's size that tell its class in the join on shingles.
+SIZE_BITS = 5
 #: Hash minima of a document.
 MINIMA = 125
 #: Classes of a band bucket that are paired directly; larger buckets become one cell.
@@ -323,6 +325,37 @@ def prefix_lengths(n: int, percent: int) -> tuple[int, int]:
     return looked, found
 
 
+def _sized(met: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
+    """The two sides of the join on shared shingles: met (cell, x, node, comp, n, place, found) as smaller and larger set.
+
+    How early a shingle must stand depends on both sets' sizes. So sizes are cut into classes by their leading
+    bits, and a row goes to each class of partners that its place leaves room with. Rows that share a common
+    shingle where it is too late to be similar then never meet, however many they are.
+    """
+
+    def size(n: str) -> str:
+        shift = f"greatest(length(bin({n})) - {SIZE_BITS}, 0)"
+        return f"shiftleft(shiftright({n}, {shift}), {shift})"
+
+    def classes(low: str, high: str) -> str:
+        step = f"shiftleft(1L, greatest(length(bin({low})) - {SIZE_BITS}, 0))"
+        return f"array_distinct(transform(sequence({size(low)}, {size(high)}, {step}), y -> {size('y')}))"
+
+    def need(a: str, b: str) -> str:
+        return f"({percent} * ({a} + {b}) + {99 + percent}) div {100 + percent}"
+
+    least, most = f"((n * {percent} + 99) div 100)", f"((n * 100) div {percent})"
+    room_b = f"n - place >= {need(f'greatest(y, {least})', 'n')}"
+    room_a = f"n - place >= {need('n', 'greatest(y, n)')}"
+    larger = met.select("*", F.explode(F.expr(f"filter({classes(least, 'n')}, y -> {room_b})")).alias("size_a")).withColumn("size_b", F.expr(size("n")))
+    smaller = met.filter("found").select("*", F.explode(F.expr(f"filter({classes('n', most)}, y -> {room_a})")).alias("size_b")).withColumn("size_a", F.expr(size("n")))
+
+    def side(df: DataFrame, end: str) -> DataFrame:
+        return df.select("cell", "x", "size_a", "size_b", *[F.col(c).alias(f"{c}_{end}") for c in ("node", "comp", "n", "place")])
+
+    return side(smaller, "a"), side(larger, "b")
+
+
 def _prefix_links(docs: DataFrame, rest: DataFrame, words: int, percent: int) -> DataFrame:
     """Edges (a, b) of all similar pairs of rest (node, code, n, cell, comp) in one cell but different components."""
     placed = _placed(docs, rest, "cell", "comp").dropDuplicates(["node", "code", "text"])  # as they are dealt for the join
@@ -381,11 +414,10 @@ def _prefix_links(docs: DataFrame, rest: DataFrame, words: int, percent: int) ->
     # Only shingles that several components of a cell have can tie them.
     several = laid.groupBy("cell", "x").agg(F.min("comp").alias("least"), F.max("comp").alias("most")).filter("least < most")
     met = laid.join(several.select("cell", "x").hint("merge"), ["cell", "x"], "left_semi")
-    large = met.select("cell", "x", *[F.col(c).alias(f"{c}_b") for c in ("node", "comp", "n", "place")])
-    small = met.filter("found").select("cell", "x", *[F.col(c).alias(f"{c}_a") for c in ("node", "comp", "n", "place")])
+    small, large = _sized(met, percent)
     need = F.expr(f"({percent} * (n_a + n_b) + {99 + percent}) div {100 + percent}")
     room = F.least(F.col("n_a") - F.col("place_a"), F.col("n_b") - F.col("place_b"))
-    pairs = small.join(large.hint("merge"), ["cell", "x"]).filter(
+    pairs = small.join(large.hint("merge"), ["cell", "x", "size_a", "size_b"]).filter(
         (F.col("comp_a") != F.col("comp_b"))
         & ((F.col("n_a") < F.col("n_b")) | ((F.col("n_a") == F.col("n_b")) & (F.col("node_a") < F.col("node_b"))))
         & (100 * F.col("n_a") >= percent * F.col("n_b"))

@@ -139,3 +139,44 @@ def test_nothing_staged_stays_but_the_result(spark):
     assert len(set(folder.iterdir()) - before) == 1
     unstage(out)
     assert set(folder.iterdir()) == before
+
+
+MET = "cell long, x long, node long, comp long, n long, place long, found boolean"
+
+
+def room(a, b, percent):
+    """Whether sets of n shingles that first share one at these places can be similar, the smaller one first."""
+    (n_a, p_a), (n_b, p_b) = a, b
+    need = -(-percent * (n_a + n_b) // (100 + percent))
+    return n_a <= n_b and 100 * n_a >= percent * n_b and min(n_a - p_a, n_b - p_b) >= need
+
+
+@pytest.mark.parametrize("percent", [80, 85])
+def test_sizes_lose_no_pair(spark, percent):
+    """Every pair that has room meets once, over sizes on both sides of powers of two."""
+    sizes = [*range(1, 45), *range(60, 72), 127, 128, 129, 140, 1000, 1023, 1024, 1100]
+    at = [(n, p) for n in sizes for p in sorted({0, 1, 2, 3, n // 20, n // 10, n // 8}) if p < n]
+    rows = [(0, 0, k, k, n, p, p < near_dup.prefix_lengths(n, percent)[1]) for k, (n, p) in enumerate(at)]
+    small, large = near_dup._sized(spark.createDataFrame(rows, MET), percent)
+    met = small.join(large, ["cell", "x", "size_a", "size_b"]).select("node_a", "node_b").collect()
+    assert len(set(met)) == len(met)
+    want = {(i, j) for i, a in enumerate(at) for j, b in enumerate(at) if rows[i][6] and room(a, b, percent)}
+    assert want <= {(r.node_a, r.node_b) for r in met}
+
+
+def test_a_common_shingle_that_comes_too_late_ties_no_pairs(spark):
+    """50,000 rows share boilerplate and have two words of their own: just under the line, they never meet."""
+    n, places = 20, (2, 3)  # the own shingles are rarer and come first
+    rows = spark.range(50_000).selectExpr("0L AS cell", "id AS node", "id AS comp", f"{n}L AS n", "explode(array(0, 1, 2, 3)) AS place")
+    rows = rows.selectExpr("cell", "IF(place >= 2, place, node * 4 + place + 10) AS x", "node", "comp", "n", "CAST(place AS LONG) AS place", f"place < {near_dup.prefix_lengths(n, 85)[1]} AS found")
+    small, large = near_dup._sized(rows, 85)
+    late = F.col("x").isin(*places)
+    assert small.filter(late).count() <= 50_000 * 2 and large.filter(late).count() <= 50_000 * 8
+    assert small.filter(late).join(large.filter(late), ["cell", "x", "size_a", "size_b"]).count() == 0
+
+
+def test_boilerplate_under_the_line(spark, monkeypatch):
+    monkeypatch.setattr(near_dup, "BLOCK_DOCS", 16)
+    form = [f"f{k}" for k in range(20)]
+    rows = [(i, " ".join(form + [f"o{i}", f"q{i}"])) for i in range(150)] + [(500 + i, " ".join(form + [f"o{i}"])) for i in range(20)]
+    assert got(near_dup.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), 3, 85)) == brute(rows, 3, 85)
