@@ -48,7 +48,7 @@ def length_batches(rows: DataFrame, key: str, length: str, max_tokens: int, max_
     A batch closes before a row that would make it longer than max_batch_size or (length + 2) * rows
     larger than max_tokens; a row too long for any batch is one alone. The fold is sequential in each
     group, which one task holds: shards are bounded, so they are what to group by. Without a group all rows
-    are one, and more than MOST_ROWS of them raise.
+    are one, and more than MOST_ROWS of them raise; greedy.greedy_batches() takes any number.
     """
     if max_tokens < 1 or max_batch_size < 1:
         raise ValueError("limits must be positive")
