@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from residua.functions import columns as C
-
+from residua.operators.mapping import find_proteins
 
 # The states of a name and the reason given for each when it has no primary sequence.
 CODING, PSEUDOGENE, NONCODING = "resolved_protein_coding", "resolved_pseudogene", "resolved_non_protein_coding"
@@ -99,6 +99,19 @@ def final_sequences(refined: DataFrame, sequences: DataFrame, source: str, relea
     )
 
 
+def recovered(refined: DataFrame, sequences: DataFrame, index: DataFrame) -> DataFrame:
+    """Primary hashes that sequences lacks, found again: protein_sequence_hash, amino_acid_sequence.
+
+    They are looked up in index (annotation.protein_index) by the protein ids of their rows, and else by the
+    stable ids; only a record of that very hash counts.
+    """
+    primary = refined.filter((F.col("eligibility") == "primary") & F.col("protein_sequence_hash").isNotNull())
+    wanted = primary.select("protein_sequence_hash", "protein_id", "protein_id_stable").distinct()
+    missing = wanted.join(sequences.select("protein_sequence_hash").distinct(), "protein_sequence_hash", "left_anti")
+    found = find_proteins(missing, index).filter(F.col("protein.protein_sequence_hash") == F.col("protein_sequence_hash"))
+    return found.groupBy("protein_sequence_hash").agg(F.min("protein.amino_acid_sequence").alias("amino_acid_sequence"))
+
+
 def final_mapping(refined: DataFrame, final: DataFrame) -> DataFrame:
     """refined with validity flags and the final selection."""
     known = final.select(F.col("sequence_hash").alias("protein_sequence_hash"), F.lit(True).alias("_known"))

@@ -11,7 +11,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from residua.operators import audit, lookup, mapping, resolution
+from residua.operators import audit, lookup, mapping, refine, resolution
 from residua.plans import annotation
 from residua.plans.registry import query
 from residua.session import shared_dir, table
@@ -314,6 +314,14 @@ def map_final_sequences(spark, sf_dir):
     return built(spark, sf_dir)["sequences_final"]
 
 
+@chain("SELECT sequence_hash AS protein_sequence_hash, amino_acid_sequence FROM final WHERE sequence_hash >= '8'")
+def map_recovered_sequences(spark, sf_dir):
+    """Final sequences whose hashes a table lacks, found by protein id, then stable id."""
+    tables = built(spark, sf_dir)
+    records = tables["protein_records"]
+    return refine.recovered(tables["gene_protein_mapping_refined"], records.filter("protein_sequence_hash < '8'"), sources.protein_index(records))
+
+
 @chain(f"SELECT {_MAPPING}, {_REFINED}, mapping_valid, locus_valid, transcript_biotype_eligible, sequence_hash_in_final, selected_for_primary_esm, final_selection_reason FROM final_map")
 def map_final(spark, sf_dir):
     return built(spark, sf_dir)["gene_protein_mapping_final"]
