@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+from collections.abc import Callable
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -18,20 +19,30 @@ LENGTH_BINS = ((0, 512), (513, 1022), (1023, 1500), (1501, 2000), (2001, 3000),
 
 def stable_id(c: Column) -> Column:
     """The id without its version, where the whole id has that form; otherwise unchanged; '' is null."""
-    c = F.nullif(c, F.lit(""))
-    return F.when(c.rlike(STABLE_ID), F.regexp_extract(c, STABLE_ID, 1)).otherwise(c)
+    # A final line break goes with the version, as $ stands before it.
+    return F.nullif(F.regexp_replace(c, STABLE_ID[:-1] + r"(?:\r\n|[\n\r\x{85}\x{2028}\x{2029}])?\z", "$1"), F.lit(""))
+
+
+def bound(value: Column, body: Callable[[Column], Column]) -> Column:
+    """body(value), with value worked out once: an expression used in a lambda is otherwise worked out for each of its elements."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
 
 
 def attributes(c: Column) -> Column:
     """`key "value"` pairs as a map; of a repeated key the last value counts.
 
-    Does not depend on the session's policy for repeated keys.
+    Does not depend on the session's policy for repeated keys. Pairs are sorted, so work grows with their number.
     """
-    pattern = F.lit(r'(\S+)\s+"([^"]*)"')
+    # As (\S+)\s+"([^"]*)", but tried at the start of a word or where the last pair ended, and never taken back.
+    pattern = F.lit(r'(?:(?<!\S)|\G)(\S++)\s++"([^"]*+)"')
     keys, values = F.regexp_extract_all(c, pattern, F.lit(1)), F.regexp_extract_all(c, pattern, F.lit(2))
-    pairs = F.arrays_zip(keys.alias("k"), values.alias("v"))
-    last = F.filter(pairs, lambda p, i: ~F.exists(F.slice(pairs, i + 2, F.greatest(F.size(pairs) - i - 1, F.lit(0))), lambda q: q["k"] == p["k"]))
-    return F.map_from_entries(last)
+    pairs = F.transform(F.arrays_zip(keys.alias("k"), values.alias("v")), lambda p, i: F.struct(p["k"].alias("k"), i.alias("i"), p["v"].alias("v")))
+
+    def last(ordered: Column) -> Column:
+        ends = F.filter(ordered, lambda p, i: ~F.get(ordered, i + 1)["k"].eqNullSafe(p["k"]))
+        return F.map_from_entries(F.transform(ends, lambda p: F.struct(p["k"].alias("key"), p["v"].alias("value"))))
+
+    return bound(F.sort_array(pairs), last)
 
 
 def first_attribute(attrs: Column, *keys: str) -> Column:
@@ -55,8 +66,8 @@ def pipe_list(c: Column) -> Column:
 
 def invalid_residues(sequence: Column) -> Column:
     """The distinct characters outside the alphabet, sorted."""
-    letters = F.array_remove(F.array_distinct(F.split(F.coalesce(sequence, F.lit("")), "")), "")
-    return F.array_sort(F.filter(letters, lambda x: ~F.lit(RESIDUES).contains(x)))
+    rest = F.regexp_replace(F.coalesce(sequence, F.lit("")), f"[{RESIDUES}]+", "")
+    return F.array_sort(F.array_remove(F.array_distinct(F.split(rest, "")), ""))
 
 
 def sequence_issue(sequence: Column) -> Column:

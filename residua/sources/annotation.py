@@ -44,12 +44,9 @@ def read_gtf(spark: SparkSession, path: str) -> DataFrame:
     """Rows of nine fields, neither blank nor comment: line_no, seqname, feature, attrs."""
     rows = _lines(spark, path).filter((F.trim("line") != "") & ~F.col("line").startswith("#"))
     rows = rows.withColumn("field", F.split("line", "\t")).filter(F.size("field") == 9)
-    return rows.select(
-        "line_no",
-        F.get("field", F.lit(0)).alias("seqname"),
-        F.get("field", F.lit(2)).alias("feature"),
-        C.attributes(F.get("field", F.lit(8))).alias("attrs"),
-    ).filter(F.coalesce(F.try_element_at("attrs", F.lit("gene_id")), F.lit("")) != "")
+    # Exploded rather than filtered: a filter would be pushed below the map and have it made twice, and for lines that a feature leaves out.
+    named = F.filter(F.array(C.attributes(F.get("field", F.lit(8)))), lambda a: F.coalesce(F.try_element_at(a, F.lit("gene_id")), F.lit("")) != "")
+    return rows.select("line_no", F.get("field", F.lit(0)).alias("seqname"), F.get("field", F.lit(2)).alias("feature"), F.explode(named).alias("attrs"))
 
 
 def _last_by(df: DataFrame, key: str, order: str = "line_no") -> DataFrame:
@@ -73,20 +70,31 @@ def gtf_genes(gtf: DataFrame) -> DataFrame:
 def gtf_transcripts(gtf: DataFrame) -> DataFrame:
     """One row a transcript line, with its place in the file."""
     a = F.col("attrs")
-    protein = F.nullif(C.first_attribute(a, "protein_id"), F.lit(""))
-    return gtf.filter(F.col("feature") == "transcript").select(
+    rows = gtf.filter(F.col("feature") == "transcript").select(
         "line_no",
         a["gene_id"].alias("gene_id"),
-        C.stable_id(a["gene_id"]).alias("gene_id_stable"),
         C.first_attribute(a, "gene_name").alias("gene_name"),
         C.first_attribute(a, "gene_type", "gene_biotype").alias("gene_type"),
         "seqname",
         C.first_attribute(a, "transcript_id").alias("transcript_id"),
-        C.stable_id(C.first_attribute(a, "transcript_id")).alias("transcript_id_stable"),
         C.first_attribute(a, "transcript_name").alias("transcript_name"),
         C.first_attribute(a, "transcript_type", "transcript_biotype").alias("transcript_type"),
-        protein.alias("protein_id"),
-        C.stable_id(protein).alias("protein_id_stable"),
+        C.first_attribute(a, "protein_id").alias("protein_id"),
+    )
+    # Ids are taken apart in a step of their own, after the look-ups in the map.
+    return rows.select(
+        "line_no",
+        "gene_id",
+        C.stable_id(F.col("gene_id")).alias("gene_id_stable"),
+        "gene_name",
+        "gene_type",
+        "seqname",
+        "transcript_id",
+        C.stable_id(F.col("transcript_id")).alias("transcript_id_stable"),
+        "transcript_name",
+        "transcript_type",
+        F.nullif("protein_id", F.lit("")).alias("protein_id"),
+        C.stable_id(F.col("protein_id")).alias("protein_id_stable"),
     )
 
 
