@@ -42,10 +42,9 @@ def build_rows(
 ) -> DataFrame:
     """One row a vocabulary name and transcript, plus the matched record's sequence columns under `protein`."""
     matched = match_genes(vocabulary, genes).filter(F.col("gene_id").isNotNull()).drop("_gene_type")
-    rows = find_proteins(transcripts, proteins).join(matched, "gene_id")
-    rows = rows.join(mane, "transcript_id_stable", "left")
     aim = targets.select(F.col("target_gene").alias("vcc_gene_name"), F.lit(True).alias("_target")).distinct()
-    rows = rows.join(aim, "vcc_gene_name", "left")
+    matched = matched.join(aim, "vcc_gene_name", "left")  # names are few; transcripts that no name asks for go before the other joins
+    rows = find_proteins(transcripts.join(matched, "gene_id"), proteins).join(mane, "transcript_id_stable", "left")
     found = F.col("protein").isNotNull()
     valid = F.coalesce(F.col("protein.sequence_valid"), F.lit(False))
     reason = C.eligibility(F.col("protein_id"), found, valid, F.col("protein.sequence_issue"), F.col("transcript_type"))
@@ -104,6 +103,13 @@ def sequence_table(rows: DataFrame) -> DataFrame:
     return one.withColumn("amino_acid_sequence", checked).drop("_other")
 
 
+def sequences_of(table: DataFrame, records: DataFrame) -> DataFrame:
+    """As sequence_table, from the mapping table and the records, so that texts are shuffled once a hash and task."""
+    used = table.filter(F.col("protein_sequence_hash").isNotNull()).groupBy("protein_sequence_hash").agg(F.bool_or("include_for_esm").alias("include_for_esm"))
+    held = records.drop("protein_id", "protein_id_stable", "record_no").distinct().join(used, "protein_sequence_hash")
+    return sequence_table(held.withColumn("protein", F.struct(*[c for c in held.columns if c != "include_for_esm"])))
+
+
 def gene_summary(vocabulary: DataFrame, targets: DataFrame, genes: DataFrame, rows: DataFrame) -> DataFrame:
     """Exactly one row a vocabulary name, with its counts and mapping status."""
     ids = match_genes(vocabulary, genes).groupBy("vcc_gene_name").agg(
@@ -113,7 +119,7 @@ def gene_summary(vocabulary: DataFrame, targets: DataFrame, genes: DataFrame, ro
     reason, include = F.col("exclusion_reason"), F.col("include_for_esm")
     sums = rows.groupBy("vcc_gene_name").agg(
         F.count(F.lit(1)).alias("num_transcripts"),
-        F.count_if(F.col("protein").isNotNull()).alias("num_translated_transcripts"),
+        F.count("protein_sequence_hash").alias("num_translated_transcripts"),
         F.count_distinct(F.when(include, F.col("protein_sequence_hash"))).alias("num_unique_protein_sequences"),
         F.count_if(include).alias("num_esm_candidate_sequences"),
         F.bool_or("is_mane_select").alias("mane_select_available"),

@@ -28,15 +28,16 @@ def classify(mapping: DataFrame, resolution: DataFrame, sequences: DataFrame) ->
     sequences: protein_sequence_hash, amino_acid_sequence of all rows, rescued ones included.
     """
     rows = mapping.join(resolution.select("vcc_gene_name", "resolved_symbol"), "vcc_gene_name", "left")
-    rows = rows.join(sequences.select("protein_sequence_hash", "amino_acid_sequence"), "protein_sequence_hash", "left")
+    stars = sequences.select("protein_sequence_hash", C.stop_class(F.col("amino_acid_sequence")).alias("star_class"))
+    rows = rows.join(stars, "protein_sequence_hash", "left")
     rows = rows.withColumns(
         {
             "resolved_symbol": F.coalesce("resolved_symbol", F.lit("")),
             "locus_class": C.locus_class(F.col("genomic_region")),
-            "star_class": C.stop_class(F.col("amino_acid_sequence")),
+            "star_class": F.coalesce("star_class", F.lit("none")),
             "biotype_policy": C.biotype_policy(F.col("transcript_type")),
         }
-    ).drop("amino_acid_sequence")
+    )
     rows = rows.withColumns(
         {
             "sequence_has_stop": F.col("star_class") != "none",
@@ -99,16 +100,20 @@ def final_sequences(refined: DataFrame, sequences: DataFrame, source: str, relea
     )
 
 
-def recovered(refined: DataFrame, sequences: DataFrame, index: DataFrame) -> DataFrame:
+def recovered(refined: DataFrame, sequences: DataFrame, index: DataFrame, texts: DataFrame | None = None) -> DataFrame:
     """Primary hashes that sequences lacks, found again: protein_sequence_hash, amino_acid_sequence.
 
     They are looked up in index (annotation.protein_index) by the protein ids of their rows, and else by the
-    stable ids; only a record of that very hash counts.
+    stable ids; only a record of that very hash counts. An index without texts takes them from `texts`
+    (protein_sequence_hash, amino_acid_sequence), so they aren't shuffled with every id.
     """
     primary = refined.filter((F.col("eligibility") == "primary") & F.col("protein_sequence_hash").isNotNull())
     wanted = primary.select("protein_sequence_hash", "protein_id", "protein_id_stable").distinct()
     missing = wanted.join(sequences.select("protein_sequence_hash").distinct(), "protein_sequence_hash", "left_anti")
     found = find_proteins(missing, index).filter(F.col("protein.protein_sequence_hash") == F.col("protein_sequence_hash"))
+    if texts is not None:
+        one = texts.groupBy("protein_sequence_hash").agg(F.min("amino_acid_sequence").alias("amino_acid_sequence"))
+        return one.join(found.select("protein_sequence_hash").distinct(), "protein_sequence_hash", "left_semi")
     return found.groupBy("protein_sequence_hash").agg(F.min("protein.amino_acid_sequence").alias("amino_acid_sequence"))
 
 

@@ -60,7 +60,8 @@ def resolve(vocabulary: DataFrame, tokens: DataFrame, complete: DataFrame, exact
         .when(F.col("_exact").isNotNull(), case(name, none, F.lit("exact_gencode_symbol"), F.lit("exact annotation symbol"), none))
         .otherwise(case(name, none, F.lit("unresolved"), none, none))
     )
-    rows = rows.select("vcc_gene_name", answer.alias("r")).select("vcc_gene_name", "r.*")
+    # A generator keeps the answer in one piece; merged with what reads it, it would be worked out again for each field.
+    rows = rows.select("vcc_gene_name", F.inline(F.array(answer)))
     return rows.select(
         "*",
         F.col("method").isin(*RESCUED).alias("alias_rescued"),

@@ -4,6 +4,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from residua.functions import columns as C
+from residua.operators import mapping
+from residua.plans import chain
 from residua.sources import annotation as A
 
 
@@ -24,3 +26,20 @@ def test_the_last_of_many_equal_keys(spark):
 @pytest.mark.parametrize(("given", "want"), [("ENSG1.2", "ENSG1"), ("ENSP7", "ENSP7"), ("ENST1.2\n", "ENST1"), ("ENSG1.x", "ENSG1.x"), ("xENSG1.2", "xENSG1.2"), ("", None), (None, None)])
 def test_stable_ids(spark, given, want):
     assert spark.createDataFrame([(given,)], "a string").select(C.stable_id(F.col("a"))).first()[0] == want
+
+
+def test_a_query_makes_only_what_it_rests_on(spark, sf_dir, monkeypatch):
+    monkeypatch.setattr(chain, "_built", {})
+    assert chain.map_genes(spark, sf_dir).count() > 0
+    assert set(chain.built(spark, sf_dir).made) == {"genes"}
+    chain.audit_ambiguous(spark, sf_dir).count()
+    assert set(chain.built(spark, sf_dir).made) == {"genes", "gene_resolution"}
+
+
+def test_texts_are_looked_up_by_hash(spark, sf_dir):
+    run = chain.built(spark, sf_dir)
+    assert "amino_acid_sequence" not in run.proteins.columns
+    rows = mapping.build_rows(run.vocabulary, run.targets, run["genes"], run["transcripts"], A.protein_index(run["protein_records"]), run["mane"])
+    want = {tuple(r) for r in mapping.sequence_table(rows).collect()}
+    got = mapping.sequences_of(run["gene_protein_mapping"], run["protein_records"])
+    assert {tuple(r) for r in got.select(*mapping.sequence_table(rows).columns).collect()} == want
