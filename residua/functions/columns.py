@@ -31,18 +31,23 @@ def bound(value: Column, body: Callable[[Column], Column]) -> Column:
 def attributes(c: Column) -> Column:
     """`key "value"` pairs as a map; of a repeated key the last value counts.
 
-    Does not depend on the session's policy for repeated keys. Pairs are sorted, so work grows with their number.
+    Does not depend on the session's policy for repeated keys. Where a key is repeated, pairs are sorted, so work
+    grows with their number.
     """
     # As (\S+)\s+"([^"]*)", but tried at the start of a word or where the last pair ended, and never taken back.
     pattern = F.lit(r'(?:(?<!\S)|\G)(\S++)\s++"([^"]*+)"')
     keys, values = F.regexp_extract_all(c, pattern, F.lit(1)), F.regexp_extract_all(c, pattern, F.lit(2))
-    pairs = F.transform(F.arrays_zip(keys.alias("k"), values.alias("v")), lambda p, i: F.struct(p["k"].alias("k"), i.alias("i"), p["v"].alias("v")))
 
     def last(ordered: Column) -> Column:
         ends = F.filter(ordered, lambda p, i: ~F.get(ordered, i + 1)["k"].eqNullSafe(p["k"]))
         return F.map_from_entries(F.transform(ends, lambda p: F.struct(p["k"].alias("key"), p["v"].alias("value"))))
 
-    return bound(F.sort_array(pairs), last)
+    def map_of(found: Column) -> Column:
+        k, v = found["k"], found["v"]
+        pairs = F.transform(F.arrays_zip(k.alias("k"), v.alias("v")), lambda p, i: F.struct(p["k"].alias("k"), i.alias("i"), p["v"].alias("v")))
+        return F.when(F.size(F.array_distinct(k)) == F.size(k), F.map_from_arrays(k, v)).otherwise(bound(F.sort_array(pairs), last))
+
+    return bound(F.struct(keys.alias("k"), values.alias("v")), map_of)
 
 
 def first_attribute(attrs: Column, *keys: str) -> Column:

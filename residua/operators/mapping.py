@@ -31,9 +31,12 @@ def match_genes(vocabulary: DataFrame, genes: DataFrame) -> DataFrame:
 def find_proteins(transcripts: DataFrame, index: DataFrame) -> DataFrame:
     """transcripts with `protein`, the record under the exact protein id, or else under the stable one."""
     record = F.struct(*[c for c in index.columns if c != "key"])
-    exact = index.select(F.col("key").alias("protein_id"), record.alias("_exact"))
-    stable = index.select(F.col("key").alias("protein_id_stable"), record.alias("_stable"))
-    found = transcripts.join(exact, "protein_id", "left").join(stable, "protein_id_stable", "left")
+    found = transcripts
+    for id_, name in (("protein_id", "_exact"), ("protein_id_stable", "_stable")):
+        # Rows without an id find nothing, but would all be sent to one task; a number of their own spreads them.
+        spread = F.when(F.col(id_).isNull(), F.xxhash64(*transcripts.columns)).otherwise(F.lit(0))
+        keyed = index.select(F.col("key").alias(id_), F.lit(0).cast("long").alias("_spread"), record.alias(name))
+        found = found.withColumn("_spread", spread).join(keyed, [id_, "_spread"], "left").drop("_spread")
     return found.withColumn("protein", F.coalesce("_exact", "_stable")).drop("_exact", "_stable")
 
 

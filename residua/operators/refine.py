@@ -25,14 +25,13 @@ SELECTED = "selected_primary_reference_or_MANe_patch"
 def classify(mapping: DataFrame, resolution: DataFrame, sequences: DataFrame) -> DataFrame:
     """mapping with resolved symbol, locus and stop classes, policy, primary gene, eligibility and reason.
 
-    sequences: protein_sequence_hash, amino_acid_sequence of all rows, rescued ones included.
+    sequences: protein_sequence_hash, amino_acid_sequence of all rows, rescued ones included; those without a
+    stop may be left out.
     """
-    rows = mapping.join(resolution.select("vcc_gene_name", "resolved_symbol"), "vcc_gene_name", "left")
     stars = sequences.select("protein_sequence_hash", C.stop_class(F.col("amino_acid_sequence")).alias("star_class"))
-    rows = rows.join(stars, "protein_sequence_hash", "left")
+    rows = mapping.join(stars, "protein_sequence_hash", "left")
     rows = rows.withColumns(
         {
-            "resolved_symbol": F.coalesce("resolved_symbol", F.lit("")),
             "locus_class": C.locus_class(F.col("genomic_region")),
             "star_class": F.coalesce("star_class", F.lit("none")),
             "biotype_policy": C.biotype_policy(F.col("transcript_type")),
@@ -46,7 +45,9 @@ def classify(mapping: DataFrame, resolution: DataFrame, sequences: DataFrame) ->
         }
     )
     rows = rows.withColumn("eligible_locus", F.col("is_primary_locus") | F.col("is_patch_exception"))
-    rows = rows.join(primary_genes(rows), "vcc_gene_name", "left")
+    # All that is known of a name goes to its rows in one join.
+    names = primary_genes(rows).join(resolution.select("vcc_gene_name", "resolved_symbol"), "vcc_gene_name", "left")
+    rows = rows.join(names, "vcc_gene_name", "left").withColumn("resolved_symbol", F.coalesce("resolved_symbol", F.lit("")))
     chosen = F.col("selected_primary_gene_id")
     rows = rows.withColumn("selected_for_primary_locus", (chosen != "") & (F.col("gene_id_stable") == chosen))
     usable = F.col("sequence_valid") & (F.coalesce("protein_sequence_hash", F.lit("")) != "")

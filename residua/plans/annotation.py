@@ -98,6 +98,11 @@ class Tables:
     def sequences(self) -> DataFrame:
         return self["protein_records"].select("protein_sequence_hash", "amino_acid_sequence").distinct()
 
+    @cached_property
+    def stopped(self) -> DataFrame:
+        """The texts with a stop; written, so that a join knows how few they are and needn't shuffle the rows."""
+        return staged(self["protein_records"].filter(F.contains("amino_acid_sequence", F.lit("*"))).select("protein_sequence_hash", "amino_acid_sequence").distinct(), "stopped")
+
     def _genes(self) -> DataFrame:
         return sources.gtf_genes(self.gtf)
 
@@ -129,8 +134,8 @@ class Tables:
     def _gene_protein_mapping_refined(self) -> DataFrame:
         resolved = self["gene_resolution"]
         symbols = resolved.filter("alias_rescued").select(F.col("resolved_symbol").alias("vcc_gene_name")).distinct()
-        rows = resolution.rescue(self["gene_protein_mapping"], resolved, self._rows(symbols))
-        return refine.classify(staged(rows, "rescued"), resolved, self.sequences)
+        rows = resolution.rescue(self["gene_protein_mapping"], resolved, staged(self._rows(symbols), "rescued"))
+        return refine.classify(rows, resolved, self.stopped)
 
     def _sequences_final(self) -> DataFrame:
         return refine.final_sequences(self["gene_protein_mapping_refined"], self.sequences, self.files.source, self.files.release)

@@ -18,6 +18,8 @@ from pyspark.sql import types as T
 
 from residua.functions import columns as C
 
+#: What lines of a record are trimmed of.
+BLANKS = " \t\n\x0b\f\r"
 #: Bytes of a file that are hashed at once.
 BLOCK = 1 << 20
 
@@ -111,37 +113,44 @@ def read_fasta(spark: SparkSession, path: str, fields: int = 8) -> DataFrame:
     blanks within a line stay, and are invalid later.
     """
     raw = in_file_order(spark.read.option("lineSep", "\n>").text(path), "record_no").select("value", "record_no")
-    raw = raw.withColumn("value", F.regexp_replace("value", "^\\s*>", "")).filter(F.trim("value") != "")
+    # Only a file's first record still has its mark; a pattern tried on every record would read all letters.
+    bare = F.when(F.instr("value", ">") > 0, F.regexp_replace("value", "^\\s*>", "")).otherwise(F.col("value"))
+    raw = raw.withColumn("value", bare).filter(F.trim("value") != "")
     head = F.substring_index("value", "\n", 1)
     body = F.when(F.instr("value", "\n") > 0, F.substring(F.col("value"), F.instr("value", "\n") + 1, F.length("value"))).otherwise("")
     header = F.split(F.trim(head), r"\|")
-    joined = F.array_join(F.transform(F.split(body, "\n"), lambda x: F.regexp_replace(x, r"^\s+|\s+$", "")), "")
+    joined = F.array_join(F.transform(F.split(body, "\n"), lambda x: F.btrim(x, F.lit(BLANKS))), "")
     return raw.select("record_no", header.alias("header"), (F.size(header) < fields).alias("malformed"), F.upper(joined).alias("sequence"))
 
 
 def protein_records(fasta: DataFrame) -> DataFrame:
     """Well-formed records with their ids, hash, length, validity and issue."""
     s = F.col("sequence")
-    issue = C.sequence_issue(s)
-    return fasta.filter(~F.col("malformed")).select(
+    rows = fasta.filter(~F.col("malformed")).select(
         "record_no",
         F.get("header", F.lit(0)).alias("protein_id"),
         C.stable_id(F.get("header", F.lit(0))).alias("protein_id_stable"),
         s.alias("amino_acid_sequence"),
         F.length(s).alias("protein_length"),
         C.sequence_hash(s).alias("protein_sequence_hash"),
-        (issue == "").alias("sequence_valid"),
-        issue.alias("sequence_issue"),
+        C.sequence_issue(s).alias("sequence_issue"),
     )
+    # A step of its own, so that the issue is worked out once.
+    issue = F.col("sequence_issue")
+    return rows.select(*[c for c in rows.columns if c != "sequence_issue"], (issue == "").alias("sequence_valid"), issue)
 
 
 def protein_index(records: DataFrame) -> DataFrame:
-    """Records by key: an exact id finds its last record, a stable id its first unless an exact id equals it."""
+    """Records by key: an exact id finds its last record, a stable id its first unless an exact id equals it.
+
+    Both kinds of ids are grouped together, so the records are read once.
+    """
     kept = [c for c in records.columns if c not in ("protein_id", "protein_id_stable")]
-    row = F.struct(*kept)
-    exact = records.groupBy(F.col("protein_id").alias("key")).agg(F.max_by(row, "record_no").alias("r"))
-    stable = records.filter(F.col("protein_id_stable").isNotNull()).groupBy(F.col("protein_id_stable").alias("key")).agg(F.min_by(row, "record_no").alias("r"))
-    return exact.unionByName(stable.join(exact.select("key"), "key", "left_anti")).select("key", "r.*")
+    ids = F.array(F.struct(F.col("protein_id").alias("key"), F.lit(True).alias("exact")), F.struct(F.col("protein_id_stable").alias("key"), F.lit(False).alias("exact")))
+    rows = records.select(F.inline(ids), *kept).filter(F.col("exact") | F.col("key").isNotNull())
+    row, exact, no = F.struct(*kept), F.col("exact"), F.col("record_no")
+    last, first = F.max_by(row, F.when(exact, no)), F.min_by(row, F.when(~exact, no))
+    return rows.groupBy("key").agg(F.coalesce(last, first).alias("r")).select("key", "r.*")
 
 
 def fasta_report(fasta: DataFrame) -> DataFrame:

@@ -43,3 +43,35 @@ def test_texts_are_looked_up_by_hash(spark, sf_dir):
     want = {tuple(r) for r in mapping.sequence_table(rows).collect()}
     got = mapping.sequences_of(run["gene_protein_mapping"], run["protein_records"])
     assert {tuple(r) for r in got.select(*mapping.sequence_table(rows).columns).collect()} == want
+
+
+def test_files_are_dealt_out(spark, sf_dir, tmp_path):
+    """A gzipped file is read by one task, so lines must not lie in the few files that a join leaves."""
+    files = chain._Files(spark, sf_dir, str(tmp_path))
+    for path in (files.gtf, files.vocabulary, files.complete):
+        sizes = sorted(r.length for r in spark.read.format("binaryFile").load(path).select("length").collect())
+        assert files.parts % spark.sparkContext.defaultParallelism == 0
+        assert len(sizes) >= files.parts and sizes[-1] < 3 * sum(sizes) / files.parts
+
+
+def test_an_issue_is_worked_out_once_and_records_are_indexed_in_one_pass(spark, tmp_path):
+    (tmp_path / "a.fa").write_text(">ENSP1.1|b|c|d|e|f|g|h\n m>k \n\tA*\n>ENSP1.2|b|c|d|e|f|g|h\nMM\n>ENSP1|b|c|d|e|f|g|h\nMK\n")
+    records = A.protein_records(A.read_fasta(spark, str(tmp_path)))
+    assert records._jdf.queryExecution().optimizedPlan().toString().count("array_distinct") == 1
+    got = {r.protein_id: (r.amino_acid_sequence, r.sequence_valid, r.sequence_issue) for r in records.collect()}
+    assert got == {"ENSP1.1": ("M>KA*", False, "*;>"), "ENSP1.2": ("MM", True, ""), "ENSP1": ("MK", True, "")}
+    index = A.protein_index(records)
+    assert index._jdf.queryExecution().optimizedPlan().toString().count("Relation [") == 1
+    assert {r.key: r.amino_acid_sequence for r in index.collect()} == {"ENSP1.1": "M>KA*", "ENSP1.2": "MM", "ENSP1": "MK"}
+
+
+def test_rows_without_an_id_are_spread(spark):
+    rows = spark.range(10_000).select(F.col("id").alias("k"), F.lit(None).cast("string").alias("protein_id"), F.lit(None).cast("string").alias("protein_id_stable"))
+    index = spark.createDataFrame([("a", 1), (None, 2)], "key string, n int").hint("merge")
+    found = mapping.find_proteins(rows, index)
+    assert found.filter("protein is null").count() == 10_000
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        assert found.select(F.spark_partition_id()).distinct().count() > 1
+    finally:
+        spark.conf.unset("spark.sql.adaptive.enabled")
