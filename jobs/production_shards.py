@@ -59,18 +59,25 @@ def _write_records(records: DataFrame, path: str, whole: bool) -> None:
 
 
 def _sequences(records: DataFrame, config: dict) -> DataFrame:
-    """One row a hash; the shortest and the greatest text of a hash must be one."""
-    one = records.filter(F.col("sequence_hash").isNotNull()).groupBy("sequence_hash").agg(
+    """One row a hash, with its shard. Texts of one hash must agree in a second hash and in length.
+
+    Texts are shuffled once: only one goes with a hash, and shards are numbered without them and joined by hash.
+    """
+    held = records.filter(F.col("sequence_hash").isNotNull())
+    second = F.xxhash64("sequence")
+    one = held.groupBy("sequence_hash").agg(
         F.min("sequence").alias("sequence"),
-        F.max("sequence").alias("_other"),
+        ((F.min(second) == F.max(second)) & (F.min("length") == F.max("length"))).alias("_same"),
         F.min("record_id").alias("first_record_id"),
         F.count(F.lit(1)).alias("records"),
     )
     clash = F.raise_error(F.concat(F.lit("two texts under hash "), F.col("sequence_hash")))
-    one = one.withColumn("sequence", F.when(F.col("sequence") == F.col("_other"), F.col("sequence")).otherwise(clash)).drop("_other")
+    one = one.withColumn("sequence", F.when(F.col("_same"), F.col("sequence")).otherwise(clash)).drop("_same")
     one = one.withColumn("length", F.length("sequence"))
     windows = F.size(C.chunk_starts(F.col("length"), config["window"], config["overlap"]))
-    return one.withColumn("windows", windows).withColumn("length_bin", C.length_bin(F.col("length")))
+    one = one.withColumn("windows", windows).withColumn("length_bin", C.length_bin(F.col("length")))
+    shards = batching.assign_shards(held.select("sequence_hash").distinct(), "sequence_hash", config["shard_rows"]).drop("position")
+    return one.join(shards, "sequence_hash")
 
 
 def run(spark: SparkSession, input_path: str, output_path: str, config: dict, sources: list[str] | None = None) -> dict:
@@ -85,9 +92,8 @@ def run(spark: SparkSession, input_path: str, output_path: str, config: dict, so
     counts = records.agg(F.count(F.lit(1)).alias("records"), F.count_if(F.col("issue") != "").alias("empty")).first().asDict()
     log.info("read %s (%s); %s/records: %s", input_path, ", ".join(sources or ["all sources"]), out, counts)
 
-    sharded = batching.assign_shards(_sequences(records, config), "sequence_hash", config["shard_rows"]).drop("position")
-    dealt = sharded.repartition("length_bin", F.substring("sequence_hash", 1, 2)).sortWithinPartitions("length_bin", "sequence_hash")
-    dealt.write.partitionBy("length_bin").mode("overwrite").option("partitionOverwriteMode", "static").parquet(f"{out}/sequences")
+    sharded = _sequences(records, config)
+    sharded.sortWithinPartitions("length_bin", "sequence_hash").write.partitionBy("length_bin").mode("overwrite").option("partitionOverwriteMode", "static").parquet(f"{out}/sequences")
     written = spark.read.schema(sharded.schema).parquet(f"{out}/sequences")
     checks.enforce(
         checks.Expectations(

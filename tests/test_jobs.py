@@ -54,6 +54,20 @@ def test_no_records(spark, tmp_path):
     assert production_shards.run(spark, str(tmp_path / "in"), out, CONFIG) == {"records": 0, "empty": 0, "sequences": 0, "shards": 0}
 
 
+def test_texts_are_shuffled_once(spark, tmp_path):
+    spark.range(400).selectExpr("id % 300 AS record_id", "'p' AS source", "repeat(sha2(string(id % 300), 256), 40) AS sequence").selectExpr(
+        "source", "record_id", "sha2(sequence, 256) AS sequence_hash", "length(sequence) AS length", "'' AS issue", "sequence"
+    ).write.parquet(str(tmp_path / "in"))
+    records = spark.read.parquet(str(tmp_path / "in"))
+    made = production_shards._sequences(records, CONFIG)
+    plan = made._jdf.queryExecution().sparkPlan().toString()
+    assert "max(sequence#" not in plan and "Window" in plan  # the shards are numbered, of hashes alone
+    assert made.agg(F.count("*"), F.sum("records"), F.count_distinct("shard_id")).first()[:] == (300, 400, 100)
+    clash = records.withColumn("sequence", F.when(F.rand(1) < 0.5, F.col("sequence")).otherwise(F.lit("other")))
+    with pytest.raises(Exception, match="two texts under hash"):
+        production_shards._sequences(clash, CONFIG).collect()
+
+
 def events(spark, rows):
     return spark.createDataFrame(rows, "event_id long, at long, user_id long, event_type string").select("event_id", F.timestamp_micros("at").alias("ts"), "user_id", "event_type")
 
