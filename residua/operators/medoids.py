@@ -18,21 +18,27 @@ from pyspark.sql import functions as F
 
 from residua.session import bound_arrow_batches, shuffle_partitions, staged, unstage
 
-#: Members of a group that are measured in a round.
-BLOCK = 64
+#: Members of a group that are measured in the first round; each round takes twice as many, up to GROWTH times these.
+BLOCK, GROWTH = 64, 8
+#: Members that are measured together against one copy of the block.
+PACK = 256
 #: Bounds are lowered by this share of the largest sums, as floating sums are not exact.
 SLACK = 1e-9
 
 
 def _distances(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """For rows (id, x, block, sums): id, d (distances to the block's members)."""
+    """For rows (id, keys, pack, block): id, keys, d (distances of the pack's members to the block's), s (their sums)."""
     for batch in batches:
-        out = []
-        for x, block in zip(batch.column(1), batch.column(2), strict=True):
-            v = np.asarray(x.values, dtype=np.float64)
-            m = np.asarray(block.values.flatten(), dtype=np.float64).reshape(-1, len(v))
-            out.append(np.sqrt(((m - v) ** 2).sum(axis=1)))
-        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(out, pa.list_(pa.float64()))], names=["_id", "d"])
+        for row in range(batch.num_rows):
+            pack, block = batch.column(2)[row].values, batch.column(3)[row].values
+            m = np.asarray(block.flatten(), dtype=np.float64).reshape(len(block), -1)
+            v = np.asarray(pack.flatten(), dtype=np.float64).reshape(len(pack), -1)
+            d = np.stack([np.sqrt(((m - x) ** 2).sum(axis=1)) for x in v])
+            one = batch.slice(row, 1)
+            kind = pa.list_(pa.float64())
+            yield pa.RecordBatch.from_arrays(
+                [one.column(0), one.column(1), pa.array([list(d)], pa.list_(kind)), pa.array([d.sum(axis=0)], kind)], names=["_g", "keys", "d", "s"]
+            )
 
 
 def exact_medoid(vectors: DataFrame, group: str, key: str, column: str, block: int = BLOCK, most_rounds: int = 10_000) -> DataFrame:
@@ -49,7 +55,9 @@ def exact_medoid(vectors: DataFrame, group: str, key: str, column: str, block: i
     size = rows.groupBy("_g").agg(F.count(F.lit(1)).alias("n"))
     start = rows.join(size, "_g").select("_g", "_key", "x", "n", F.lit(0.0).alias("bound"), F.lit(None).cast("double").alias("total"))
     now = staged(start, "medoid")
-    for _ in range(most_rounds):
+    first = block
+    for r in range(most_rounds):
+        block = first * min(2**r, GROWTH) if r < 10 else first * GROWTH
         best = now.groupBy("_g").agg(F.min("total").alias("best"))
         open_ = now.filter(F.col("total").isNull()).join(best, "_g").filter(F.col("best").isNull() | (F.col("bound") <= F.col("best")))
         # The first members of many parts of a group, then the first of these.
@@ -61,11 +69,14 @@ def exact_medoid(vectors: DataFrame, group: str, key: str, column: str, block: i
         if chosen.isEmpty():
             unstage(chosen)
             break
-        met = now.join(chosen, "_g")
-        measured = met.select(F.struct("_g", "_key").alias("_id"), "x", F.col("c.x").alias("block"))
-        kind = f"_id {measured.schema['_id'].dataType.simpleString()}, d array<double>"
-        near = staged(measured.mapInArrow(_distances, kind).select("_id._g", "_id._key", "d"), "medoid-near")
-        sums = near.select("_g", F.posexplode("d").alias("i", "v")).groupBy("_g", "i").agg(F.sum("v").alias("s"))
+        # A block goes with a pack of members, not with each of them.
+        part = F.pmod(F.xxhash64(F.lit("pack"), "_key"), F.ceil(F.col("n") / PACK)).alias("_p")
+        packs = now.groupBy("_g", part).agg(F.collect_list(F.struct("_key", "x")).alias("m"))
+        measured = packs.join(chosen, "_g").select("_g", F.col("m._key").alias("keys"), F.col("m.x").alias("pack"), F.col("c.x").alias("block"))
+        kind = f"_g {measured.schema['_g'].dataType.simpleString()}, keys {measured.schema['keys'].dataType.simpleString()}, d array<array<double>>, s array<double>"
+        met = staged(measured.mapInArrow(_distances, kind), "medoid-met")
+        near = met.select("_g", F.inline(F.arrays_zip("keys", "d"))).withColumnRenamed("keys", "_key")
+        sums = met.select("_g", F.posexplode("s").alias("i", "v")).groupBy("_g", "i").agg(F.sum("v").alias("s"))
         sums = sums.groupBy("_g").agg(F.transform(F.array_sort(F.collect_list(F.struct("i", "s"))), lambda y: y["s"]).alias("s"))
         sums = sums.join(chosen.select("_g", F.col("c._key").alias("keys")), "_g")
         both = now.join(near.hint("merge"), ["_g", "_key"], "left").join(sums, "_g", "left")
@@ -75,7 +86,7 @@ def exact_medoid(vectors: DataFrame, group: str, key: str, column: str, block: i
         total = F.when(at > 0, F.try_element_at("s", at.cast("int")))
         after = both.select("_g", "_key", "x", "n", F.greatest("bound", F.coalesce(lower, F.lit(0.0))).alias("bound"), F.coalesce("total", total).alias("total"))
         after = staged(after, "medoid")
-        for old in (now, chosen, near):
+        for old in (now, chosen, met):
             unstage(old)
         now = after
     else:

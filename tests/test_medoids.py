@@ -1,7 +1,7 @@
 import numpy as np
 import pytest
 
-from residua.operators import vectors
+from residua.operators import medoids, vectors
 from residua.operators.medoids import exact_medoid
 
 
@@ -36,3 +36,13 @@ def test_twenty_thousand_in_one_group(spark):
     r = exact_medoid(df, "g", "k", "v").first()
     sums = np.array([np.sqrt(((m - m[k]) ** 2).sum(1)).sum() for k in np.argsort((m**2).sum(1))[:400]])  # the medoid lies near the middle
     assert r.total_distance == pytest.approx(sums.min()) and r.measured < 2000
+
+
+def test_few_rounds_where_bounds_prune_little(spark, monkeypatch):
+    m = np.random.default_rng(5).normal(size=(1500, 32))
+    df = spark.createDataFrame([(None, k, v) for k, v in enumerate(m.tolist())], "g string, k long, v array<double>")
+    calls, plain = [], medoids.staged
+    monkeypatch.setattr(medoids, "staged", lambda d, name: calls.append(name) or plain(d, name))
+    r = exact_medoid(df, "g", "k", "v").first()
+    k, s = brute(m)
+    assert (r.k, r.total_distance) == (k, pytest.approx(s)) and calls.count("medoid-block") <= 8
