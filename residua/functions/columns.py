@@ -78,7 +78,8 @@ def invalid_residues(sequence: Column) -> Column:
 def sequence_issue(sequence: Column) -> Column:
     """'empty_sequence', the invalid characters joined by ';', or ''."""
     empty = F.length(F.trim(F.coalesce(sequence, F.lit("")))) == 0
-    return F.when(empty, F.lit("empty_sequence")).otherwise(F.array_join(invalid_residues(sequence), ";"))
+    found = F.when(empty, F.lit("empty_sequence")).otherwise(F.array_join(invalid_residues(sequence), ";"))
+    return F.when((sequence != "") & ~sequence.rlike(f"[^{RESIDUES}]"), F.lit("")).otherwise(found)  # nearly all are in order
 
 
 def locus_class(c: Column) -> Column:

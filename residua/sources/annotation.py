@@ -6,6 +6,7 @@ split in it, and their place in the split, whatever tasks Spark packs files and
 
 from __future__ import annotations
 
+import functools
 import hashlib
 import re
 from collections.abc import Iterator
@@ -113,13 +114,12 @@ def read_fasta(spark: SparkSession, path: str, fields: int = 8) -> DataFrame:
     blanks within a line stay, and are invalid later.
     """
     raw = in_file_order(spark.read.option("lineSep", "\n>").text(path), "record_no").select("value", "record_no")
-    # Only a file's first record still has its mark; a pattern tried on every record would read all letters.
-    bare = F.when(F.instr("value", ">") > 0, F.regexp_replace("value", "^\\s*>", "")).otherwise(F.col("value"))
-    raw = raw.withColumn("value", bare).filter(F.trim("value") != "")
-    head = F.substring_index("value", "\n", 1)
-    body = F.when(F.instr("value", "\n") > 0, F.substring(F.col("value"), F.instr("value", "\n") + 1, F.length("value"))).otherwise("")
-    header = F.split(F.trim(head), r"\|")
-    joined = F.array_join(F.transform(F.split(body, "\n"), lambda x: F.btrim(x, F.lit(BLANKS))), "")
+    # Only a file's first record still has its mark. What starts a record tells, without a look at its letters.
+    marked = functools.reduce(lambda a, b: a | b, [F.col("value").startswith(x) for x in ">" + BLANKS])
+    bare = F.when(marked, F.regexp_replace("value", "^\\s*>", "")).otherwise(F.col("value"))
+    raw = raw.withColumn("value", bare).filter(F.col("value").rlike("[^ ]")).select("record_no", F.split("value", "\n").alias("lines"))
+    header = F.split(F.trim(F.get("lines", F.lit(0))), r"\|")
+    joined = F.array_join(F.transform(F.slice("lines", 2, 1 << 30), lambda x: F.btrim(x, F.lit(BLANKS))), "")
     return raw.select("record_no", header.alias("header"), (F.size(header) < fields).alias("malformed"), F.upper(joined).alias("sequence"))
 
 

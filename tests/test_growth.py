@@ -75,3 +75,22 @@ def test_rows_without_an_id_are_spread(spark):
         assert found.select(F.spark_partition_id()).distinct().count() > 1
     finally:
         spark.conf.unset("spark.sql.adaptive.enabled")
+
+
+def _plan(df):
+    return df._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_a_record_is_cut_into_lines_once(spark, tmp_path):
+    (tmp_path / "a.fa").write_text(" \n>ENSP1.1|b|c|d|e|f|g|h\n m k \n\n\tA\x0b\n>no lines|>x\n>>ENSP2|b|c|d|e|f|g|h\nM K\r\n")
+    fasta = A.read_fasta(spark, str(tmp_path))
+    assert _plan(fasta).count("split(value") + _plan(fasta).count("split(CASE") == 1 and "instr(" not in _plan(fasta)
+    got = [(r.header[0], r.malformed, r.sequence) for r in fasta.orderBy("record_no").collect()]
+    assert got == [("ENSP1.1", False, "M KA"), ("no lines", True, ""), ("ENSP2", False, "M K")]
+
+
+def test_letters_in_order_are_not_taken_apart(spark):
+    rows = spark.createDataFrame([("MK",), ("",), ("  ",), (None,), ("M*K1*",)], "s string")
+    found = rows.select(C.sequence_issue(F.col("s")).alias("i"))
+    assert "RLIKE" in _plan(spark.range(1).selectExpr("cast(id as string) s").select(C.sequence_issue(F.col("s"))))
+    assert [r.i for r in found.collect()] == ["", "empty_sequence", "empty_sequence", "empty_sequence", "*;1"]
