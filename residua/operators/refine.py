@@ -74,11 +74,12 @@ def primary_genes(rows: DataFrame) -> DataFrame:
     """The one gene of each name on a primary locus; without any, the one patch exception; else ''."""
     def only(flag: str):
         gene = F.when(F.col(flag), F.col("gene_id_stable"))
-        return F.count_distinct(gene), F.min(gene)
+        return F.min(gene), F.max(gene)
 
-    (n_primary, primary), (n_patch, patch) = only("is_primary_locus"), only("is_patch_exception")
-    sums = rows.groupBy("vcc_gene_name").agg(n_primary.alias("n"), primary.alias("g"), n_patch.alias("m"), patch.alias("h"))
-    pick = F.when(F.col("n") == 1, F.col("g")).when((F.col("n") == 0) & (F.col("m") == 1), F.col("h")).otherwise("")
+    # One gene is where the least is the largest; a count of distinct ones would lay every row out for each of the flags.
+    (primary, last_primary), (patch, last_patch) = only("is_primary_locus"), only("is_patch_exception")
+    sums = rows.groupBy("vcc_gene_name").agg(primary.alias("g"), last_primary.alias("g_last"), patch.alias("h"), last_patch.alias("h_last"))
+    pick = F.when(F.col("g") == F.col("g_last"), F.col("g")).when(F.col("g").isNull() & (F.col("h") == F.col("h_last")), F.col("h")).otherwise("")
     return sums.select("vcc_gene_name", pick.alias("selected_primary_gene_id"))
 
 

@@ -134,6 +134,8 @@ class Tables:
     def _gene_protein_mapping_refined(self) -> DataFrame:
         resolved = self["gene_resolution"]
         symbols = resolved.filter("alias_rescued").select(F.col("resolved_symbol").alias("vcc_gene_name")).distinct()
+        have = self["gene_protein_mapping"].select(F.col("gene_name_gencode").alias("vcc_gene_name")).distinct()
+        symbols = symbols.join(have, "vcc_gene_name", "left_anti")  # rescue() takes rows of no others
         rows = resolution.rescue(self["gene_protein_mapping"], resolved, staged(self._rows(symbols), "rescued"))
         return refine.classify(rows, resolved, self.stopped)
 

@@ -4,8 +4,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from residua.functions import columns as C
-from residua.operators import mapping
-from residua.plans import chain
+from residua.operators import mapping, refine
+from residua.plans import annotation, chain
 from residua.sources import annotation as A
 
 
@@ -94,3 +94,20 @@ def test_letters_in_order_are_not_taken_apart(spark):
     found = rows.select(C.sequence_issue(F.col("s")).alias("i"))
     assert "RLIKE" in _plan(spark.range(1).selectExpr("cast(id as string) s").select(C.sequence_issue(F.col("s"))))
     assert [r.i for r in found.collect()] == ["", "empty_sequence", "empty_sequence", "empty_sequence", "*;1"]
+
+
+def test_primary_genes_do_not_lay_rows_out_for_each_flag(spark):
+    rows = [("a", "G1", True, False), ("a", "G1", True, False), ("b", "G1", True, False), ("b", "G2", True, True), ("c", "G3", False, True), ("c", None, True, False), ("d", "G4", False, False), ("e", "G5", False, True), ("e", "G6", False, True)]
+    found = refine.primary_genes(spark.createDataFrame(rows, "vcc_gene_name string, gene_id_stable string, is_primary_locus boolean, is_patch_exception boolean"))
+    assert "Expand" not in _plan(found)
+    assert {tuple(r) for r in found.collect()} == {("a", "G1"), ("b", ""), ("c", "G3"), ("d", ""), ("e", "")}
+
+
+def test_rows_are_rescued_for_missing_symbols_only(spark, sf_dir, monkeypatch):
+    monkeypatch.setattr(chain, "_built", {})
+    seen, staged = {}, annotation.staged
+    monkeypatch.setattr(annotation, "staged", lambda df, name: seen.setdefault(name, staged(df, name)))
+    run = chain.built(spark, sf_dir)
+    assert run["gene_protein_mapping_refined"].count() > run["gene_protein_mapping"].count()
+    have = run["gene_protein_mapping"].select("gene_name_gencode")
+    assert seen["rescued"].count() > 0 and seen["rescued"].join(have, "gene_name_gencode", "left_semi").isEmpty()
