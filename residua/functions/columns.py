@@ -50,6 +50,24 @@ def attributes(c: Column) -> Column:
     return bound(F.struct(keys.alias("k"), values.alias("v")), map_of)
 
 
+#: Attributes after a blank, of which the text tells any without a map: each quote that opens stands after one blank and a word, each
+#: that closes after no blank and before ; and a blank or the end.
+PLAIN_ATTRIBUTES = r'^ (?:(?:[^"\s]++ )++"[^"]*+(?<!\s)";(?: |\z))++[^"]*+\z'
+
+
+def attribute(*keys: str, text: str = "text", odd: str = "odd") -> Column:
+    """The value of the first key that is there and not empty, else '': from odd, a map as of attributes(), or else from text.
+
+    Where odd is null, text must be as PLAIN_ATTRIBUTES says; what is a key there can't be part of a value.
+    """
+    def told(key: str) -> Column:
+        mark = f' {key} "'
+        return F.when(F.contains(text, F.lit(mark)), F.substring_index(F.substring_index(text, mark, -1), '"', 1)).otherwise("")
+
+    plain = F.coalesce(*[F.nullif(told(k), F.lit("")) for k in keys[:-1]], told(keys[-1]))
+    return F.when(F.col(odd).isNull(), plain).otherwise(first_attribute(F.col(odd), *keys))
+
+
 def first_attribute(attrs: Column, *keys: str) -> Column:
     """The value of the first key that is there and not empty, else ''."""
     return F.coalesce(*[F.nullif(F.try_element_at(attrs, F.lit(k)), F.lit("")) for k in keys], F.lit(""))

@@ -44,12 +44,20 @@ def _lines(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_gtf(spark: SparkSession, path: str) -> DataFrame:
-    """Rows of nine fields, neither blank nor comment: line_no, seqname, feature, attrs."""
+    """Rows of nine fields, neither blank nor comment: line_no, seqname, feature, attrs; text and odd, for attribute()."""
     rows = _lines(spark, path).filter((F.trim("line") != "") & ~F.col("line").startswith("#"))
-    rows = rows.withColumn("field", F.split("line", "\t")).filter(F.size("field") == 9)
-    # Exploded rather than filtered: a filter would be pushed below the map and have it made twice, and for lines that a feature leaves out.
-    named = F.filter(F.array(C.attributes(F.get("field", F.lit(8)))), lambda a: F.coalesce(F.try_element_at(a, F.lit("gene_id")), F.lit("")) != "")
-    return rows.select("line_no", F.get("field", F.lit(0)).alias("seqname"), F.get("field", F.lit(2)).alias("feature"), F.explode(named).alias("attrs"))
+    # Fields are cut out where they stand: a split would be made again for each filter on a field.
+    tabs = F.octet_length("line") - F.octet_length(F.replace("line", F.lit("\t"), F.lit("")))
+    rows = rows.filter(tabs == 8).select(
+        "line_no",
+        F.substring_index("line", "\t", 1).alias("seqname"),
+        F.substring_index(F.substring_index("line", "\t", 3), "\t", -1).alias("feature"),
+        F.concat(F.lit(" "), F.substring_index("line", "\t", -1)).alias("text"),
+    )
+    # Only odd lines need the map. It is exploded, so that it is made once, and not for lines that a feature leaves out.
+    odd = F.when(~F.col("text").rlike(C.PLAIN_ATTRIBUTES), C.attributes(F.col("text")))
+    rows = rows.select("*", F.explode(F.array(odd)).alias("odd")).filter(C.attribute("gene_id") != "")
+    return rows.withColumn("attrs", F.coalesce("odd", C.attributes(F.col("text"))))
 
 
 def _last_by(df: DataFrame, key: str, order: str = "line_no") -> DataFrame:
@@ -59,12 +67,11 @@ def _last_by(df: DataFrame, key: str, order: str = "line_no") -> DataFrame:
 
 def gtf_genes(gtf: DataFrame) -> DataFrame:
     """One row a gene_id, of the last line: gene_id, gene_id_stable, gene_name, gene_type."""
-    a = F.col("attrs")
     rows = gtf.filter(F.col("feature") == "gene").select(
-        a["gene_id"].alias("gene_id"),
-        C.stable_id(a["gene_id"]).alias("gene_id_stable"),
-        C.first_attribute(a, "gene_name").alias("gene_name"),
-        C.first_attribute(a, "gene_type", "gene_biotype").alias("gene_type"),
+        C.attribute("gene_id").alias("gene_id"),
+        C.stable_id(C.attribute("gene_id")).alias("gene_id_stable"),
+        C.attribute("gene_name").alias("gene_name"),
+        C.attribute("gene_type", "gene_biotype").alias("gene_type"),
         "line_no",
     )
     return _last_by(rows, "gene_id").drop("line_no")
@@ -72,17 +79,16 @@ def gtf_genes(gtf: DataFrame) -> DataFrame:
 
 def gtf_transcripts(gtf: DataFrame) -> DataFrame:
     """One row a transcript line, with its place in the file."""
-    a = F.col("attrs")
     rows = gtf.filter(F.col("feature") == "transcript").select(
         "line_no",
-        a["gene_id"].alias("gene_id"),
-        C.first_attribute(a, "gene_name").alias("gene_name"),
-        C.first_attribute(a, "gene_type", "gene_biotype").alias("gene_type"),
+        C.attribute("gene_id").alias("gene_id"),
+        C.attribute("gene_name").alias("gene_name"),
+        C.attribute("gene_type", "gene_biotype").alias("gene_type"),
         "seqname",
-        C.first_attribute(a, "transcript_id").alias("transcript_id"),
-        C.first_attribute(a, "transcript_name").alias("transcript_name"),
-        C.first_attribute(a, "transcript_type", "transcript_biotype").alias("transcript_type"),
-        C.first_attribute(a, "protein_id").alias("protein_id"),
+        C.attribute("transcript_id").alias("transcript_id"),
+        C.attribute("transcript_name").alias("transcript_name"),
+        C.attribute("transcript_type", "transcript_biotype").alias("transcript_type"),
+        C.attribute("protein_id").alias("protein_id"),
     )
     # Ids are taken apart in a step of their own, after the look-ups in the map.
     return rows.select(

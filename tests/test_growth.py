@@ -1,5 +1,8 @@
 """Steps whose work must grow no faster than their input."""
 
+import functools
+import itertools
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -111,3 +114,18 @@ def test_rows_are_rescued_for_missing_symbols_only(spark, sf_dir, monkeypatch):
     assert run["gene_protein_mapping_refined"].count() > run["gene_protein_mapping"].count()
     have = run["gene_protein_mapping"].select("gene_name_gencode")
     assert seen["rescued"].count() > 0 and seen["rescued"].join(have, "gene_name_gencode", "left_semi").isEmpty()
+
+
+def test_plain_attributes_are_told_from_the_text(spark, tmp_path):
+    """As the map tells them, for any line; the map is made for odd lines only."""
+    parts = ['gene_id "G1";', 'gene_id "";', 'gene_name "a gene_id ";', 'gene_name " x";', 'gene_name "; gene_id";', "level 2;", 'note "gene_id";', 'x"gene_id "G2";', 'gene_id  "G3";', ';gene_id "G4";', '"', 'gene_type "t"', "gene_id"]
+    odd = {parts[i] for i in (2, 7, 8)}
+    lines = [sep.join(p) for n in (1, 2, 3) for p in itertools.product(parts, repeat=n) for sep in (" ", "")]
+    rows = spark.createDataFrame([(f" {x}",) for x in lines], "text string").withColumn("odd", F.when(~F.col("text").rlike(C.PLAIN_ATTRIBUTES), C.attributes(F.col("text"))))
+    keys = (("gene_id",), ("gene_name",), ("gene_type", "gene_name"), (";gene_id",))
+    wrong = [C.attribute(*k) != C.first_attribute(C.attributes(F.col("text")), *k) for k in keys]
+    assert rows.filter(functools.reduce(lambda a, b: a | b, wrong)).count() == 0
+    plain = {r.text for r in rows.filter("odd is null").collect()}
+    assert ' gene_id "G1"; level 2; gene_id "";' in plain and not any(x in r for x in odd for r in plain)
+    (tmp_path / "a.gtf").write_text('chr1\tx\tgene\t1\t2\t.\t+\t.\tgene_id "ENSG1.1"; level 2; gene_name "N";\n')
+    assert A.gtf_genes(A.read_gtf(spark, str(tmp_path))).first()[:3] == ("ENSG1.1", "ENSG1", "N")
