@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from residua.functions import columns as C
+from residua.session import shuffle_partitions
 
 #: What lines of a record are trimmed of.
 BLANKS = " \t\n\x0b\f\r"
@@ -149,14 +150,16 @@ def protein_records(fasta: DataFrame) -> DataFrame:
 def protein_index(records: DataFrame) -> DataFrame:
     """Records by key: an exact id finds its last record, a stable id its first unless an exact id equals it.
 
-    Both kinds of ids are grouped together, so the records are read once.
+    Both kinds of ids are grouped together, so the records are read once. They are brought together by their stable
+    ids before, so each is shuffled once and not once for each kind.
     """
     kept = [c for c in records.columns if c not in ("protein_id", "protein_id_stable")]
     ids = F.array(F.struct(F.col("protein_id").alias("key"), F.lit(True).alias("exact")), F.struct(F.col("protein_id_stable").alias("key"), F.lit(False).alias("exact")))
-    rows = records.select(F.inline(ids), *kept).filter(F.col("exact") | F.col("key").isNotNull())
+    held = records.repartition(shuffle_partitions(records.sparkSession), "protein_id_stable")
+    rows = held.select("protein_id_stable", F.inline(ids), *kept).filter(F.col("exact") | F.col("key").isNotNull())
     row, exact, no = F.struct(*kept), F.col("exact"), F.col("record_no")
     last, first = F.max_by(row, F.when(exact, no)), F.min_by(row, F.when(~exact, no))
-    return rows.groupBy("key").agg(F.coalesce(last, first).alias("r")).select("key", "r.*")
+    return rows.groupBy("protein_id_stable", "key").agg(F.coalesce(last, first).alias("r")).select("key", "r.*")
 
 
 def fasta_report(fasta: DataFrame) -> DataFrame:

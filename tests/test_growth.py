@@ -129,3 +129,14 @@ def test_plain_attributes_are_told_from_the_text(spark, tmp_path):
     assert ' gene_id "G1"; level 2; gene_id "";' in plain and not any(x in r for x in odd for r in plain)
     (tmp_path / "a.gtf").write_text('chr1\tx\tgene\t1\t2\t.\t+\t.\tgene_id "ENSG1.1"; level 2; gene_name "N";\n')
     assert A.gtf_genes(A.read_gtf(spark, str(tmp_path))).first()[:3] == ("ENSG1.1", "ENSG1", "N")
+
+
+def test_a_record_is_shuffled_once_for_its_index(spark):
+    records = spark.createDataFrame([("ENSP1.1", "ENSP1", 1, "h")], "protein_id string, protein_id_stable string, record_no int, protein_sequence_hash string")
+    index = A.protein_index(records.repartition(2))
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        plan = index.select("*")._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.adaptive.enabled")
+    assert plan.count("hashpartitioning(") == 1 and plan.index("Generate") < plan.index("hashpartitioning(")
