@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from residua.functions import columns as C
+from residua.session import shuffle_partitions
 
 # Statuses that call for a review, and kinds of names with several genes.
 REVIEWED = ("ambiguous_multiple_gene_ids", "requires_policy_review", "translated_sequence_invalid")
@@ -29,7 +30,12 @@ def match_genes(vocabulary: DataFrame, genes: DataFrame) -> DataFrame:
 
 
 def find_proteins(transcripts: DataFrame, index: DataFrame) -> DataFrame:
-    """transcripts with `protein`, the record under the exact protein id, or else under the stable one."""
+    """transcripts with `protein`, the record under the exact protein id, or else under the stable one.
+
+    index is annotation.protein_index's, or the records themselves, which are then shuffled once and not once for each look-up.
+    """
+    if "key" not in index.columns:
+        return _find_records(transcripts, index)
     record = F.struct(*[c for c in index.columns if c != "key"])
     found = transcripts
     for id_, name in (("protein_id", "_exact"), ("protein_id_stable", "_stable")):
@@ -40,6 +46,26 @@ def find_proteins(transcripts: DataFrame, index: DataFrame) -> DataFrame:
     return found.withColumn("protein", F.coalesce("_exact", "_stable")).drop("_exact", "_stable")
 
 
+def _find_records(transcripts: DataFrame, records: DataFrame) -> DataFrame:
+    """find_proteins over records. What an id may find, exactly or not, has its stable id, so both look-ups go by that."""
+    n = shuffle_partitions(records.sparkSession)
+    kept = [c for c in records.columns if c not in ("protein_id", "protein_id_stable", "record_no")]
+    id_, stable = F.col("protein_id"), F.col("protein_id_stable")
+    # Both filters stand here, as one that only a join infers would keep the two groupings from reading one shuffle.
+    held = records.filter(id_.isNotNull() & stable.isNotNull()).repartition(n, "protein_id_stable")
+    row, no = F.struct(*kept), F.col("record_no")
+    last = held.groupBy(stable.alias("_by_last"), id_.alias("_id")).agg(F.max_by(row, no).alias("_exact"))
+    first = held.groupBy(stable.alias("_by_first")).agg(F.coalesce(F.max_by(row, F.when(id_ == stable, no)), F.min_by(row, no)).alias("_stable"))
+    # Rows without an id find nothing, but would all be sent to one task; a number of their own spreads them.
+    own = F.xxhash64(*[c for c in transcripts.columns if c != "line_no"]).cast("string")
+    rows = transcripts.withColumn("_by", F.coalesce(stable, own)).repartition(n, "_by")
+    # Not by equality: as a second key of the join, it would have both sides shuffled again.
+    same = (F.col("_by") == F.col("_by_last")) & (id_ <= F.col("_id")) & (id_ >= F.col("_id"))
+    found = rows.join(last, same, "left").join(first, F.col("_by") == F.col("_by_first"), "left")
+    protein = F.when(stable.isNotNull(), F.coalesce("_exact", "_stable"))
+    return found.withColumn("protein", protein).drop("_by", "_by_last", "_by_first", "_id", "_exact", "_stable")
+
+
 def build_rows(
     vocabulary: DataFrame, targets: DataFrame, genes: DataFrame, transcripts: DataFrame, proteins: DataFrame, mane: DataFrame
 ) -> DataFrame:
@@ -47,7 +73,8 @@ def build_rows(
     matched = match_genes(vocabulary, genes).filter(F.col("gene_id").isNotNull()).drop("_gene_type")
     aim = targets.select(F.col("target_gene").alias("vcc_gene_name"), F.lit(True).alias("_target")).distinct()
     matched = matched.join(aim, "vcc_gene_name", "left")  # names are few; transcripts that no name asks for go before the other joins
-    rows = find_proteins(transcripts.join(matched, "gene_id"), proteins).join(mane, "transcript_id_stable", "left")
+    # Proteins come last, so that their hashes aren't shuffled again.
+    rows = find_proteins(transcripts.join(matched, "gene_id").join(mane, "transcript_id_stable", "left"), proteins)
     found = F.col("protein").isNotNull()
     valid = F.coalesce(F.col("protein.sequence_valid"), F.lit(False))
     reason = C.eligibility(F.col("protein_id"), found, valid, F.col("protein.sequence_issue"), F.col("transcript_type"))

@@ -116,7 +116,7 @@ class Tables:
         return sources.read_mane(self.spark, self.files.mane)
 
     def _rows(self, vocabulary: DataFrame) -> DataFrame:
-        rows = mapping.build_rows(vocabulary, self.targets, self["genes"], self["transcripts"], self.proteins, self["mane"])
+        rows = mapping.build_rows(vocabulary, self.targets, self["genes"], self["transcripts"], self["protein_records"].drop("amino_acid_sequence"), self["mane"])
         return mapping.mapping_table(rows)
 
     def _gene_protein_mapping(self) -> DataFrame:

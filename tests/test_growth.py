@@ -140,3 +140,23 @@ def test_a_record_is_shuffled_once_for_its_index(spark):
     finally:
         spark.conf.unset("spark.sql.adaptive.enabled")
     assert plan.count("hashpartitioning(") == 1 and plan.index("Generate") < plan.index("hashpartitioning(")
+
+
+def test_records_are_found_by_one_shuffle_as_by_their_index(spark, tmp_path):
+    """Versions, an exact id that is also a stable one, ids without a form, and none."""
+    ids = ["ENSP1.1", "ENSP1.2", "ENSP1.1", "ENSP2", "ENSP2.1", "ENSP2", "ENSP3.4", "x.1", "x", ""]
+    records = spark.createDataFrame([(x, i, f"h{i}") for i, x in enumerate(ids)], "protein_id string, record_no int, protein_sequence_hash string").withColumn("protein_id_stable", C.stable_id(F.col("protein_id")))
+    asked = spark.createDataFrame([(x,) for x in [*ids[:-1], "ENSP1", "ENSP1.9", "ENSP2.9", "ENSP3", "x.2", "ENSP9", None, None]], "protein_id string").withColumn("protein_id_stable", C.stable_id(F.col("protein_id")))
+    want = {(r.protein_id, r.protein and r.protein.protein_sequence_hash) for r in mapping.find_proteins(asked, A.protein_index(records)).collect()}
+    found = mapping.find_proteins(asked.hint("merge"), records)
+    assert found.count() == asked.count() and {(r.protein_id, r.protein and r.protein.protein_sequence_hash) for r in found.collect()} == want
+    assert {("ENSP1.1", "h2"), ("ENSP1.9", "h0"), ("ENSP2.9", "h5"), ("x", "h8"), ("x.2", None), (None, None)} < want
+    asked.write.parquet(str(tmp_path / "asked"))
+    records.write.parquet(str(tmp_path / "records"))
+    asked, records = spark.read.parquet(str(tmp_path / "asked")), spark.read.parquet(str(tmp_path / "records"))
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        plan = mapping.find_proteins(asked.hint("merge"), records)._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("+- Exchange hashpartitioning") == 2
+    finally:
+        spark.conf.unset("spark.sql.adaptive.enabled")
